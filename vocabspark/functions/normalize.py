@@ -13,6 +13,8 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from vocabspark.functions.splits import MARK
+
 FORMS = ("NFC", "NFKC")
 ASCII_ONLY = r"^\p{ASCII}*$"
 
@@ -34,3 +36,26 @@ def normalize(text: Column, form: str | None = "NFC") -> Column:
         raise ValueError(f"unknown normal form {form!r}; use one of {FORMS}")
     needs_work = ~text.rlike(ASCII_ONLY)
     return F.coalesce(_normalizer(form)(F.when(needs_work, text)), text)
+
+
+@cache
+def _segment_normalizer(form: str):
+    @F.pandas_udf("array<string>")
+    def normalize_batch(texts: pd.Series) -> pd.Series:
+        def one(segments):
+            return [s if s[:1] == MARK else unicodedata.normalize(form, s) for s in segments]
+
+        return texts.map(one, na_action="ignore")
+
+    return normalize_batch
+
+
+def normalize_segments(segments: Column, whole: Column, form: str | None) -> Column:
+    """Normalize each string of an array but those that begin with the mark.
+
+    ``whole`` is the text the segments come from; if it is pure ASCII nothing goes to Python.
+    """
+    if form is None:
+        return segments
+    needs_work = ~whole.rlike(ASCII_ONLY)
+    return F.coalesce(_segment_normalizer(form)(F.when(needs_work, segments)), segments)

@@ -84,5 +84,11 @@ SCRIPT_RUNS = script_runs()
 
 
 def any_of(tokens: list[str]) -> str:
-    """Pattern that matches any of the tokens, the longest first at each position."""
-    return "|".join(re.escape(t) for t in sorted(tokens, key=lambda t: (-len(t), t)))
+    """Pattern that matches any of the tokens, the longest first at each position.
+
+    Tokens are grouped by first character, so most positions fail after one test per group.
+    """
+    groups: dict[str, list[str]] = {}
+    for token in sorted(set(tokens), key=lambda t: (-len(t), t)):
+        groups.setdefault(token[0], []).append(re.escape(token[1:]))
+    return "|".join(f"{re.escape(c)}(?:{'|'.join(rest)})" for c, rest in groups.items())

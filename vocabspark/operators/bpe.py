@@ -11,8 +11,9 @@ proved to come next:
   they stood when they appeared, by undoing the merges that came later;
 * a pair of two equal symbols, and one whose token exists already, goes alone.
 
-The pair counts are kept as a table. A round adds only the difference made by the words it
-changed, instead of counting all words again.
+The pair counts are kept as a table. A round flags the words that hold a pair of its batch, in
+one scan without a shuffle, and adds the difference those words make to the pair counts. The
+new counts are written to the shared folder, which also keeps the plans of a round small.
 """
 
 from __future__ import annotations
@@ -28,7 +29,8 @@ from vocabspark.operators.pretokenize import chars
 from vocabspark.session import checkpoint, keep
 
 MERGES_SCHEMA = "rank int, left string, right string, token string, n long"
-CHECKPOINT_ROUNDS = 10
+# Rounds between checkpoints of the words. Each round reads the words kept by the one before.
+CHECKPOINT_ROUNDS = 8
 
 
 def to_words(counts: DataFrame) -> DataFrame:
@@ -103,12 +105,17 @@ def pick_batch(ranked: Sequence, known: set[str], room: int) -> list:
     return batch
 
 
-def pair_changes(words: DataFrame, batch: Sequence) -> DataFrame:
-    """``(l, r, n)``: how the pair counts change when the batch is applied."""
+def touches(symbols: Column, batch: Sequence[tuple[str, str]]) -> Column:
+    """Whether a word holds any pair of the batch."""
+    keys = [f"{left}{MARK}{right}" for left, right in batch]
+    pairs = F.transform(symbols, lambda s, i: F.concat(F.get(symbols, i - 1), F.lit(MARK), s))
+    return F.exists(pairs, lambda pair: F.coalesce(pair.isin(keys), F.lit(False)))
+
+
+def pair_changes(flagged: DataFrame, batch: Sequence) -> DataFrame:
+    """``(l, r, n)``: how the pair counts change when the batch is applied to flagged words."""
     merged = merge_symbols(F.col("symbols"), [(b.l, b.r) for b in batch])
-    changed = words.select("symbols", merged.alias("merged"), "n").where(
-        F.size("merged") < F.size("symbols")
-    )
+    changed = flagged.where("flag").select("symbols", merged.alias("merged"), "n")
 
     def signed(symbols: str, sign: int) -> Column:
         return F.transform(
@@ -198,7 +205,9 @@ def train_bpe(
     is frequent and short enough.
     """
     spark = counts.sparkSession
-    words = checkpoint(to_words(counts).where(F.size("symbols") > 1))
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    words = to_words(counts).where(F.size("symbols") > 1).repartition(tasks)
+    words = checkpoint(words)
     pairs = checkpoint(bpe_pair_counts(words, max_token_length=max_token_length))
     ranking = [F.desc("n"), "l", "r"]
     merges, known, retired = [], set(), []
@@ -208,7 +217,9 @@ def train_bpe(
         batch = pick_batch(frequent.orderBy(*ranking).limit(wanted).collect(), known, wanted)
         if not batch:
             break
-        changes = keep(pair_changes(words, batch))
+        flag = touches(F.col("symbols"), [(b.l, b.r) for b in batch])
+        flagged = keep(words.withColumn("flag", flag))
+        changes = keep(pair_changes(flagged, batch))
         length = len(batch)
         if length > 1:
             length = provable_length(batch, new_pair_peaks(changes, batch, max_token_length))
@@ -217,24 +228,22 @@ def train_bpe(
         known.update(b.l + b.r for b in applied)
 
         delta = changes if length == len(batch) else undo_later(changes, batch, length)
-        merged = merge_symbols(F.col("symbols"), [(b.l, b.r) for b in applied])
-        retired.append((pairs, words, changes))
         pairs = _short_enough(pairs.unionByName(delta), max_token_length)
-        pairs = pairs.groupBy("l", "r").agg(F.sum("n").alias("n")).where("n > 0")
-        words = words.select(merged.alias("symbols"), "n").where(F.size("symbols") > 1)
+        pairs = checkpoint(pairs.groupBy("l", "r").agg(F.sum("n").alias("n")).where("n > 0"))
+        changes.unpersist()
+        merged = merge_symbols(F.col("symbols"), [(b.l, b.r) for b in applied])
+        symbols = F.when(F.col("flag"), merged).otherwise(F.col("symbols"))
+        words = flagged.select(symbols.alias("symbols"), "n").where(F.size("symbols") > 1)
+        retired.append(flagged)
         if len(retired) == CHECKPOINT_ROUNDS:
-            pairs, words = checkpoint(pairs), checkpoint(words)
-            for old in retired:
-                _release(*old)
+            words = checkpoint(words)
+            _release(retired)
             retired = []
-        else:
-            pairs, words = keep(pairs), keep(words)
-    for old in [*retired, (pairs, words)]:
-        _release(*old)
+    _release(retired)
     rows = [(i, b.l, b.r, b.l + b.r, b.n) for i, b in enumerate(merges)]
     return spark.createDataFrame(rows, MERGES_SCHEMA)
 
 
-def _release(*tables: DataFrame) -> None:
+def _release(tables: Sequence[DataFrame]) -> None:
     for table in tables:
         table.unpersist()
