@@ -24,7 +24,7 @@ BYTE_TO_CHAR = [
 ]
 CHAR_TO_BYTE = {c: b for b, c in enumerate(BYTE_TO_CHAR)}
 
-ASCII_VISIBLE = "^[!-~]*$"
+ASCII_VISIBLE = r"^[!-~]*\z"
 
 
 def byte_char(byte: Column) -> Column:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from vocabspark.functions.splits import MARK
 
 FORMS = ("NFC", "NFKC")
-ASCII_ONLY = r"^\p{ASCII}*$"
+ASCII_ONLY = r"^\p{ASCII}*\z"
 
 
 @cache

@@ -70,23 +70,26 @@ class Vocabulary:
         )
 
 
-class _Lexicon:
-    """Lookup tables for pieces, from the rows of :meth:`Vocabulary.lexicon`.
+def _lookup(tokens, ids, logprobs, rules, unknown: float) -> dict:
+    """Lookup tables for pieces, from the columns of :meth:`Vocabulary.lexicon`.
 
-    ``unknown`` is the score of a character that no token covers.
+    Plain dictionaries, so that a broadcast needs no class of this package. ``unknown`` is
+    the score of a character that no token covers.
     """
-
-    def __init__(self, tokens, ids, logprobs, rules, unknown: float):
-        self.unknown = unknown
-        self.ids = dict(zip(tokens, ids))
-        self.scores = dict(zip(tokens, logprobs))
-        self.ranks = {
-            (rule["left"], rule["right"]): rule["rank"]
-            for some in rules
-            if some is not None
-            for rule in some
-        }
-        self.longest = max(map(len, self.ids), default=1)
+    tokens = list(tokens)
+    ranks = {
+        (rule["left"], rule["right"]): rule["rank"]
+        for some in rules
+        if some is not None
+        for rule in some
+    }
+    return {
+        "ids": dict(zip(tokens, ids)),
+        "scores": dict(zip(tokens, logprobs)),
+        "ranks": ranks,
+        "longest": max(map(len, tokens), default=1),
+        "unknown": unknown,
+    }
 
 
 def merge_piece(symbols: list[str], ranks: dict, dropout: float = 0.0, rng=None) -> list[str]:
@@ -129,23 +132,23 @@ def merge_piece(symbols: list[str], ranks: dict, dropout: float = 0.0, rng=None)
     return [s for s in symbols if s is not None]
 
 
-def _segment(piece: str, lexicon: _Lexicon, model: str, dropout: float, rng) -> list[str]:
+def _segment(piece: str, lexicon: dict, model: str, dropout: float, rng) -> list[str]:
     if model == "bpe":
-        return merge_piece(list(piece), lexicon.ranks, dropout, rng)
+        return merge_piece(list(piece), lexicon["ranks"], dropout, rng)
     edges = []
     for end in range(1, len(piece) + 1):
-        for start in range(max(0, end - lexicon.longest), end):
+        for start in range(max(0, end - lexicon["longest"]), end):
             token = piece[start:end]
-            score = lexicon.scores.get(token)
+            score = lexicon["scores"].get(token)
             if score is not None:
                 edges.append((start, end, score, token))
             elif end - start == 1:
-                edges.append((start, end, lexicon.unknown, token))
+                edges.append((start, end, lexicon["unknown"], token))
     return best_path(len(piece), edges)
 
 
 def _piece_ids(
-    piece: str, lexicon: _Lexicon, added: dict, vocab_model: str, fallback: bool,
+    piece: str, lexicon: dict, added: dict, vocab_model: str, fallback: bool,
     dropout: float = 0.0, rng=None,
 ) -> list[int]:
     """Ids of one piece; ``added`` also holds the unknown and the fallback tokens."""
@@ -155,7 +158,7 @@ def _piece_ids(
         piece = piece.encode().decode("latin-1").translate(_BYTE_TABLE)
     ids = []
     for token in _segment(piece, lexicon, vocab_model, dropout, rng):
-        found = lexicon.ids.get(token)
+        found = lexicon["ids"].get(token)
         if found is not None:
             ids.append(found)
         elif fallback:
@@ -226,7 +229,7 @@ def encode(
 def _broadcast_encoder(vocab: Vocabulary, dropout: float):
     rows = vocab.lexicon().toPandas()
     columns = (rows[c] for c in ("token", "id", "logprob", "rules"))
-    lexicon = _Lexicon(*columns, vocab.unknown_score())
+    lexicon = _lookup(*columns, vocab.unknown_score())
     shared = vocab.tokens.sparkSession.sparkContext.broadcast((lexicon, _added_ids(vocab)))
     model, fallback = vocab.model, vocab.spec.byte_fallback
 
@@ -278,7 +281,7 @@ def _encode_by_join(
             rows = [] if rows is None else list(rows)
             columns = ([r[c] for r in rows] for c in ("token", "id", "logprob", "rules"))
             rng = random.Random(row_seed) if dropout else None
-            lexicon = _Lexicon(*columns, unknown)
+            lexicon = _lookup(*columns, unknown)
             return _piece_ids(piece, lexicon, added, model, fallback, dropout, rng)
 
         return pd.Series([one(*row) for row in zip(pieces, locals_, seeds)])

@@ -11,6 +11,7 @@ from vocabspark.operators.encode import Vocabulary
 from vocabspark.operators.inventory import fallback_tokens
 from vocabspark.operators.pretokenize import SplitSpec
 from vocabspark.operators.vocab import set_unk
+from vocabspark.session import fits_broadcast
 
 MODELS = ("bpe", "unigram")
 
@@ -134,34 +135,33 @@ def read_vocab_json(spark: SparkSession, path: str, spec: SplitSpec = SplitSpec(
 
 
 def vocab_json(artifact: Artifact) -> DataFrame:
-    """The artifact as one JSON string, in id and rank order."""
+    """The artifact as one JSON string, in id and rank order.
+
+    One document holds the whole vocabulary, so this gathers its tokens in one row; the
+    Parquet tables are the form for large ones.
+    """
+    if not fits_broadcast(artifact.tokens):
+        raise ValueError("too many tokens for one JSON document; use the Parquet tables")
     model = artifact.meta.first().model
 
-    def ordered(table: DataFrame, by: str, *fields: str) -> Column:
-        rows = F.array_sort(F.collect_list(F.struct(by, *fields)))
-        return table.agg(rows.alias("rows")).scalar()
+    def in_order(table: DataFrame, by: str, value: Column, name: str) -> DataFrame:
+        rows = F.array_sort(F.collect_list(F.struct(F.col(by).alias("at"), value.alias("value"))))
+        return table.agg(F.transform(rows, lambda r: r["value"]).alias(name))
 
-    added = ordered(artifact.added, "id", F.col("token").alias("content"), "special")
+    entry = F.struct("id", F.col("token").alias("content"), "special")
+    row = in_order(artifact.added, "id", entry, "added_tokens")
     if model == "bpe":
-        tokens = F.transform(ordered(artifact.tokens, "id", "token"), lambda t: F.struct(t["token"], t["id"]))
-        rules = F.transform(
-            ordered(artifact.merges, "rank", "left", "right"),
-            lambda m: F.concat_ws(" ", m["left"], m["right"]),
-        )
-        body = F.struct(
-            F.lit(model).alias("type"),
-            F.map_from_entries(tokens).alias("vocab"),
-            rules.alias("merges"),
-        )
+        tokens = in_order(artifact.tokens, "id", F.struct("token", "id"), "vocab")
+        rules = in_order(artifact.merges, "rank", F.concat_ws(" ", "left", "right"), "merges")
+        row = row.withColumn("vocab", F.map_from_entries(tokens.scalar()))
+        row = row.withColumn("merges", rules.scalar())
+        body = F.struct(F.lit(model).alias("type"), "vocab", "merges")
     else:
-        in_model = artifact.tokens.where(F.col("logprob").isNotNull())
-        pairs = F.transform(
-            ordered(in_model, "id", "token", "logprob"),
-            lambda t: F.array(t["token"], t["logprob"].cast("string")),
-        )
-        body = F.struct(F.lit(model).alias("type"), pairs.alias("vocab"))
-    whole = F.struct(added.alias("added_tokens"), body.alias("model"))
-    return artifact.meta.select(F.to_json(whole).alias("json"))
+        scored = artifact.tokens.where(F.col("logprob").isNotNull())
+        pair = F.array("token", F.col("logprob").cast("string"))
+        row = row.withColumn("vocab", in_order(scored, "id", pair, "vocab").scalar())
+        body = F.struct(F.lit(model).alias("type"), "vocab")
+    return row.select(F.to_json(F.struct("added_tokens", body.alias("model"))).alias("json"))
 
 
 def read_exemplars(spark: SparkSession, path: str, name: str) -> DataFrame:
