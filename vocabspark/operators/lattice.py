@@ -65,17 +65,17 @@ def expected_counts(length: int, edges: list[tuple[int, int, float, int]]) -> li
     forward = [0.0] + [-math.inf] * length
     backward = [-math.inf] * length + [0.0]
     for start, end, score, _ in edges:
-        forward[end] = _log_add(forward[end], forward[start] + score)
+        forward[end] = log_add(forward[end], forward[start] + score)
     if forward[length] == -math.inf:
         return [0.0] * len(edges)
     for start, end, score, _ in reversed(edges):
-        backward[start] = _log_add(backward[start], backward[end] + score)
+        backward[start] = log_add(backward[start], backward[end] + score)
     total = forward[length]
     return [
         math.exp(forward[start] + score + backward[end] - total) for start, end, score, _ in edges
     ]
 
 
-def _log_add(a: float, b: float) -> float:
+def log_add(a: float, b: float) -> float:
     low, high = (a, b) if a < b else (b, a)
     return high if low == -math.inf else high + math.log1p(math.exp(low - high))

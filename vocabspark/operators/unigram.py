@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vocabspark.operators.lattice import best_path, expected_counts, salted_join, substrings
+from vocabspark.operators.lattice import best_path, expected_counts, log_add, salted_join, substrings
 from vocabspark.operators.order import first_rows, with_running_index
 from vocabspark.session import MAX_BROADCAST_ROWS, checkpoint, fits_broadcast
 
@@ -55,6 +55,9 @@ def token_places(pieces: DataFrame, tokens: DataFrame, max_length: int) -> DataF
         found = parts.join(F.broadcast(table), "token")
     else:
         found = salted_join(parts, table, "token", F.col("piece"))
+    # A set number of tasks: the rounds cost far more time than the bytes they read suggest.
+    tasks = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = found.repartition(tasks, "piece")
     places = F.array_sort(F.collect_list(F.struct("end", "start", "id")))
     grouped = found.groupBy("piece", "n").agg(places.alias("places"))
 
@@ -81,10 +84,10 @@ def _per_piece(rows: pd.DataFrame, scores: list[float]) -> Iterator[tuple[int, i
         yield length, n, edges
 
 
-def _count_tokens(lattice: DataFrame, scores: np.ndarray, best_only: bool) -> DataFrame:
-    """``(id, c)``: expected token counts, or counts on the best paths.
+def _count_tokens(lattice: DataFrame, scores: np.ndarray) -> DataFrame:
+    """``(id, c)``: expected token counts.
 
-    Each task adds up its own pieces, so at most one row per token leaves a batch.
+    Each task adds up its own pieces, so at most one row per token leaves a task.
     """
     shared = lattice.sparkSession.sparkContext.broadcast(scores)
 
@@ -93,12 +96,8 @@ def _count_tokens(lattice: DataFrame, scores: np.ndarray, best_only: bool) -> Da
         total = np.zeros(len(scores))
         for rows in batches:
             for length, n, edges in _per_piece(rows, scores):
-                if best_only:
-                    for token in best_path(length, edges):
-                        total[token] += n
-                else:
-                    for edge, share in zip(edges, expected_counts(length, edges)):
-                        total[edge[3]] += n * share
+                for edge, share in zip(edges, expected_counts(length, edges)):
+                    total[edge[3]] += n * share
         used = np.flatnonzero(total)
         yield pd.DataFrame({"id": used, "c": total[used]})
 
@@ -114,13 +113,12 @@ def _vector(counted: DataFrame, size: int) -> np.ndarray:
     return out
 
 
-def _maximize(lattice: DataFrame, scores: np.ndarray) -> tuple[np.ndarray, float]:
+def _maximize(lattice: DataFrame, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """One round: expected counts under ``scores``, then scores from the counts."""
-    counts = _vector(_count_tokens(lattice, scores, best_only=False), len(scores))
-    alive = scores > -math.inf
-    counts = np.where(alive, np.maximum(counts, 1e-9), 0.0)
+    counts = _vector(_count_tokens(lattice, scores), len(scores))
+    counts = np.where(scores > -math.inf, np.maximum(counts, 1e-9), 0.0)
     with np.errstate(divide="ignore"):
-        return np.log(counts / counts.sum()), float(counts.sum())
+        return np.log(counts / counts.sum()), counts
 
 
 def log_likelihood(lattice: DataFrame, scores: np.ndarray) -> float:
@@ -134,7 +132,7 @@ def log_likelihood(lattice: DataFrame, scores: np.ndarray) -> float:
             for length, n, edges in _per_piece(rows, scores):
                 forward = [0.0] + [-math.inf] * length
                 for start, end, score, _ in edges:
-                    forward[end] = np.logaddexp(forward[end], forward[start] + score)
+                    forward[end] = log_add(forward[end], forward[start] + score)
                 total += n * forward[length]
             yield pd.DataFrame({"ll": [total]})
 
@@ -144,7 +142,7 @@ def log_likelihood(lattice: DataFrame, scores: np.ndarray) -> float:
 def _losses(token_lattice: DataFrame, scores: np.ndarray, used: np.ndarray) -> DataFrame:
     """``(id, loss)`` of tokens longer than one character.
 
-    The loss of dropping a token is how often it is used times what its best other
+    The loss of dropping a token is how often it is expected times what its best other
     segmentation costs.
     """
     shared = token_lattice.sparkSession.sparkContext.broadcast((scores, used))
@@ -197,10 +195,9 @@ def train_unigram(
     alive = size
     while True:
         for _ in range(em_rounds):
-            scores, _ = _maximize(lattice, scores)
+            scores, used = _maximize(lattice, scores)
         if alive <= budget:
             break
-        used = _vector(_count_tokens(lattice, scores, best_only=True), size)
         room = max(budget, int(alive * keep_ratio)) - int(single.sum())
         losses = _losses(token_lattice, scores, used)
         ranked = losses.join(tokens.select("id", "token"), "id")

@@ -86,7 +86,7 @@ def steps(text: str, names: list[str]) -> str:
 def split_rows(names: list[str], text: str = "text") -> str:
     """(doc_id, pos, piece) of the documents."""
     return f"""
-    SELECT doc_id, i - 1 AS pos, pieces[i] AS piece
+    SELECT doc_id, CAST(i - 1 AS INT) AS pos, pieces[i] AS piece
     FROM (SELECT doc_id, pieces, unnest(range(1, len(pieces) + 1)) AS i
           FROM (SELECT doc_id, {steps('text', names)} AS pieces
                 FROM (SELECT doc_id, {text} AS text FROM documents)))"""
@@ -134,6 +134,8 @@ def _decomposed() -> str:
 
 
 SQL["normalize_nfc"] = f"SELECT doc_id, nfc_normalize({_decomposed()}) AS text FROM documents"
+# The only compatibility character there is the ligature the query puts in.
+SQL["normalize_nfkc"] = "SELECT doc_id, nfc_normalize(text) AS text FROM documents"
 
 SPACED = f"replace(replace(text, ', ', ',' || repeat(' ', 16)), '. ', '.' || repeat(' ', 17))"
 SQL["pt_whitespace"] = split_rows(["whitespace"])
@@ -185,7 +187,7 @@ SELECT piece, {in_bytes('piece')} AS shown, piece AS back FROM c"""
 SQL["pretoken_counts"] = ctes(pieces("c")) + " SELECT piece, n FROM c"
 SQL["pretoken_counts_by_lang"] = ctes(pieces("c", by="lang, ")) + " SELECT lang, piece, n FROM c"
 SQL["top_pieces_by_lang"] = ctes(pieces("c", f"{SHORT} AND {FULL}", "lang, ")) + f"""
-SELECT lang, piece, n, rank FROM (
+SELECT lang, piece, n, CAST(rank AS INT) AS rank FROM (
   SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, piece) AS rank FROM c)
 WHERE rank <= {q.TOP_PIECES}"""
 
@@ -462,15 +464,50 @@ SQL["train_bpe"] = CHAIN + " UNION ALL ".join(
     f' SELECT {i - 1} AS rank, l AS "left", r AS "right", l || r AS token, n FROM p{i}'
     for i in range(1, q.N_MERGES + 1)
 )
-SQL["encode_bpe"] = CHAIN + f"""
-SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i, k) - 1 AS pos, s[k] AS token FROM (
-  SELECT doc_id, i, s, unnest(range(1, len(s) + 1)) AS k
-  FROM doc_pieces JOIN (SELECT piece, {symbols('s')} AS s FROM {LAST}) USING (piece))"""
+TRAINED = CHAIN + f""",
+learned AS ({' UNION ALL '.join(f'SELECT l || r AS token, {i} AS rank FROM p{i}' for i in range(1, q.N_MERGES + 1))}),
+trained AS MATERIALIZED (
+  SELECT token, CAST(row_number() OVER (ORDER BY section, rank, token) - 1 AS INT) AS id, kind FROM (
+    SELECT token, 0 AS rank, 'special' AS kind, 0 AS section FROM {SPECIALS}
+    UNION ALL SELECT token, 0, 'special', 0 FROM ({BUFFER.format(n=q.N_BUFFER)})
+    UNION ALL SELECT {byte_char('CAST(b AS INT)')}, 0, 'alphabet', 1 FROM range(256) t(b)
+    UNION ALL SELECT token, rank, 'merge', 2 FROM learned))"""
+SQL["encode_bpe"] = TRAINED + f"""
+SELECT doc_id, string_agg(CAST(id AS VARCHAR), ' ' ORDER BY i, k) AS ids FROM (
+  SELECT doc_id, i, k, s[k] AS token FROM (
+    SELECT doc_id, i, s, unnest(range(1, len(s) + 1)) AS k
+    FROM doc_pieces JOIN (SELECT piece, {symbols('s')} AS s FROM {LAST}) USING (piece)))
+JOIN trained USING (token) GROUP BY doc_id"""
 SQL["encode_bpe_by_join"] = SQL["encode_bpe"]
+SQL["vocab_roundtrip"] = TRAINED + " SELECT id, token, token AS decoded, true AS same FROM trained"
+SQL["vocab_artifact"] = TRAINED + """
+SELECT token, id, kind, CASE WHEN kind = 'special' THEN true END AS special FROM trained"""
 SQL["token_frequency"] = CHAIN + f"""
 SELECT lang, token, count(*) AS n FROM (
   SELECT lang, unnest(s) AS token
   FROM doc_pieces JOIN (SELECT piece, {symbols('s')} AS s FROM {LAST}) USING (piece)) GROUP BY lang, token"""
+
+# Bytes of a token, and the byte sequences that decode to exactly one replacement character:
+# a lone byte, or the start of a longer sequence that is cut short.
+_BYTE = """CASE WHEN u BETWEEN 256 AND 288 THEN u - 256 WHEN u BETWEEN 289 AND 322 THEN u - 162
+  WHEN u = 323 THEN 173 ELSE u END"""
+_HEX = f"""array_to_string(list_transform(list_transform(string_split(token, ''), lambda c: unicode(c)),
+  lambda u: printf('%02X', {_BYTE})), '')"""
+ONE_REPLACED = (
+    "^([89A-F].|E0[AB].|E[1-9A-CEF][89AB].|ED[89].|F0[9AB].([89AB].)?"
+    "|F[1-3][89AB].([89AB].)?|F48.([89AB].)?)$"
+)
+SQL["fallback_portion"] = CHAIN + f""",
+used AS (
+  SELECT lang, token, count(*) AS n FROM (
+    SELECT lang, unnest(s) AS token
+    FROM doc_pieces JOIN (SELECT piece, {symbols('s')} AS s FROM {LAST}) USING (piece)) GROUP BY lang, token),
+hexed AS (SELECT lang, n, {_HEX} AS hx FROM used)
+SELECT lang, n_tokens, n_fallback, n_holding, round(n_fallback / n_tokens, 6) AS portion FROM (
+  SELECT lang, CAST(sum(n) AS BIGINT) AS n_tokens,
+    CAST(coalesce(sum(n) FILTER (regexp_matches(hx, '{ONE_REPLACED}')), 0) AS BIGINT) AS n_fallback,
+    CAST(coalesce(sum(n) FILTER (TRY(decode(unhex(hx))) IS NULL), 0) AS BIGINT) AS n_holding
+  FROM hexed GROUP BY lang)"""
 SQL["length_stats"] = CHAIN + f""",
 sized AS (SELECT lang, CAST(sum(len({symbols('s')})) AS BIGINT) AS tokens
   FROM doc_pieces JOIN {LAST} USING (piece) GROUP BY lang)

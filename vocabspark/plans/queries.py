@@ -22,7 +22,7 @@ from vocabspark.operators import vocab as vo
 from vocabspark.operators.order import with_running_index
 from vocabspark.plans.merge import merge_unigram, trim_unigram
 from vocabspark.plans.train import TrainOptions, train_vocabulary
-from vocabspark.session import checkpoint, scratch_path
+from vocabspark.session import checkpoint, scratch_path, spread
 from vocabspark.sources import corpus as src
 from vocabspark.sources import vocab as vsrc
 
@@ -56,6 +56,11 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents")
 
 
+def texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents for text work: a single input file is spread over all cores."""
+    return spread(documents(spark, sf).select("doc_id", "text", "lang"))
+
+
 # --- sources ------------------------------------------------------------------------------
 
 
@@ -104,7 +109,7 @@ def read_mixed_directory(spark, sf):
 
 @query
 def read_exemplars(spark, sf):
-    words = documents(spark, sf).select(F.explode(splits.split_whitespace(F.col("text"))).alias("value"))
+    words = texts(spark, sf).select(F.explode(splits.split_whitespace(F.col("text"))).alias("value"))
     folder = f"{scratch_path(spark, 'exemplars')}.txt"
     words.write.text(folder)
     return vsrc.read_exemplars(spark, folder, "words")
@@ -178,18 +183,18 @@ def _decomposed(text: Column) -> Column:
 
 @query
 def normalize_nfc(spark, sf):
-    docs = documents(spark, sf).select("doc_id", _decomposed(F.col("text")).alias("text"))
+    docs = texts(spark, sf).select("doc_id", _decomposed(F.col("text")).alias("text"))
     return docs.select("doc_id", normalize(F.col("text"), "NFC").alias("text"))
 
 
 @query
 def normalize_nfkc(spark, sf):
-    docs = documents(spark, sf).select("doc_id", F.replace("text", F.lit("fi"), F.lit(LIGATURE)).alias("text"))
+    docs = texts(spark, sf).select("doc_id", F.replace("text", F.lit("fi"), F.lit(LIGATURE)).alias("text"))
     return docs.select("doc_id", normalize(F.col("text"), "NFKC").alias("text"))
 
 
 def _split(spark, sf, steps: list[str], text: Column | None = None) -> DataFrame:
-    docs = documents(spark, sf).select("doc_id", (F.col("text") if text is None else text).alias("text"))
+    docs = texts(spark, sf).select("doc_id", (F.col("text") if text is None else text).alias("text"))
     return pt.explode_pieces(docs, steps, ["doc_id"])
 
 
@@ -263,7 +268,7 @@ def split_byte_fallback(spark, sf):
 
 @query
 def byte_chars(spark, sf):
-    counts = pt.count_pretokens(documents(spark, sf), ["byte_level"]).select("piece")
+    counts = pt.count_pretokens(texts(spark, sf), ["byte_level"]).select("piece")
     shown = bytelevel.to_byte_chars(F.col("piece"))
     return counts.select("piece", shown.alias("shown")).withColumn(
         "back", bytelevel.from_byte_chars(F.col("shown"))
@@ -272,18 +277,18 @@ def byte_chars(spark, sf):
 
 @query
 def pretoken_counts(spark, sf):
-    return pt.count_pretokens(documents(spark, sf), ["byte_level"])
+    return pt.count_pretokens(texts(spark, sf), ["byte_level"])
 
 
 @query
 def pretoken_counts_by_lang(spark, sf):
-    return pt.count_pretokens(documents(spark, sf), ["byte_level"], ["lang"])
+    return pt.count_pretokens(texts(spark, sf), ["byte_level"], ["lang"])
 
 
 @query
 def top_pieces_by_lang(spark, sf):
     """Flagship: filters, byte-level split, counts and the most frequent pieces per language."""
-    docs = documents(spark, sf)
+    docs = texts(spark, sf)
     rows = corpus.filter_blank(corpus.filter_max_length(docs, "text", MAX_LENGTH))
     counts = pt.count_pretokens(rows, ["byte_level"], ["lang"])
     best = W.partitionBy("lang").orderBy(F.desc("n"), "piece")
@@ -301,7 +306,7 @@ def _with_control(text: str = "text") -> Column:
 
 
 def _control_docs(spark, sf) -> DataFrame:
-    return documents(spark, sf).select(_with_control().alias("text"))
+    return texts(spark, sf).select(_with_control().alias("text"))
 
 
 @query
@@ -316,13 +321,13 @@ def buffer_tokens(spark, sf):
 
 @query
 def whitespace_tokens(spark, sf):
-    docs = documents(spark, sf).select(_spaced().alias("text"))
+    docs = texts(spark, sf).select(_spaced().alias("text"))
     return inv.token_usage(docs, inv.whitespace_tokens(spark, N_WHITE, "exp", single=True))
 
 
 @query
 def byte_alphabet(spark, sf):
-    used = inv.byte_usage(documents(spark, sf))
+    used = inv.byte_usage(texts(spark, sf))
     joined = bytelevel.byte_alphabet(spark).join(used, "byte", "left")
     return joined.select("byte", "ch", F.coalesce("n", F.lit(0)).alias("n"))
 
@@ -338,7 +343,7 @@ def fallback_tokens(spark, sf):
 def vocab_budget(spark, sf):
     white = inv.whitespace_tokens(spark, N_WHITE)
     added = inv.added_tokens(spark, N_BUFFER, byte_fallback=True)
-    used = inv.char_usage(documents(spark, sf), ["lang"])
+    used = inv.char_usage(texts(spark, sf), ["lang"])
     return inv.vocab_budget(VOCAB_SIZE, white, added, used, ["lang"])
 
 
@@ -357,19 +362,19 @@ def _byte_counts(docs: DataFrame) -> DataFrame:
 
 @query
 def bpe_pair_counts(spark, sf):
-    return bpe.bpe_pair_counts(bpe.to_words(_byte_counts(documents(spark, sf))))
+    return bpe.bpe_pair_counts(bpe.to_words(_byte_counts(texts(spark, sf))))
 
 
 @query
 def bpe_pair_counts_filtered(spark, sf):
-    words = bpe.to_words(_byte_counts(documents(spark, sf)))
+    words = bpe.to_words(_byte_counts(texts(spark, sf)))
     merged = bpe.merge_symbols(F.col("symbols"), [("Ġ", "t"), ("e", "r")])
     return bpe.bpe_pair_counts(words.select(merged.alias("symbols"), "n"), 20, 3)
 
 
 @query
 def unigram_seed(spark, sf):
-    return unigram.unigram_seed(_byte_counts(documents(spark, sf)), MERGE_LENGTH)
+    return unigram.unigram_seed(_byte_counts(texts(spark, sf)), MERGE_LENGTH)
 
 
 # --- two vocabularies, from the English and the other documents ----------------------------------
@@ -377,7 +382,7 @@ def unigram_seed(spark, sf):
 
 def _side(spark, sf, side: str) -> DataFrame:
     english = F.col("lang") == "en"
-    return documents(spark, sf).where(english if side == "base" else ~english)
+    return texts(spark, sf).where(english if side == "base" else ~english)
 
 
 def side_uvocab(spark, sf, side: str) -> DataFrame:
@@ -513,7 +518,7 @@ def unigram_alp(spark, sf):
 
 def exemplars(spark, sf) -> DataFrame:
     """Letters beyond ASCII, one set per language."""
-    letters = inv.char_usage(documents(spark, sf), ["lang"])
+    letters = inv.char_usage(texts(spark, sf), ["lang"])
     beyond = letters.where(F.col("ch").rlike(r"^\p{L}$") & ~F.col("ch").rlike(r"^\p{ASCII}$"))
     return beyond.select(F.col("ch").alias("token"), F.col("lang").alias("set"))
 
@@ -622,7 +627,7 @@ def bpe_options() -> TrainOptions:
 
 @lru_cache(maxsize=8)
 def bpe_vocabulary(spark, sf) -> encode.Vocabulary:
-    return train_vocabulary(documents(spark, sf), bpe_options())
+    return train_vocabulary(texts(spark, sf), bpe_options())
 
 
 @lru_cache(maxsize=8)
@@ -631,13 +636,13 @@ def unigram_vocabulary(spark, sf) -> encode.Vocabulary:
         model="unigram", vocab_size=UNIGRAM_SIZE, n_buffer=N_BUFFER, max_token_length=8,
         max_sentence_length=0, spec=SPLIT_SPEC,
     )
-    return train_vocabulary(documents(spark, sf), opts)
+    return train_vocabulary(texts(spark, sf), opts)
 
 
 @query
 def train_bpe(spark, sf):
     counts = pt.byte_pieces(
-        pt.count_pretokens(documents(spark, sf), SPLIT_SPEC.train(), normal_form="NFC")
+        pt.count_pretokens(texts(spark, sf), SPLIT_SPEC.train(), normal_form="NFC")
     )
     return bpe.train_bpe(counts, N_MERGES)
 
@@ -649,34 +654,34 @@ def train_unigram(spark, sf):
 
 
 def _encoded(spark, sf, vocab=bpe_vocabulary) -> DataFrame:
-    return encode.encode(documents(spark, sf), vocab(spark, sf))
+    return encode.encode(texts(spark, sf), vocab(spark, sf))
 
 
-def _token_rows(encoded: DataFrame, vocab: encode.Vocabulary) -> DataFrame:
-    each = encoded.select("doc_id", F.posexplode("ids").alias("pos", "id"))
-    return each.join(vocab.tokens.select("id", "token"), "id").select("doc_id", "pos", "token")
+def _ids_text(encoded: DataFrame) -> DataFrame:
+    """The ids of each text in one string."""
+    return encoded.select("doc_id", F.array_join(F.col("ids").cast("array<string>"), " ").alias("ids"))
 
 
 @query
 def encode_bpe(spark, sf):
-    return _token_rows(_encoded(spark, sf), bpe_vocabulary(spark, sf))
+    return _ids_text(_encoded(spark, sf))
 
 
 @query
 def encode_bpe_by_join(spark, sf):
-    vocab = bpe_vocabulary(spark, sf)
-    return _token_rows(encode.encode(documents(spark, sf), vocab, max_broadcast_rows=0), vocab)
+    docs = texts(spark, sf)
+    return _ids_text(encode.encode(docs, bpe_vocabulary(spark, sf), max_broadcast_rows=0))
 
 
 @query
 def encode_unigram(spark, sf):
-    return _encoded(spark, sf, unigram_vocabulary).select("doc_id", F.posexplode("ids").alias("pos", "id"))
+    return _ids_text(_encoded(spark, sf, unigram_vocabulary))
 
 
 @query
 def encode_dropout(spark, sf):
-    encoded = encode.encode(documents(spark, sf), bpe_vocabulary(spark, sf), dropout=0.1, seed=7)
-    return encoded.select("doc_id", F.posexplode("ids").alias("pos", "id"))
+    docs = texts(spark, sf)
+    return _ids_text(encode.encode(docs, bpe_vocabulary(spark, sf), dropout=0.1, seed=7))
 
 
 @query
@@ -699,7 +704,7 @@ def decode_unigram(spark, sf):
 @query
 def decode_dropout(spark, sf):
     vocab = bpe_vocabulary(spark, sf)
-    encoded = encode.encode(documents(spark, sf), vocab, dropout=0.1, seed=7)
+    encoded = encode.encode(texts(spark, sf), vocab, dropout=0.1, seed=7)
     return encode.decode(encoded, vocab).select("doc_id", "decoded")
 
 

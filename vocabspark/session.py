@@ -62,6 +62,15 @@ def keep(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for a corpus of fewer input partitions than that.
+
+    A corpus of many files has far more partitions than there are cores and stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
     """Whether a table is small enough to send to every task; counts at most one row more."""
     bound = MAX_BROADCAST_ROWS if max_rows is None else max_rows
