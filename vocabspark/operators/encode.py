@@ -23,7 +23,7 @@ from vocabspark.functions.patterns import any_of
 from vocabspark.functions.splits import MARK, apply_steps, split_isolated
 from vocabspark.operators.inventory import UNKNOWN_TOKEN, token_list
 from vocabspark.operators.lattice import best_path, salted_join, substrings
-from vocabspark.operators.pretokenize import SplitSpec
+from vocabspark.operators.pretokenize import SplitSpec, count_pieces
 from vocabspark.session import fits_broadcast
 
 PIECES_REMEMBERED = 200_000
@@ -255,23 +255,45 @@ def _broadcast_encoder(vocab: Vocabulary, dropout: float):
 
         return pd.Series([None if p is None else one(p, s) for p, s in zip(texts, seeds)])
 
-    return encode_batch
+    # The result is fixed by the input. Without this mark, the optimizer repeats the whole
+    # function in the filters it derives from an explode of the ids.
+    return encode_batch.asNondeterministic()
 
 
-def _encode_by_join(
-    df: DataFrame, vocab: Vocabulary, key: str, ids: list[str], dropout: float, seed: int
+def encode_pieces(
+    df: DataFrame,
+    vocab: Vocabulary,
+    key: str = "text",
+    by: Sequence[str] = (),
+    max_broadcast_rows: int | None = None,
 ) -> DataFrame:
-    """Encode each distinct piece with the tokens that stand in it, then join the ids back."""
-    exploded = df.select(*ids, F.posexplode(text_pieces(key, vocab)).alias("pos", "piece"))
+    """``(by..., piece, n, ids)``: each distinct piece per group, counted and encoded once.
+
+    Enough for every report that adds up over tokens, and far less work than encoding whole
+    texts: pieces are cut and counted natively, before anything is shuffled or sent to Python.
+    """
+    counts = count_pieces(df.select(*by, F.explode(text_pieces(key, vocab)).alias("piece")), by)
+    if fits_broadcast(vocab.tokens, max_broadcast_rows):
+        encoder = _broadcast_encoder(vocab, 0.0)
+        return counts.withColumn("ids", encoder(F.array("piece"), F.lit(0)))
+    done = _encode_distinct(counts.select("piece").distinct(), vocab)
+    return counts.join(done.withColumnRenamed("piece_ids", "ids"), "piece")
+
+
+def _local_lexicons(distinct: DataFrame, vocab: Vocabulary) -> DataFrame:
+    """``(piece, local)``: for each piece, the lexicon rows of the tokens that stand in it."""
     lexicon = vocab.lexicon()
     longest = lexicon.agg(F.max(F.length("token"))).first()[0] or 1
-    distinct = exploded.select("piece").distinct()
     in_model = F.col("piece") if vocab.spec.byte_fallback else to_byte_chars(F.col("piece"))
     parts = distinct.select("piece", F.explode(substrings(in_model, longest)).alias("part"))
     parts = parts.select("piece", F.col("part.token").alias("token")).distinct()
-    rows = F.struct("token", "id", "logprob", "rules")
-    found = salted_join(parts, lexicon, "token", F.col("piece")).groupBy("piece")
-    local = distinct.join(found.agg(F.collect_list(rows).alias("local")), "piece", "left")
+    rows = F.collect_list(F.struct("token", "id", "logprob", "rules"))
+    found = salted_join(parts, lexicon, "token", F.col("piece"))
+    return distinct.join(found.groupBy("piece").agg(rows.alias("local")), "piece", "left")
+
+
+def _local_encoder(vocab: Vocabulary, dropout: float):
+    """Function from a piece, its local lexicon and a seed to ids."""
     model, fallback, added = vocab.model, vocab.spec.byte_fallback, _added_ids(vocab)
     unknown = vocab.unknown_score()
 
@@ -286,13 +308,31 @@ def _encode_by_join(
 
         return pd.Series([one(*row) for row in zip(pieces, locals_, seeds)])
 
+    return encode_batch.asNondeterministic()
+
+
+def _encode_distinct(distinct: DataFrame, vocab: Vocabulary) -> DataFrame:
+    """``(piece, piece_ids)`` with a vocabulary that is too large to send to the tasks."""
+    ids = _local_encoder(vocab, 0.0)("piece", "local", F.lit(""))
+    return _local_lexicons(distinct, vocab).select("piece", ids.alias("piece_ids"))
+
+
+def _encode_by_join(
+    df: DataFrame, vocab: Vocabulary, key: str, ids: list[str], dropout: float, seed: int
+) -> DataFrame:
+    """Encode each distinct piece with the tokens that stand in it, then join the ids back.
+
+    Dropout draws differ from place to place, so there every piece is encoded where it stands.
+    """
+    exploded = df.select(*ids, F.posexplode(text_pieces(key, vocab)).alias("pos", "piece"))
+    distinct, place = exploded.select("piece").distinct(), F.struct(*ids, "pos")
     if dropout:
         drawn = F.concat_ws(":", F.xxhash64(*[F.col(c) for c in ids], F.lit(seed)), "pos")
-        joined = salted_join(exploded, local, "piece", F.struct(*ids, "pos"))
-        encoded = joined.withColumn("piece_ids", encode_batch("piece", "local", drawn))
+        joined = salted_join(exploded, _local_lexicons(distinct, vocab), "piece", place)
+        encoder = _local_encoder(vocab, dropout)
+        encoded = joined.withColumn("piece_ids", encoder("piece", "local", drawn))
     else:
-        done = local.select("piece", encode_batch("piece", "local", F.lit("")).alias("piece_ids"))
-        encoded = salted_join(exploded, done, "piece", F.struct(*ids, "pos"))
+        encoded = salted_join(exploded, _encode_distinct(distinct, vocab), "piece", place)
     in_order = F.array_sort(F.collect_list(F.struct("pos", "piece_ids")))
     grouped = encoded.groupBy(*ids).agg(
         F.flatten(F.transform(in_order, lambda p: p["piece_ids"])).alias("ids")

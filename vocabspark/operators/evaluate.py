@@ -64,10 +64,17 @@ def length_stats(
     )
 
 
-def token_frequency(encoded: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """``(by..., id, n)``: how often each token is used; counted before the shuffle."""
-    each = encoded.select(*by, F.explode("ids").alias("id"))
-    return each.groupBy(*by, "id").agg(F.count(F.lit(1)).alias("n"))
+def token_frequency(
+    encoded: DataFrame, by: Sequence[str] = (), weight: str | None = None
+) -> DataFrame:
+    """``(by..., id, n)``: how often each token is used; counted before the shuffle.
+
+    ``weight`` names the column that says how often a row of ``encoded`` counts, for encoded
+    distinct pieces.
+    """
+    times = F.lit(1) if weight is None else F.col(weight)
+    each = encoded.select(*by, times.cast("long").alias("_times"), F.explode("ids").alias("id"))
+    return each.groupBy(*by, "id").agg(F.sum("_times").alias("n"))
 
 
 def token_decode_table(vocab: Vocabulary) -> DataFrame:
@@ -87,12 +94,14 @@ def _with_decoded(rows: DataFrame, table: DataFrame) -> DataFrame:
     return rows.join(F.broadcast(table) if fits_broadcast(table) else table, "id")
 
 
-def fallback_portion(encoded: DataFrame, vocab: Vocabulary, by: Sequence[str] = ()) -> DataFrame:
+def fallback_portion(
+    encoded: DataFrame, vocab: Vocabulary, by: Sequence[str] = (), weight: str | None = None
+) -> DataFrame:
     """Share of tokens that decode alone to exactly one U+FFFD, or hold one.
 
     Tokens are counted per group first, so the join sees one row per token and group.
     """
-    used = _with_decoded(token_frequency(encoded, by), token_decode_table(vocab))
+    used = _with_decoded(token_frequency(encoded, by, weight), token_decode_table(vocab))
     totals = used.groupBy(*by).agg(
         F.sum("n").alias("n_tokens"),
         F.coalesce(F.sum(F.when(F.col("is_fallback"), F.col("n"))), F.lit(0)).alias("n_fallback"),

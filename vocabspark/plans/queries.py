@@ -459,8 +459,9 @@ def order_union(spark, sf):
 
 @query
 def reindex_bpe(spark, sf):
-    base = side_vocab(spark, side_merges(spark, sf, "base"))
-    return vo.reindex_bpe(base, vo.order_union(_union(spark, sf), OFFSET))
+    base, plus = side_merges(spark, sf, "base"), side_merges(spark, sf, "plus")
+    union = vo.order_union(vo.union_bpe(base, plus), OFFSET)
+    return vo.reindex_bpe(side_vocab(spark, base), union)
 
 
 @query
@@ -657,6 +658,10 @@ def _encoded(spark, sf, vocab=bpe_vocabulary) -> DataFrame:
     return encode.encode(texts(spark, sf), vocab(spark, sf))
 
 
+def _encoded_pieces(spark, sf) -> DataFrame:
+    return encode.encode_pieces(texts(spark, sf), bpe_vocabulary(spark, sf), by=["lang"])
+
+
 def _ids_text(encoded: DataFrame) -> DataFrame:
     """The ids of each text in one string."""
     return encoded.select("doc_id", F.array_join(F.col("ids").cast("array<string>"), " ").alias("ids"))
@@ -732,7 +737,7 @@ def length_stats(spark, sf):
 
 @query
 def token_frequency(spark, sf):
-    used = evaluate.token_frequency(_encoded(spark, sf), ["lang"])
+    used = evaluate.token_frequency(_encoded_pieces(spark, sf), ["lang"], "n")
     tokens = bpe_vocabulary(spark, sf).tokens
     return used.join(tokens.select("id", "token"), "id").select("lang", "token", "n")
 
@@ -744,7 +749,8 @@ def token_decode_table(spark, sf):
 
 @query
 def fallback_portion(spark, sf):
-    return evaluate.fallback_portion(_encoded(spark, sf), bpe_vocabulary(spark, sf), ["lang"])
+    vocab = bpe_vocabulary(spark, sf)
+    return evaluate.fallback_portion(_encoded_pieces(spark, sf), vocab, ["lang"], "n")
 
 
 @query
