@@ -45,8 +45,8 @@ def learned(spark, words, n, **options):
 def test_overlap(spark):
     words = {"aaa": 1, "aaaa": 1}
     assert learned(spark, words, 3) == one_at_a_time(words, 3)
-    df = spark.createDataFrame([(list("aaa"),), (list("aaaa"),), (list("ba"),)], "s array<string>")
-    got = [r[0] for r in df.select(bpe.merge_symbols(df.s, [("a", "a")])).collect()]
+    df = bpe.to_words(spark.createDataFrame([("aaa", 1), ("aaaa", 1), ("ba", 1)], "piece string, n long"))
+    got = [r[0] for r in df.select(bpe.symbols(bpe.merge_pairs(df.word, [("a", "a")]))).collect()]
     assert got == [["aa", "a"], ["aa", "aa"], ["b", "a"]]
 
 

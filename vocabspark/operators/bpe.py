@@ -11,7 +11,7 @@ proved to come next:
   they stood when they appeared, by undoing the merges that came later;
 * a pair of two equal symbols, and one whose token exists already, goes alone.
 
-The pair counts are kept as a table. A round flags the words that hold a pair of its batch, in
+The pair counts are kept as a table. A round searches the words for the pairs of its batch, in
 one scan without a shuffle, and adds the difference those words make to the pair counts. The
 new counts are written to the shared folder, which also keeps the plans of a round small.
 """
@@ -19,31 +19,48 @@ new counts are written to the shared folder, which also keeps the plans of a rou
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vocabspark.functions.splits import MARK
-from vocabspark.operators.pretokenize import chars
 from vocabspark.session import checkpoint, keep
 
 MERGES_SCHEMA = "rank int, left string, right string, token string, n long"
 # Rounds between checkpoints of the words. Each round reads the words kept by the one before.
 CHECKPOINT_ROUNDS = 8
+# Most merges a round may take; the others wait for the next round.
+MAX_BATCH = 48
 
 
 def to_words(counts: DataFrame) -> DataFrame:
-    """``(symbols, n)``: each piece as the array of its characters."""
-    return counts.select(chars(F.col("piece")).alias("symbols"), "n")
+    """``(word, n)``: each piece as a string of symbols, one per character at first.
+
+    Each symbol stands between two marks. So a pair of neighbours is a plain substring, and
+    finding or merging it is a native string search, linear in the word.
+    """
+    word = F.regexp_replace("piece", "(?s)(.)", f"{MARK}$1{MARK}")
+    return counts.select(word.alias("word"), "n")
+
+
+def symbols(word: Column) -> Column:
+    """Array of the symbols of a word."""
+    return F.split(F.substring(word, F.lit(2), F.length(word) - 2), MARK + MARK)
+
+
+def _pair(left: str, right: str) -> str:
+    return f"{MARK}{left}{MARK}{MARK}{right}{MARK}"
 
 
-def adjacent(symbols: Column) -> Column:
-    """Array of the ``(l, r)`` neighbours of a symbol array."""
-    n = F.greatest(F.size(symbols) - 1, F.lit(0))
+def adjacent(word: Column) -> Column:
+    """Array of the ``(l, r)`` neighbours in a word."""
+    each = symbols(word)
+    n = F.greatest(F.size(each) - 1, F.lit(0))
     return F.zip_with(
-        F.slice(symbols, 1, n),
-        F.slice(symbols, 2, n),
+        F.slice(each, 1, n),
+        F.slice(each, 2, n),
         lambda left, right: F.struct(left.alias("l"), right.alias("r")),
     )
 
@@ -55,7 +72,7 @@ def bpe_pair_counts(
 
     Pairs are summed inside each task before they are shuffled.
     """
-    pairs = words.select(F.inline(adjacent(F.col("symbols"))), "n")
+    pairs = words.select(F.inline(adjacent(F.col("word"))), "n")
     pairs = _short_enough(pairs, max_token_length).groupBy("l", "r").agg(F.sum("n").alias("n"))
     return pairs.where(F.col("n") >= min_frequency) if min_frequency > 0 else pairs
 
@@ -66,26 +83,17 @@ def _short_enough(pairs: DataFrame, max_token_length: int) -> DataFrame:
     return pairs.where(F.length("l") + F.length("r") <= max_token_length)
 
 
-def merge_symbols(symbols: Column, batch: Sequence[tuple[str, str]]) -> Column:
-    """Join the neighbours that a batch merges, in one pass.
+def merge_pairs(word: Column, batch: Sequence[tuple[str, str]]) -> Column:
+    """Join the pairs of a batch, from left to right where a pair overlaps itself."""
+    for left, right in batch:
+        word = F.replace(word, F.lit(_pair(left, right)), F.lit(f"{MARK}{left}{right}{MARK}"))
+    return word
 
-    Pairs of a batch never overlap, so a pair can be decided by looking at it alone. Only a
-    pair of equal symbols overlaps itself; that one is replaced from left to right.
-    """
-    if len(batch) == 1 and batch[0][0] == batch[0][1]:
-        symbol = batch[0][0]
-        wrapped = F.array_join(F.transform(symbols, lambda s: F.concat(F.lit(MARK), s, F.lit(MARK))), "")
-        one = f"{MARK}{symbol}{MARK}"
-        glued = F.replace(wrapped, F.lit(one + one), F.lit(f"{MARK}{symbol}{symbol}{MARK}"))
-        return F.split(F.substring(glued, F.lit(2), F.length(glued) - 2), MARK + MARK)
-    keys = [f"{left}{MARK}{right}" for left, right in batch]
-
-    def glue(symbol: Column, i: Column) -> Column:
-        pair = F.concat(F.get(symbols, i - 1), F.lit(MARK), symbol)
-        joined = (i == 0) | F.coalesce(pair.isin(keys), F.lit(False))
-        return F.when(joined, symbol).otherwise(F.concat(F.lit(MARK), symbol))
 
-    return F.split(F.array_join(F.transform(symbols, glue), ""), MARK)
+def holds_any(word: Column, batch: Sequence[tuple[str, str]]) -> Column:
+    """Whether a word holds any pair of the batch."""
+    found = [F.contains(word, F.lit(_pair(left, right))) for left, right in batch]
+    return reduce(Column.__or__, found)
 
 
 def pick_batch(ranked: Sequence, known: set[str], room: int) -> list:
@@ -105,25 +113,22 @@ def pick_batch(ranked: Sequence, known: set[str], room: int) -> list:
     return batch
 
 
-def touches(symbols: Column, batch: Sequence[tuple[str, str]]) -> Column:
-    """Whether a word holds any pair of the batch."""
-    keys = [f"{left}{MARK}{right}" for left, right in batch]
-    pairs = F.transform(symbols, lambda s, i: F.concat(F.get(symbols, i - 1), F.lit(MARK), s))
-    return F.exists(pairs, lambda pair: F.coalesce(pair.isin(keys), F.lit(False)))
-
+def pair_changes(words: DataFrame, batch: Sequence) -> DataFrame:
+    """``(l, r, n)``: how the pair counts change when the batch is applied.
 
-def pair_changes(flagged: DataFrame, batch: Sequence) -> DataFrame:
-    """``(l, r, n)``: how the pair counts change when the batch is applied to flagged words."""
-    merged = merge_symbols(F.col("symbols"), [(b.l, b.r) for b in batch])
-    changed = flagged.where("flag").select("symbols", merged.alias("merged"), "n")
+    Only words that hold a pair of the batch are taken apart.
+    """
+    pairs = [(b.l, b.r) for b in batch]
+    changed = words.where(holds_any(F.col("word"), pairs))
+    changed = changed.select("word", merge_pairs(F.col("word"), pairs).alias("merged"), "n")
 
-    def signed(symbols: str, sign: int) -> Column:
+    def signed(word: str, sign: int) -> Column:
         return F.transform(
-            adjacent(F.col(symbols)),
+            adjacent(F.col(word)),
             lambda p: F.struct(p["l"].alias("l"), p["r"].alias("r"), F.lit(sign).alias("sign")),
         )
 
-    rows = changed.select(F.inline(F.concat(signed("merged", 1), signed("symbols", -1))), "n")
+    rows = changed.select(F.inline(F.concat(signed("merged", 1), signed("word", -1))), "n")
     return rows.groupBy("l", "r").agg(F.sum(F.col("sign") * F.col("n")).alias("n")).where("n <> 0")
 
 
@@ -197,7 +202,7 @@ def train_bpe(
     n_merges: int,
     min_frequency: int = 0,
     max_token_length: int = 16,
-    candidates: int = 256,
+    candidates: int = MAX_BATCH,
 ) -> DataFrame:
     """Merge list ``(rank, left, right, token, n)`` learned from ``(piece, n)``.
 
@@ -206,20 +211,17 @@ def train_bpe(
     """
     spark = counts.sparkSession
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    words = to_words(counts).where(F.size("symbols") > 1).repartition(tasks)
-    words = checkpoint(words)
+    words = checkpoint(to_words(counts.where(F.length("piece") > 1)).repartition(tasks))
     pairs = checkpoint(bpe_pair_counts(words, max_token_length=max_token_length))
     ranking = [F.desc("n"), "l", "r"]
-    merges, known, retired = [], set(), []
+    merges, known, kept = [], set(), []
     while len(merges) < n_merges:
         wanted = min(candidates, n_merges - len(merges))
         frequent = pairs.where(F.col("n") >= max(min_frequency, 1))
         batch = pick_batch(frequent.orderBy(*ranking).limit(wanted).collect(), known, wanted)
         if not batch:
             break
-        flag = touches(F.col("symbols"), [(b.l, b.r) for b in batch])
-        flagged = keep(words.withColumn("flag", flag))
-        changes = keep(pair_changes(flagged, batch))
+        changes = keep(pair_changes(words, batch))
         length = len(batch)
         if length > 1:
             length = provable_length(batch, new_pair_peaks(changes, batch, max_token_length))
@@ -231,15 +233,16 @@ def train_bpe(
         pairs = _short_enough(pairs.unionByName(delta), max_token_length)
         pairs = checkpoint(pairs.groupBy("l", "r").agg(F.sum("n").alias("n")).where("n > 0"))
         changes.unpersist()
-        merged = merge_symbols(F.col("symbols"), [(b.l, b.r) for b in applied])
-        symbols = F.when(F.col("flag"), merged).otherwise(F.col("symbols"))
-        words = flagged.select(symbols.alias("symbols"), "n").where(F.size("symbols") > 1)
-        retired.append(flagged)
-        if len(retired) == CHECKPOINT_ROUNDS:
+        merged = merge_pairs(F.col("word"), [(b.l, b.r) for b in applied])
+        words = words.select(merged.alias("word"), "n")
+        if len(kept) == CHECKPOINT_ROUNDS:
             words = checkpoint(words)
-            _release(retired)
-            retired = []
-    _release(retired)
+            _release(kept)
+            kept = []
+        else:
+            words = keep(words)
+            kept.append(words)
+    _release(kept)
     rows = [(i, b.l, b.r, b.l + b.r, b.n) for i, b in enumerate(merges)]
     return spark.createDataFrame(rows, MERGES_SCHEMA)
 

@@ -368,8 +368,8 @@ def bpe_pair_counts(spark, sf):
 @query
 def bpe_pair_counts_filtered(spark, sf):
     words = bpe.to_words(_byte_counts(texts(spark, sf)))
-    merged = bpe.merge_symbols(F.col("symbols"), [("Ġ", "t"), ("e", "r")])
-    return bpe.bpe_pair_counts(words.select(merged.alias("symbols"), "n"), 20, 3)
+    merged = bpe.merge_pairs(F.col("word"), [("Ġ", "t"), ("e", "r")])
+    return bpe.bpe_pair_counts(words.select(merged.alias("word"), "n"), 20, 3)
 
 
 @query
