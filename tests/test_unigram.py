@@ -94,10 +94,25 @@ def test_seed_size_is_bounded(counts):
         un.train_unigram(counts, 100, seed_size=10**9)
 
 
-def test_places_by_salted_join_equal_broadcast(spark, counts, monkeypatch):
+def test_places_by_skew_join_equal_broadcast(spark, counts, monkeypatch):
     seeds = with_running_index(un.seed_vocab(counts, 4, 100), ["token"], "id").persist()
     fields = ["n", "length", "starts", "ends", "ids"]
     narrow = un.token_places(counts, seeds, 4).select(fields)
     monkeypatch.setattr(un, "fits_broadcast", lambda df: False)
     wide = un.token_places(counts, seeds, 4).select(fields)
     assert narrow.exceptAll(wide).count() == wide.exceptAll(narrow).count() == 0
+
+
+@pytest.mark.parametrize("parts", ["1", "4", "64"])
+def test_skew_join_with_a_hot_key(spark, parts):
+    many = spark.range(3000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(
+        F.concat(F.lit("k"), F.col("id") % 500)).alias("k"), "id")
+    table = many.select("k").distinct().withColumn("v", F.length("k"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        got = la.skew_join(many, table.where("k <> 'k7'"), "k", F.col("id"))
+        want = many.join(table.where("k <> 'k7'"), "k")
+        assert sorted(got.select("k", "id", "v").collect()) == sorted(want.select("k", "id", "v").collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

@@ -26,11 +26,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vocabspark.functions.splits import MARK
-from vocabspark.session import checkpoint, keep
+from vocabspark.session import checkpoint, keep, task_count
 
 MERGES_SCHEMA = "rank int, left string, right string, token string, n long"
 # Rounds between checkpoints of the words. Each round reads the words kept by the one before.
 CHECKPOINT_ROUNDS = 8
+WORDS_PER_TASK = 200_000
 # Most merges a round may take; the others wait for the next round.
 MAX_BATCH = 48
 
@@ -210,8 +211,9 @@ def train_bpe(
     is frequent and short enough.
     """
     spark = counts.sparkSession
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    words = checkpoint(to_words(counts.where(F.length("piece") > 1)).repartition(tasks))
+    counts = checkpoint(counts.where(F.length("piece") > 1))
+    tasks = task_count(counts, WORDS_PER_TASK)
+    words = checkpoint(to_words(counts).repartition(tasks))
     pairs = checkpoint(bpe_pair_counts(words, max_token_length=max_token_length))
     ranking = [F.desc("n"), "l", "r"]
     merges, known, kept = [], set(), []

@@ -22,7 +22,7 @@ from vocabspark.functions.normalize import normalize_segments
 from vocabspark.functions.patterns import any_of
 from vocabspark.functions.splits import MARK, apply_steps, split_isolated
 from vocabspark.operators.inventory import UNKNOWN_TOKEN, token_list
-from vocabspark.operators.lattice import best_path, salted_join, substrings
+from vocabspark.operators.lattice import best_path, skew_join, substrings
 from vocabspark.operators.pretokenize import SplitSpec, count_pieces
 from vocabspark.session import fits_broadcast
 
@@ -288,7 +288,7 @@ def _local_lexicons(distinct: DataFrame, vocab: Vocabulary) -> DataFrame:
     parts = distinct.select("piece", F.explode(substrings(in_model, longest)).alias("part"))
     parts = parts.select("piece", F.col("part.token").alias("token")).distinct()
     rows = F.collect_list(F.struct("token", "id", "logprob", "rules"))
-    found = salted_join(parts, lexicon, "token", F.col("piece"))
+    found = skew_join(parts, lexicon, "token", F.col("piece"))
     return distinct.join(found.groupBy("piece").agg(rows.alias("local")), "piece", "left")
 
 
@@ -328,11 +328,11 @@ def _encode_by_join(
     distinct, place = exploded.select("piece").distinct(), F.struct(*ids, "pos")
     if dropout:
         drawn = F.concat_ws(":", F.xxhash64(*[F.col(c) for c in ids], F.lit(seed)), "pos")
-        joined = salted_join(exploded, _local_lexicons(distinct, vocab), "piece", place)
+        joined = skew_join(exploded, _local_lexicons(distinct, vocab), "piece", place)
         encoder = _local_encoder(vocab, dropout)
         encoded = joined.withColumn("piece_ids", encoder("piece", "local", drawn))
     else:
-        encoded = salted_join(exploded, _encode_distinct(distinct, vocab), "piece", place)
+        encoded = skew_join(exploded, _encode_distinct(distinct, vocab), "piece", place)
     in_order = F.array_sort(F.collect_list(F.struct("pos", "piece_ids")))
     grouped = encoded.groupBy(*ids).agg(
         F.flatten(F.transform(in_order, lambda p: p["piece_ids"])).alias("ids")
@@ -394,7 +394,7 @@ def token_bytes(vocab: Vocabulary) -> DataFrame:
 def _decode_by_join(df: DataFrame, vocab: Vocabulary, ids: list[str]) -> DataFrame:
     parts = df.select(*ids, F.posexplode("ids").alias("pos", "id"))
     table = token_bytes(vocab).select("id", F.hex("bytes").alias("hex"))
-    joined = salted_join(parts, table, "id", F.struct(*ids, "pos"))
+    joined = skew_join(parts, table, "id", F.struct(*ids, "pos"))
     in_order = F.array_sort(F.collect_list(F.struct("pos", "hex")))
     hexed = F.array_join(F.transform(in_order, lambda p: p["hex"]), "")
     text = F.make_valid_utf8(F.unhex(hexed).cast("string")).alias("decoded")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from vocabspark.functions.normalize import normalize
 from vocabspark.operators.encode import Vocabulary, decode, token_bytes
+from vocabspark.operators.lattice import skew_join
 from vocabspark.session import fits_broadcast
 
 REPLACEMENT = "\ufffd"
@@ -89,9 +90,11 @@ def token_decode_table(vocab: Vocabulary) -> DataFrame:
     )
 
 
-def _with_decoded(rows: DataFrame, table: DataFrame) -> DataFrame:
+def _with_decoded(rows: DataFrame, table: DataFrame, spread: Column) -> DataFrame:
     """Join rows with the decode table, by broadcast only if it is small enough."""
-    return rows.join(F.broadcast(table) if fits_broadcast(table) else table, "id")
+    if fits_broadcast(table):
+        return rows.join(F.broadcast(table), "id")
+    return skew_join(rows, table, "id", spread)
 
 
 def fallback_portion(
@@ -101,7 +104,7 @@ def fallback_portion(
 
     Tokens are counted per group first, so the join sees one row per token and group.
     """
-    used = _with_decoded(token_frequency(encoded, by, weight), token_decode_table(vocab))
+    used = _with_decoded(token_frequency(encoded, by, weight), token_decode_table(vocab), F.struct(*by, "id"))
     totals = used.groupBy(*by).agg(
         F.sum("n").alias("n_tokens"),
         F.coalesce(F.sum(F.when(F.col("is_fallback"), F.col("n"))), F.lit(0)).alias("n_fallback"),
@@ -116,7 +119,7 @@ def reconstruction(
     """Each token of each text decoded alone, ``|ufb|`` where that gives no character."""
     each = encoded.select(*ids, F.posexplode("ids").alias("pos", "id"))
     shown = F.when(F.col("is_fallback"), FALLBACK_LABEL).otherwise(F.col("decoded"))
-    return _with_decoded(each, token_decode_table(vocab)).select(
+    return _with_decoded(each, token_decode_table(vocab), F.struct(*ids, "pos")).select(
         *ids, "pos", "id", "token", shown.alias("shown")
     )
 

@@ -8,8 +8,6 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 16
-
 
 def substrings(piece: Column, max_length: int) -> Column:
     """Array of ``(start, end, token)`` of all substrings up to ``max_length`` characters."""
@@ -29,16 +27,25 @@ def substrings(piece: Column, max_length: int) -> Column:
     return F.coalesce(F.flatten(F.transform(starts, from_start)), F.array())
 
 
-def salted_join(many: DataFrame, table: DataFrame, key: str, spread: Column) -> DataFrame:
-    """Inner join on ``key`` that splits every key of ``many`` over several tasks.
+def skew_join(many: DataFrame, table: DataFrame, key: str, spread: Column) -> DataFrame:
+    """Inner join of many rows with a table of one row per key; hot keys are split.
 
-    ``spread`` picks one of the salts for a row of ``many``; the table, with one row per
-    key, is repeated once per salt. A key that holds a third of the rows is shared by as many
-    tasks as there are salts.
+    A key with more rows than an average task is cut into as many slices as it has average
+    tasks, and its table row is repeated for each slice. There are at most as many hot keys,
+    and at most twice as many slices, as shuffle partitions, so the list of them is small
+    whatever the data. ``spread`` decides the slice of a row.
     """
-    salted = many.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int"))
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    return salted.join(table.withColumn("_salt", salts), [key, "_salt"]).drop("_salt")
+    tasks = int(many.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = many.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg(F.sum("_n")).scalar()
+    slices = F.ceil(F.col("_n") * tasks / total).cast("int").alias("_slices")
+    hot = F.broadcast(counts.where(F.col("_n") * tasks > total).select(key, slices))
+    number = F.coalesce("_slices", F.lit(1))
+    slice_of_row = F.pmod(F.xxhash64(spread), number).cast("int")
+    left = many.join(hot, key, "left").withColumn("_slice", slice_of_row).drop("_slices")
+    every_slice = F.explode(F.sequence(F.lit(0), number - 1))
+    right = table.join(hot, key, "left").withColumn("_slice", every_slice).drop("_slices")
+    return left.join(right, [key, "_slice"]).drop("_slice")
 
 
 def best_path(length: int, edges: Iterable[tuple[int, int, float, object]]) -> list:

@@ -23,18 +23,14 @@ def _ranged(df: DataFrame, order: Sequence[Column | str]) -> tuple[DataFrame, li
     twice. Returns the table with ``_part`` and ``_row``, and rows per partition (as many
     numbers as partitions, whatever the data size).
     """
-    row_id = F.monotonically_increasing_id()
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = checkpoint(
-        df.repartitionByRange(parts, *order)
+        df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_part", F.spark_partition_id())
-        .withColumn("_row", row_id.bitwiseAND(F.lit(_ROW_BITS)))
+        .withColumn("_row", F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS)))
     )
-    sizes = [0] * parts
-    for part, n in ranged.groupBy("_part").count().collect():
-        sizes[part] = n
-    return ranged, sizes
+    counted = dict(ranged.groupBy("_part").count().collect())
+    return ranged, [counted.get(part, 0) for part in range(max(counted, default=-1) + 1)]
 
 
 def with_running_index(
@@ -42,8 +38,8 @@ def with_running_index(
 ) -> DataFrame:
     """Number the rows ``start, start + 1, ...`` in the given total order."""
     ranged, sizes = _ranged(df, order)
-    before = [0, *accumulate(sizes)][:-1]
-    offset = F.element_at(F.array(*[F.lit(b).cast("long") for b in before]), F.col("_part") + 1)
+    before = [0, *accumulate(sizes)]
+    offset = F.get(F.lit(before).cast("array<long>"), F.col("_part"))
     return ranged.withColumn(name, offset + F.col("_row") + F.lit(start)).drop("_part", "_row")
 
 

@@ -15,11 +15,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vocabspark.operators.lattice import best_path, expected_counts, log_add, salted_join, substrings
+from vocabspark.operators.lattice import best_path, expected_counts, log_add, skew_join, substrings
 from vocabspark.operators.order import first_rows, with_running_index
-from vocabspark.session import MAX_BROADCAST_ROWS, checkpoint, fits_broadcast
+from vocabspark.session import MAX_BROADCAST_ROWS, checkpoint, fits_broadcast, task_count
 
 SEED_FACTOR = 10
+PIECES_PER_TASK = 50_000
 
 
 def unigram_seed(counts: DataFrame, max_length: int = 16) -> DataFrame:
@@ -54,10 +55,8 @@ def token_places(pieces: DataFrame, tokens: DataFrame, max_length: int) -> DataF
     if fits_broadcast(table):
         found = parts.join(F.broadcast(table), "token")
     else:
-        found = salted_join(parts, table, "token", F.col("piece"))
-    # A set number of tasks: the rounds cost far more time than the bytes they read suggest.
-    tasks = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    found = found.repartition(tasks, "piece")
+        found = skew_join(parts, table, "token", F.col("piece"))
+    found = found.repartition(task_count(pieces, PIECES_PER_TASK), "piece")
     places = F.array_sort(F.collect_list(F.struct("end", "start", "id")))
     grouped = found.groupBy("piece", "n").agg(places.alias("places"))
 

@@ -100,7 +100,9 @@ SQL["select_key"] = "SELECT html AS text FROM pages"
 SQL["read_jsonl"] = "SELECT text FROM documents WHERE text IS NOT NULL"
 SQL["read_text"] = r"SELECT regexp_replace(text, '[\r\n]', ' ', 'g') AS text FROM conversations"
 SQL["convert_corpus"] = "SELECT text FROM conversations WHERE text IS NOT NULL"
-SQL["read_mixed_directory"] = "SELECT text FROM documents UNION ALL SELECT text FROM conversations"
+SQL["read_mixed_directory"] = """
+SELECT text FROM documents UNION ALL SELECT text FROM documents WHERE text IS NOT NULL
+UNION ALL SELECT text FROM conversations"""
 SQL["read_exemplars"] = f"""
 SELECT DISTINCT unnest({steps('text', ['whitespace'])}) AS token, 'words' AS "set" FROM documents"""
 

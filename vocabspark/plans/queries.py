@@ -103,7 +103,9 @@ def read_mixed_directory(spark, sf):
     folder = scratch_path(spark, "mixed")
     docs, talks = documents(spark, sf), table(spark, sf, "conversations")
     docs.select("text").write.parquet(f"{folder}/docs.parquet")
+    docs.select("text").write.json(f"{folder}/again.jsonl")
     talks.select("text").write.parquet(f"{folder}/talks")
+    talks.select("text").write.csv(f"{folder}/other.csv")
     return src.read_corpus(spark, folder)
 
 

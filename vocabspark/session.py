@@ -62,6 +62,11 @@ def keep(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def task_count(df: DataFrame, rows_per_task: int) -> int:
+    """Tasks for work that costs more than its bytes suggest: by rows, at least one per core."""
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // rows_per_task))
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Use all cores for a corpus of fewer input partitions than that.
 

@@ -61,25 +61,26 @@ def _is_dataset(entries: list[tuple[str, bool]]) -> bool:
 
 
 def read_corpus(spark: SparkSession, path: str, key: str = "text") -> DataFrame:
-    """Read a file by its suffix, a dataset directory, or a mixed directory one level deep.
+    """Read by suffix, or else a dataset directory, or a mixed directory one level deep.
 
     A mixed directory is one read per format, put together by ``unionByName``. Files of
     other kinds and directories that are no dataset are passed over.
     """
     is_dir, entries = _children(spark, path)
-    if not is_dir:
-        suffix = _suffix(path)
-        if suffix is None:
-            raise ValueError(f"unknown corpus file type: {path}; use one of {sorted(READERS)}")
+    suffix = _suffix(path)
+    if suffix is not None:
         return READERS[suffix](spark, path, key)
+    if not is_dir:
+        raise ValueError(f"unknown corpus file type: {path}; use one of {sorted(READERS)}")
     if _is_dataset(entries):
         return read_corpus_parquet(spark, path, key)
     found: dict[str, list[str]] = {}
     for child, child_is_dir in entries:
-        if child_is_dir and _is_dataset(_children(spark, child)[1]):
-            found.setdefault(".parquet", []).append(child)
-        elif not child_is_dir and _suffix(child):
-            found.setdefault(_suffix(child), []).append(child)
+        suffix = _suffix(child)
+        if suffix is None and child_is_dir and _is_dataset(_children(spark, child)[1]):
+            suffix = ".parquet"
+        if suffix is not None:
+            found.setdefault(suffix, []).append(child)
     if not found:
         raise ValueError(f"no corpus files in {path}")
     parts = []
