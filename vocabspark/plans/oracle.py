@@ -519,6 +519,27 @@ FROM (SELECT lang, count(*) AS n_docs, CAST(sum(length(text)) AS BIGINT) AS char
         CAST(sum(octet_length(encode(text))) AS BIGINT) AS bytes FROM documents GROUP BY lang)
 JOIN sized USING (lang)"""
 
+# A token that is not whole characters has one broken sequence, at its end or at its start.
+DECODED = TRAINED + f""",
+hexes AS (SELECT *, {_HEX} AS hx FROM trained),
+alone AS MATERIALIZED (
+  SELECT id, token, CASE WHEN kind = 'special' THEN token ELSE coalesce(
+    TRY(decode(unhex(hx))),
+    CASE WHEN regexp_matches(hx, '{ONE_REPLACED}') THEN chr(65533) END,
+    TRY(decode(unhex(substr(hx, 1, length(hx) - 2)))) || chr(65533),
+    chr(65533) || TRY(decode(unhex(substr(hx, 3))))) END AS decoded
+  FROM hexes)"""
+SQL["token_decode_table"] = DECODED + """
+SELECT id, token, decoded, decoded = chr(65533) AS is_fallback, contains(decoded, chr(65533)) AS has_fallback
+FROM alone"""
+SQL["reconstruction"] = DECODED + f"""
+SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY i, k) - 1 AS INT) AS pos, id, token,
+  CASE WHEN decoded = chr(65533) THEN '|ufb|' ELSE decoded END AS shown
+FROM (SELECT doc_id, i, k, s[k] AS token FROM (
+  SELECT doc_id, i, s, unnest(range(1, len(s) + 1)) AS k
+  FROM doc_pieces JOIN (SELECT piece, {symbols('s')} AS s FROM {LAST}) USING (piece)))
+JOIN alone USING (token)"""
+
 # --- text that must come back ------------------------------------------------------------------
 
 BACK = "SELECT doc_id, nfc_normalize(text) AS decoded FROM documents"
