@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from vocabspark.operators import encode as en
 from vocabspark.operators import evaluate as ev
-from vocabspark.operators import inventory as inv
 from vocabspark.operators.pretokenize import SplitSpec
 from vocabspark.plans.train import TrainOptions, train_vocabulary
 from vocabspark.session import checkpoint
