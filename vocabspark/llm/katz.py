@@ -232,6 +232,33 @@ def _table(key, context, columns: dict, lost=None) -> pa.Table:
     return pa.table(data)
 
 
+_PACKED = (
+    "target long, key array<long>, context array<int>, " + ", ".join(f"{h} array<long>" for h in _PARTS)
+    + ", seen array<double>, unseen array<double>, known array<long>, base array<double>, lost array<int>, lost_sizes array<int>"
+)
+
+
+def _packed(table: pa.Table, target: np.ndarray) -> pa.Table:
+    """One row of arrays for each target: far fewer rows than there are pairs of partitions and documents."""
+    order = np.argsort(target, kind="stable")
+    table, target = table.take(pa.array(order)).combine_chunks(), target[order]
+    names, starts = np.unique(target, return_index=True)
+    ends = pa.array(np.append(starts, len(target)).astype(np.int32))
+    data = {"target": pa.array(names, pa.int64())}
+    for c in ["key", "context", *_SUMS]:
+        data[c] = pa.ListArray.from_arrays(ends, table[c].chunk(0))
+    lost = table["lost"].chunk(0).fill_null([])
+    sizes = lost.value_lengths()
+    before = np.append(0, np.cumsum(sizes.to_numpy()))
+    data["lost"] = pa.ListArray.from_arrays(pa.array(before[ends.to_numpy()].astype(np.int32)), lost.flatten())
+    data["lost_sizes"] = pa.ListArray.from_arrays(ends, sizes)
+    return pa.table(data)
+
+
+def _flat(table: pa.Table, name: str) -> np.ndarray:
+    return np.concatenate([c.flatten().to_numpy() for c in table[name].chunks])
+
+
 def score(docs: DataFrame, learns: Column, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Scores every row by a model of the rows where ``learns`` holds.
 
@@ -328,14 +355,12 @@ def score(docs: DataFrame, learns: Column, id: str = "doc_id", text: str = "text
     def settle(table: pa.Table) -> pa.Table:
         lexicon, _ = sent.value
 
-        def flat(name: str) -> np.ndarray:
-            return np.concatenate([c.flatten().to_numpy() for c in table[name].chunks])
-
         lengths = np.concatenate([c.value_lengths().to_numpy() for c in table["key"].chunks])
         learns = np.repeat(table["learns"].to_numpy(), lengths)
-        names, owner = np.unique(flat("key"), return_inverse=True)
+        names, owner = np.unique(_flat(table, "key"), return_inverse=True)
+        target = (mix(names.view(np.uint64)) % np.uint64(lexicon.buckets)).astype(np.int64)
         if table["side"][0].as_py() == 1:
-            word, back = np.unique(flat("word"), return_inverse=True)
+            word, back = np.unique(_flat(table, "word"), return_inverse=True)
             count = np.bincount(back[learns], minlength=len(word))[back]
             share = np.where(count > 0, (1 - lexicon.p0) * count / max(lexicon.tokens, 1), lexicon.p0)
             sums = {
@@ -343,9 +368,9 @@ def score(docs: DataFrame, learns: Column, id: str = "doc_id", text: str = "text
                 "base": np.bincount(owner, lexicon.log_base(count), len(names)),
                 "seen": np.bincount(owner, np.log10(share) - lexicon.log_p()[lexicon.rare], len(names)),
             }
-            return _table(names, None, sums)
+            return _packed(_table(names, None, sums), target)
         log_p = lexicon.log_p()
-        pair = flat("context").astype(np.int64) << 32 | flat("after")
+        pair = _flat(table, "context").astype(np.int64) << 32 | _flat(table, "after")
         pairs, back = np.unique(pair, return_inverse=True)
         count = np.bincount(back[learns], minlength=len(pairs))
         context, after = pairs >> 32, pairs & 0xFFFFFFFF
@@ -353,9 +378,10 @@ def score(docs: DataFrame, learns: Column, id: str = "doc_id", text: str = "text
         kept = count > 0
         own = _context_rows(context[kept], after[kept], count[kept], log_p)
         by_context = _table(None, pa.array(own.pop("context").astype(np.int32)), own)
-        return pa.concat_tables([_table(names, None, sums, _list(lost, sizes)), by_context])
+        by_key = _packed(_table(names, None, sums, _list(lost, sizes)), target)
+        return pa.concat_tables([by_key, _packed(by_context, np.full(by_context.num_rows, -1))])
 
-    found = stored(dealt.groupBy("side", "bucket").applyInArrow(settle, _OUT), "sums")
+    found = stored(dealt.groupBy("side", "bucket").applyInArrow(settle, _PACKED), "sums")
     return _combined(settled, found, lexicon, square, id)
 
 
@@ -373,7 +399,7 @@ def discounts(n: np.ndarray) -> np.ndarray:
 
 def _combined(settled: DataFrame, found: DataFrame, lexicon: Lexicon, square: np.ndarray, id: str) -> DataFrame:
     """Adds up the parts: discounts from all counts, backoff weights from all contexts, then scores."""
-    contexts = found.where("context is not null")
+    contexts = found.where("target < 0").select(F.inline(F.arrays_zip("context", *_PARTS, "seen", "unseen")))
     summed = contexts.groupBy("context").agg(*(F.sum(c).alias(c) for c in [*_PARTS, "seen", "unseen"]))
     # A row for each symbol at most: bounded by TABLE_WORDS.
     table = summed.toArrow()
@@ -398,23 +424,38 @@ def _combined(settled: DataFrame, found: DataFrame, lexicon: Lexicon, square: np
     log_alpha = np.log10(np.maximum(left, 1e-300) / room)
     sent = found.sparkSession.sparkContext.broadcast((log_alpha, np.log10(d)))
 
-    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def whole(columns: dict, lost: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """log10 probabilities from the parts."""
         log_alpha, log_d = sent.value
+        total = columns["seen"] + columns["unseen"]
+        total = total + np.bincount(np.repeat(np.arange(len(sizes)), sizes), log_alpha[lost], len(sizes))
+        for k, h in enumerate(_PARTS):
+            total = total + log_d[k] * columns[h]
+        return total
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lost = batch.column("lost").fill_null([])
-            sizes = lost.value_lengths().to_numpy()
-            owner = np.repeat(np.arange(batch.num_rows), sizes)
-            total = batch.column("seen").to_numpy() + batch.column("unseen").to_numpy()
-            total = total + np.bincount(owner, log_alpha[lost.flatten().to_numpy()], batch.num_rows)
-            for k, h in enumerate(_PARTS):
-                total = total + log_d[k] * batch.column(h).to_numpy()
+            columns = {c: batch.column(c).to_numpy() for c in _SUMS}
+            total = whole(columns, lost.flatten().to_numpy(), lost.value_lengths().to_numpy())
             names = [c for c in batch.schema.names if c not in (*_PARTS, "seen", "unseen", "lost", "context")]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(total)], names=[*names, "total"])
 
+    def add(table: pa.Table) -> pa.Table:
+        columns = {c: _flat(table, c) for c in _SUMS}
+        total = whole(columns, _flat(table, "lost"), _flat(table, "lost_sizes"))
+        names, which = np.unique(_flat(table, "key"), return_inverse=True)
+
+        def summed(values: np.ndarray) -> np.ndarray:
+            return np.bincount(which, values, len(names))
+
+        return pa.table(
+            {"key": names, "k": summed(columns["known"]).astype(np.int64), "b": summed(columns["base"]), "t": summed(total)}
+        )
+
     kind = settled.schema["id"].dataType.simpleString()
     base = settled.mapInArrow(finish, f"key long, known long, base double, id {kind}, learns boolean, n_tokens long, total double")
-    more = found.where("key is not null").mapInArrow(finish, "key long, known long, base double, total double")
-    more = more.groupBy("key").agg(F.sum("known").alias("k"), F.sum("base").alias("b"), F.sum("total").alias("t"))
+    more = found.where("target >= 0").groupBy("target").applyInArrow(add, "key long, k long, b double, t double")
     # Equal rows share a key, and each has added its occurrences to the key's sums.
     equal = settled.groupBy("key").agg(F.count("*").alias("equal"))
     more = equal.join(more, "key", "left")
