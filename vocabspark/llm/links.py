@@ -37,19 +37,23 @@ def near_sizes(n: Column, m: Column, num: int, den: int) -> Column:
 
 
 def links(
-    keys: DataFrame, fetch: Callable[[DataFrame], DataFrame], num: int, den: int
+    keys: DataFrame,
+    fetch: Callable[[DataFrame], DataFrame],
+    num: int,
+    den: int,
+    probes: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Links at Jaccard ``num / den`` or more among distinct sets.
 
     ``keys(key long, id long, n long)``; ``fetch(ids(id))`` returns ``(id, n, weight, tokens)`` of
-    those sets, tokens sorted. Returns ``edges(a, b)``, enough of them to connect whatever is linked,
+    those sets, tokens sorted. ``probes(id, probe array, least)`` may rule pairs out before their sets are
+    fetched: linked sets share the lesser ``least`` elements of their probes. Returns ``edges(a, b)``, enough of them to connect whatever is linked,
     and ``degrees(id, n_links)``, the weights of all sets linked with a set.
     """
     held = keys.groupBy("key").agg(F.count("*").alias("holders")).where("holders > 1")
     shared = stored(keys.join(held, "key"), "keys")
     few = shared.where(F.col("holders") <= HOT)
     hot = shared.where(F.col("holders") > HOT)
-    spark = keys.sparkSession
 
     hubs = hot.groupBy("key").agg(F.min("id").alias("b"))
     family = components(hot.select("key", F.col("id").alias("a")).join(hubs, "key").select("a", "b"))
@@ -62,7 +66,13 @@ def links(
     own = family.select(F.col("id").alias("a"), F.col("family").alias("f_a"))
     other = family.select(F.col("id").alias("b"), F.col("family").alias("f_b"))
     pairs = pairs.join(own, "a", "left").join(other, "b", "left")
-    pairs = stored(pairs.where("f_a is null or f_b is null or f_a <> f_b").select("a", "b"), "pairs")
+    pairs = pairs.where("f_a is null or f_b is null or f_a <> f_b").select("a", "b")
+    if probes is not None:
+        own = probes.select(F.col("id").alias("a"), F.col("probe").alias("p_a"), F.col("least").alias("l_a"))
+        other = probes.select(F.col("id").alias("b"), F.col("probe").alias("p_b"), F.col("least").alias("l_b"))
+        common = F.size(F.array_intersect("p_a", "p_b"))
+        pairs = pairs.join(own, "a").join(other, "b").where(common >= F.least("l_a", "l_b")).select("a", "b")
+    pairs = stored(pairs, "pairs")
 
     wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
     wanted = wanted.unionByName(family.select("id")).distinct()

@@ -7,8 +7,8 @@ classes of frequent ones by rising frequency. Of a set of ``n`` tokens a linked
 the first ``n - a + 2`` tokens of either set hold their first two. If the first common token is rare,
 it is found as a single index key. If it is frequent, so is the second (the order puts rare tokens
 first), and the pair of both is found as a combined key: a passage that thousands of documents
-share then indexes only those whose prefixes share two such tokens. Candidates are verified on
-their whole sets.
+share then indexes only those whose prefixes share two such tokens. Candidates must then share enough
+tokens of prefixes that are extended further, and what is left is verified on whole sets.
 
 Combinations grow with the square of the prefix, so sets above ``COMBINED_UP_TO`` tokens index
 frequent tokens singly; sets a little smaller, which may link with those, index both ways.
@@ -31,15 +31,15 @@ from vocabspark.llm.words import chunks, list_column, mix, shingle_sets, signed,
 # Sets of up to so many tokens index pairs of frequent tokens.
 COMBINED_UP_TO = 512
 # Rows of the table of frequent tokens that goes to every task: 9 bytes each.
-FREQUENT_ROWS = 1 << 20
-# A token counts as frequent from so many documents on (as a lower bound, see frequent_tokens).
-FREQUENT_FROM = 24
+FREQUENT_ROWS = 1 << 21
+# Tokens of this class on (a count of 32, as a lower bound, see frequent_tokens) are indexed in combinations.
+COMBINED_CLASS = 5
 # Tokens a task holds before it counts them.
 _HELD = 4 << 20
 
 
 def frequent_tokens(docs: DataFrame, text: str, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Frequent tokens (sorted) and their classes 1, 2, ... by rising frequency.
+    """Repeated tokens (sorted) and their classes 1, 2, ...: the whole logarithms of their counts.
 
     Every document is counted, a few million tokens at a time; a token that occurs once in such a
     block does not count there, so a count is a lower bound and the shuffle holds repeated tokens only. Any
@@ -67,7 +67,7 @@ def frequent_tokens(docs: DataFrame, text: str, k: int) -> tuple[np.ndarray, np.
             yield counted()
 
     counts = docs.select(text).mapInArrow(count, "token long, seen long")
-    counts = stored(counts.groupBy("token").agg(F.sum("seen").alias("seen")).where(F.col("seen") >= FREQUENT_FROM), "frequent")
+    counts = stored(counts.groupBy("token").agg(F.sum("seen").alias("seen")), "frequent")
     classes = counts.withColumn("class", F.floor(F.log2(F.col("seen").cast("double"))).cast("int"))
     sizes = sorted(((r[0], r[1]) for r in classes.groupBy("class").count().collect()), reverse=True)
     least, rows = 64, 0
@@ -78,22 +78,20 @@ def frequent_tokens(docs: DataFrame, text: str, k: int) -> tuple[np.ndarray, np.
     table = classes.where(F.col("class") >= least).select("token", "class").toArrow()
     token = table["token"].to_numpy().view(np.uint64)
     order = np.argsort(token)
-    cls = table["class"].to_numpy().astype(np.int64)
-    return token[order], (cls[order] - (least - 1)).astype(np.uint8)
+    return token[order], table["class"].to_numpy().astype(np.uint8)[order]
 
 
 def index_keys(tokens: np.ndarray, classes: np.ndarray, num: int, den: int) -> np.ndarray:
     """Index keys of one set: rare prefix tokens, and combinations of frequent ones.
 
-    ``tokens`` are sorted, ``classes`` are 0 for rare tokens. A set of one token can only be
-    linked with an equal set, and needs no key.
+    ``tokens`` are sorted. A set of one token can only be linked with an equal set, and needs no key.
     """
     n = len(tokens)
     if n < 2:
         return np.zeros(0, np.uint64)
     order = np.argsort(classes, kind="stable")
     prefix = n + (-num * n // den) + 1  # n - ceil(n * num / den) + 1
-    rare = int(np.count_nonzero(classes == 0))
+    rare = int(np.count_nonzero(classes < COMBINED_CLASS))
     keys = [tokens[order[: min(prefix, rare)]]]
     often = tokens[order[rare : prefix + 1]]
     heads = max(0, prefix - rare)  # frequent tokens inside the shorter prefix
@@ -107,6 +105,21 @@ def index_keys(tokens: np.ndarray, classes: np.ndarray, num: int, den: int) -> n
     return np.concatenate(keys)
 
 
+def probe_of(tokens: np.ndarray, classes: np.ndarray, num: int, den: int) -> tuple[np.ndarray, int]:
+    """A longer prefix, 32 bits a token, and how many of its tokens a linked set's probe shares at least.
+
+    If the prefix of a set is extended by ``l - 1`` tokens, it holds the first ``l`` tokens that a
+    linked set shares with it; so two probes share the lesser of their ``l``. Tokens that equal another
+    in 32 bits are listed once and not counted on.
+    """
+    n = len(tokens)
+    prefix = n + (-num * n // den) + 1
+    extra = min(max(1, n // 10), n - prefix + 1)
+    order = np.argsort(classes, kind="stable")[: prefix + extra - 1]
+    short = np.unique((tokens[order] >> np.uint64(32)).astype(np.uint32))
+    return short.view(np.int32), max(0, extra - (len(order) - len(short)))
+
+
 def set_digest(tokens: np.ndarray) -> int:
     """One number for a whole set: equal sets have equal ones."""
     if not len(tokens):
@@ -172,11 +185,24 @@ def linked_classes(docs: DataFrame, k: int, num: int, den: int, id: str, text: s
             for tokens, s, e in zip(sets, (ends - sizes).tolist(), ends.tolist())
         ]
         digest = pa.array([set_digest(tokens) for tokens in sets], pa.int64())
+        probes = [
+            probe_of(tokens, classes[s:e], num, den) if e > s else (np.zeros(0, np.int32), 0)
+            for tokens, s, e in zip(sets, (ends - sizes).tolist(), ends.tolist())
+        ]
         return pa.record_batch(
-            {"id": part.column("id"), "n": sizes, "digest": digest, "keys": list_column(keys, pa.int64())}
+            {
+                "id": part.column("id"),
+                "n": sizes,
+                "digest": digest,
+                "keys": list_column(keys, pa.int64()),
+                "probe": list_column([p for p, _ in probes], pa.int32()),
+                "least": np.array([least for _, least in probes], np.int32),
+            }
         )
 
-    rows = docs.mapInArrow(by_chunk(index, "text"), "id long, n long, digest long, keys array<long>")
+    rows = docs.mapInArrow(
+        by_chunk(index, "text"), "id long, n long, digest long, keys array<long>, probe array<int>, least int"
+    )
     rows = stored(rows, "index")
     present = rows.where("n > 0 and id is not null")
     classes = present.groupBy("digest").agg(F.min("id").alias("rep"), F.count_distinct("id").alias("copies"))
@@ -184,6 +210,7 @@ def linked_classes(docs: DataFrame, k: int, num: int, den: int, id: str, text: s
     reps = present.join(classes.select("digest", F.col("rep").alias("id")), ["digest", "id"])
     reps = reps.dropDuplicates(["digest", "id"])  # dealt by these columns already
     keys = reps.select(F.explode("keys").alias("key"), F.col("digest").alias("id"), "n")
+    probes = reps.select(F.col("digest").alias("id"), "probe", "least")
 
     def tokens_of(part: pa.RecordBatch) -> pa.RecordBatch:
         sets = shingle_sets(words_of(part.column("text")), k)
@@ -208,5 +235,5 @@ def linked_classes(docs: DataFrame, k: int, num: int, den: int, id: str, text: s
         repeated = present.groupBy("digest", "id").count().where("count > 1")
         return sets if repeated.isEmpty() else sets.dropDuplicates(["id"])
 
-    edges, degrees = li.links(keys, fetch, num, den)
+    edges, degrees = li.links(keys, fetch, num, den, probes)
     return rows, classes, edges, degrees
