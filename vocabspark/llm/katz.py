@@ -136,7 +136,7 @@ def build_lexicon(training: DataFrame) -> Lexicon:
     power = F.floor(F.log2(F.col("n").cast("double"))).cast("int")
     by_power = counts.groupBy(power.alias("power")).agg(F.count("*"), F.sum("n")).collect()
     total, distinct = sum(r[2] for r in by_power), sum(r[1] for r in by_power)
-    least, taken = 63, 0
+    least, taken = 62, 0
     for p, words, _ in sorted(by_power, reverse=True):
         if taken + words > TABLE_WORDS:
             break
