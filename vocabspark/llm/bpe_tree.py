@@ -29,7 +29,7 @@ from vocabspark.llm.words import list_column
 # Pieces of up to so many bytes are leaves of the tree.
 LEAF_BYTES = 32
 # Encodings of pieces and tests of token pairs that a task remembers; then it forgets them all.
-REMEMBERED = 200_000
+REMEMBERED = 600_000
 
 
 def read_ranks(spark: SparkSession, path: str) -> dict[bytes, int]:
@@ -195,14 +195,20 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int], ids: str = "ids", name:
     sent = encoded.sparkSession.sparkContext.broadcast(ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = {rank: token for token, rank in sent.value.items()}
+        tokens = [None] * (max(sent.value.values(), default=-1) + 1)
+        for token, rank in sent.value.items():
+            tokens[rank] = token
         for batch in batches:
             column = batch.column(ids)
             if not isinstance(column, pa.ListArray):
                 column = column.cast(pa.list_(pa.int32()))
             for start in range(0, batch.num_rows, 256):
                 part, own = batch.slice(start, 256), column.slice(start, 256)
-                raw = [b"".join(map(tokens.__getitem__, row)) if row else b"" for row in own.to_pylist()]
+                flat = own.flatten().to_pylist()
+                if flat and min(flat) < 0:
+                    raise ValueError(f"unknown id {min(flat)}")
+                ends = np.cumsum(pa.compute.fill_null(own.value_lengths(), 0).to_numpy()).tolist()
+                raw = [b"".join([tokens[i] for i in flat[a:b]]) for a, b in zip([0, *ends], ends)]
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array(raw, pa.binary())], names=[*part.schema.names, name]
                 )
