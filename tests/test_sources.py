@@ -69,3 +69,14 @@ def test_json_of_unknown_model(spark, tmp_path):
     path.write_text(json.dumps({"added_tokens": [], "model": {"type": "other"}}))
     with pytest.raises(ValueError, match="model"):
         vsrc.read_vocab_json(spark, str(path))
+
+
+def test_mixed_directory_reads_compressed_files(spark, tmp_path):
+    import bz2
+    import gzip
+
+    (tmp_path / "a.jsonl").write_text('{"text": "one"}\n')
+    (tmp_path / "b.jsonl.gz").write_bytes(gzip.compress(b'{"text": "two"}\n'))
+    (tmp_path / "c.txt.bz2").write_bytes(bz2.compress(b"three\n"))
+    found = src.read_corpus(spark, str(tmp_path))
+    assert sorted(r[0] for r in found.collect()) == ["one", "three", "two"]

@@ -35,8 +35,16 @@ READERS = {
 }
 
 
+# Codecs that Spark's line readers undo by the file's name.
+CODECS = (".gz", ".bz2", ".zst", ".deflate", ".lz4", ".snappy")
+
+
 def _suffix(path: str) -> str | None:
-    return next((s for s in READERS if path.rstrip("/").endswith(s)), None)
+    """The reader's suffix, which a codec's may follow if the format is one of lines."""
+    name = path.rstrip("/")
+    plain = next((name.removesuffix(c) for c in CODECS if name.endswith(c)), name)
+    found = next((s for s in READERS if plain.endswith(s)), None)
+    return None if found == ".parquet" and plain != name else found
 
 
 def _children(spark: SparkSession, path: str) -> tuple[bool, list[tuple[str, bool]]]:
