@@ -40,9 +40,13 @@ CUT = 5
 TABLE_WORDS = 1 << 20
 # Words (and symbols) whose pairs with each other are counted map-side.
 HOT_WORDS = 1024
-# Occurrences a partition is meant to hold.
-BUCKET_TOKENS = 3_000_000
+# Occurrences a partition is meant to hold: some 130 bytes each while it is counted.
+BUCKET_TOKENS = 1_000_000
+# Bytes of an Arrow batch, set on the session.
+BATCH_BYTES = 8 << 20
 _HELD = 2 << 20
+# Packed rows whose parts are added up at once.
+_ROWS = 64
 
 # Counts told apart: the discounted ones and the next, whose number the discounts need.
 _TOLD = CUT + 1
@@ -213,7 +217,7 @@ def _context_rows(context, after, count, log_p) -> dict:
 
 
 _OUT = (
-    "key long, context int, " + ", ".join(f"{h} long" for h in _PARTS) + ", seen double, unseen double, known long, base double, "
+    "key long, context int, " + ", ".join(f"{h} int" for h in _PARTS) + ", seen double, unseen double, known long, base double, "
     "lost array<int>"
 )
 
@@ -223,7 +227,7 @@ def _table(key, context, columns: dict, lost=None) -> pa.Table:
     zero = np.zeros(n)
     data = {"key": key if key is not None else pa.nulls(n, pa.int64()), "context": context if context is not None else pa.nulls(n, pa.int32())}
     for h in _PARTS:
-        data[h] = pa.array(columns.get(h, zero)).cast(pa.int64())
+        data[h] = pa.array(columns.get(h, zero)).cast(pa.int32())
     for name in ("seen", "unseen"):
         data[name] = pa.array(columns.get(name, zero)).cast(pa.float64())
     data["known"] = pa.array(columns.get("known", zero)).cast(pa.int64())
@@ -233,7 +237,7 @@ def _table(key, context, columns: dict, lost=None) -> pa.Table:
 
 
 _PACKED = (
-    "target long, key array<long>, context array<int>, " + ", ".join(f"{h} array<long>" for h in _PARTS)
+    "target long, key array<long>, context array<int>, " + ", ".join(f"{h} array<int>" for h in _PARTS)
     + ", seen array<double>, unseen array<double>, known array<long>, base array<double>, lost array<int>, lost_sizes array<int>"
 )
 
@@ -255,6 +259,12 @@ def _packed(table: pa.Table, target: np.ndarray) -> pa.Table:
     return pa.table(data)
 
 
+def _freed(table: pa.Table) -> pa.Table:
+    """The same table; what the worker no longer uses goes back to the system before the next group."""
+    pa.default_memory_pool().release_unused()
+    return table
+
+
 def _flat(table: pa.Table, name: str) -> np.ndarray:
     return np.concatenate([c.flatten().to_numpy() for c in table[name].chunks])
 
@@ -275,6 +285,8 @@ def score(docs: DataFrame, learns: Column, id: str = "doc_id", text: str = "text
         F.col(id).alias("id"), F.coalesce(learns, F.lit(False)).alias("learns"), F.xxhash64(F.col(id), body).alias("key"), body.alias("text")
     )
     spark = docs.sparkSession
+    # Packed rows are large: without a limit in bytes a task's whole share would be one batch.
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     training = rows.where("learns").select("text")
     lexicon = build_lexicon(training)
     square = _hot_pairs(training, lexicon)
@@ -358,6 +370,7 @@ def score(docs: DataFrame, learns: Column, id: str = "doc_id", text: str = "text
         lengths = np.concatenate([c.value_lengths().to_numpy() for c in table["key"].chunks])
         learns = np.repeat(table["learns"].to_numpy(), lengths)
         names, owner = np.unique(_flat(table, "key"), return_inverse=True)
+        owner = owner.astype(np.int32)
         target = (mix(names.view(np.uint64)) % np.uint64(lexicon.buckets)).astype(np.int64)
         if table["side"][0].as_py() == 1:
             word, back = np.unique(_flat(table, "word"), return_inverse=True)
@@ -368,10 +381,11 @@ def score(docs: DataFrame, learns: Column, id: str = "doc_id", text: str = "text
                 "base": np.bincount(owner, lexicon.log_base(count), len(names)),
                 "seen": np.bincount(owner, np.log10(share) - lexicon.log_p()[lexicon.rare], len(names)),
             }
-            return _packed(_table(names, None, sums), target)
+            return _freed(_packed(_table(names, None, sums), target))
         log_p = lexicon.log_p()
         pair = _flat(table, "context").astype(np.int64) << 32 | _flat(table, "after")
         pairs, back = np.unique(pair, return_inverse=True)
+        del pair
         count = np.bincount(back[learns], minlength=len(pairs))
         context, after = pairs >> 32, pairs & 0xFFFFFFFF
         sums, lost, sizes = _evaluate(context[back], after[back], count[back], owner, len(names), lexicon, log_p)
@@ -379,7 +393,7 @@ def score(docs: DataFrame, learns: Column, id: str = "doc_id", text: str = "text
         own = _context_rows(context[kept], after[kept], count[kept], log_p)
         by_context = _table(None, pa.array(own.pop("context").astype(np.int32)), own)
         by_key = _packed(_table(names, None, sums, _list(lost, sizes)), target)
-        return pa.concat_tables([by_key, _packed(by_context, np.full(by_context.num_rows, -1))])
+        return _freed(pa.concat_tables([by_key, _packed(by_context, np.full(by_context.num_rows, -1))]))
 
     found = stored(dealt.groupBy("side", "bucket").applyInArrow(settle, _PACKED), "sums")
     return _combined(settled, found, lexicon, square, id)
@@ -441,21 +455,30 @@ def _combined(settled: DataFrame, found: DataFrame, lexicon: Lexicon, square: np
             names = [c for c in batch.schema.names if c not in (*_PARTS, "seen", "unseen", "lost", "context")]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(total)], names=[*names, "total"])
 
+    def worth(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One sum for each key, where its parts stand: the exchange carries no parts."""
+        for batch in batches:
+            for start in range(0, batch.num_rows, _ROWS):
+                rows = batch.slice(start, _ROWS)
+                columns = {c: rows.column(c).flatten().to_numpy() for c in _SUMS}
+                total = whole(columns, rows.column("lost").flatten().to_numpy(), rows.column("lost_sizes").flatten().to_numpy())
+                ends = pa.array(np.append(0, np.cumsum(rows.column("key").value_lengths().to_numpy())).astype(np.int32))
+                values = {"key": rows.column("key").flatten(), "known": columns["known"], "base": columns["base"], "total": total}
+                lists = {c: pa.ListArray.from_arrays(ends, pa.array(v)) for c, v in values.items()}
+                yield pa.record_batch({"target": rows.column("target"), **lists})
+
     def add(table: pa.Table) -> pa.Table:
-        columns = {c: _flat(table, c) for c in _SUMS}
-        total = whole(columns, _flat(table, "lost"), _flat(table, "lost_sizes"))
         names, which = np.unique(_flat(table, "key"), return_inverse=True)
 
-        def summed(values: np.ndarray) -> np.ndarray:
-            return np.bincount(which, values, len(names))
+        def summed(name: str) -> np.ndarray:
+            return np.bincount(which, _flat(table, name), len(names))
 
-        return pa.table(
-            {"key": names, "k": summed(columns["known"]).astype(np.int64), "b": summed(columns["base"]), "t": summed(total)}
-        )
+        return _freed(pa.table({"key": names, "k": summed("known").astype(np.int64), "b": summed("base"), "t": summed("total")}))
 
     kind = settled.schema["id"].dataType.simpleString()
     base = settled.mapInArrow(finish, f"key long, known long, base double, id {kind}, learns boolean, n_tokens long, total double")
-    more = found.where("target >= 0").groupBy("target").applyInArrow(add, "key long, k long, b double, t double")
+    valued = found.where("target >= 0").mapInArrow(worth, "target long, key array<long>, known array<long>, base array<double>, total array<double>")
+    more = valued.groupBy("target").applyInArrow(add, "key long, k long, b double, t double")
     # Equal rows share a key, and each has added its occurrences to the key's sums.
     equal = settled.groupBy("key").agg(F.count("*").alias("equal"))
     more = equal.join(more, "key", "left")
