@@ -60,6 +60,12 @@ def mod97(code: str) -> bool:
     return int("".join(str(int(c, 36)) for c in code[4:] + code[:4])) % 97 == 1
 
 
+def octet(part: str) -> bool:
+    """Whether a run of digits of any length is at most 255; ``int`` refuses very long ones."""
+    part = part.lstrip("0")
+    return len(part) <= 3 and int(part or 0) <= 255
+
+
 def _digits(text: str) -> str:
     return "".join(c for c in text if "0" <= c <= "9")
 
@@ -83,7 +89,7 @@ def find(text: str) -> list[tuple[str, int, int, float]]:
     found = [("email", s, e) for s, e in emails(text)] if "@" in text else []
     if _DIGIT.search(text):
         for m in _IP.finditer(text):
-            if all(int(part) <= 255 for part in m[0].split(".")):
+            if all(octet(part) for part in m[0].split(".")):
                 found.append(("ip", *m.span()))
         for m in _CARD.finditer(text):
             if 12 <= len(digits := _digits(m[0])) <= 19 and luhn(digits):
