@@ -1,6 +1,14 @@
 """Inputs on which operators used to do less than the whole job."""
 
-from vocabspark.llm import pii
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from vocabspark.llm import katz, pii
 
 
 def test_ip_after_a_very_long_run_of_digits(spark):
@@ -12,3 +20,36 @@ def test_ip_after_a_very_long_run_of_digits(spark):
     assert got == {1: [], 2: [("ip", 0, 5007)], 3: [("ip", 17, 30)], 4: []}
     clean = {r.doc_id: r.text for r in pii.redacted(docs).collect()}
     assert clean[1] == long and clean[2] == "[IP]" and clean[4] == rows[3][1]
+
+
+def _katz(training, texts):
+    """Log10 probabilities of texts under a backoff model of order two, by definition."""
+    count = Counter(w for t in training for w in t)
+    total, ends = sum(count.values()) + len(training), len(training)
+    p0 = min(0.5, max(sum(n == 1 for n in count.values()) / total, 1 / (total + 1)))
+    single = Counter(count) + Counter({"</s>": ends})
+    p = lambda w: (1 - p0) * single[w] / total if single[w] else p0
+    pairs = Counter(pair for t in training for pair in zip(["<s>", *t], [*t, "</s>"]))
+    d = katz.discounts(np.array([sum(n == r for n in pairs.values()) for r in range(1, katz.CUT + 2)], float))
+    held = Counter(count) + Counter({"<s>": ends})
+    after = {}
+    for (h, w), n in pairs.items():
+        after.setdefault(h, []).append((w, n, (d[n - 1] if n <= katz.CUT else 1.0) * n / (held[h] + 0.5)))
+    alpha = {h: (1 - sum(x for *_, x in found)) / (1 - sum(p(w) for w, *_ in found)) for h, found in after.items()}
+    seen = {(h, w): x for h, found in after.items() for w, _, x in found}
+    one = lambda h, w: np.log10(seen[h, w] if (h, w) in seen else alpha.get(h, 1.0) * p(w))
+    return [sum(one(h, w) for h, w in zip(["<s>", *t], [*t, "</s>"])) for t in texts]
+
+
+@pytest.mark.parametrize("words", [0, 4, 40, 1 << 20])
+def test_katz_scores_whatever_the_table_holds(spark, monkeypatch, words):
+    monkeypatch.setattr(katz, "TABLE_WORDS", words)
+    monkeypatch.setattr(katz, "BUCKET_TOKENS", 300)
+    rnd = random.Random(4)
+    texts = [" ".join(f"w{int(rnd.paretovariate(0.6))}" for _ in range(rnd.randrange(60))) for _ in range(60)] + ["", "new newer", "new newer"]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    out = katz.score(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), F.col("doc_id") % 4 != 0).collect()
+    split = [re.findall(r"\S+", t) for t in texts]
+    want = _katz([t for i, t in enumerate(split) if i % 4], split)
+    got = {r.doc_id: r.score for r in out}
+    assert [got[i] for i in range(len(texts))] == pytest.approx(want, rel=1e-9)

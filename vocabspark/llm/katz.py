@@ -10,14 +10,15 @@ order two, backs off from pairs to single tokens to the unknown word:
 - single tokens: ``P(w) = (1 - p0) * c(w) / N``, and ``p0`` (Good-Turing's share of tokens seen once) for all unknown
   words together.
 
-Frequent words (at most ``TABLE_WORDS``, from the largest counts down by whole powers of two) are told
-apart as contexts and successors; all other words share one symbol there, within which a word has its
-share of the symbol's probability. So the table sent to every task is bounded, while counts of all
+Frequent words (at most ``TABLE_WORDS``, from the largest counts down by whole powers of two) have numbers in a
+table that is sent to every task; it only makes occurrences smaller and spreads the commonest contexts. All other words go by
+their hashes and have their own pairs like any other. So the table is bounded, while counts of all
 words and of all pairs grow with the corpus and stay in partitioned tables.
 
-Occurrences, not counts, are dealt out: each partition gets every occurrence of its pairs
-(or rare words), counts those of the training rows, evaluates all of them, and gives back a
-partial sum for each document. Contexts with many occurrences are dealt by the pair, and pairs of the
+Occurrences, not counts, are dealt out: each partition gets every occurrence of its pairs, and the training counts of
+the rare words in them, counts the pairs of the training rows, evaluates all of them, and gives back a
+partial sum for each document. A rare context lies in one partition with all its pairs, which settles all but the
+discounts in its weight. Contexts with many occurrences are dealt by the pair, and pairs of the
 hottest words are counted map-side and evaluated where the text is read, so no key is a bottleneck.
 """
 
@@ -56,10 +57,10 @@ _SUMS = [*_PARTS, "seen", "unseen", "known", "base"]
 
 @dataclass
 class Lexicon:
-    """What every task knows of single tokens. Symbols: words, then rare, begin, end."""
+    """What every task knows of single tokens. Symbols: words, then rare (a mark: go by the hash), begin, end."""
 
     words: np.ndarray  # sorted hashes of frequent words
-    counts: np.ndarray  # training counts of all symbols
+    counts: np.ndarray  # training counts of all symbols, none for the mark
     tokens: int  # N, ends included
     distinct: int  # V, the end included
     p0: float
@@ -74,10 +75,14 @@ class Lexicon:
     def log_p(self) -> np.ndarray:
         """log10 P of every symbol as a successor; begin never is one."""
         share = (1 - self.p0) * self.counts / max(self.tokens, 1)
-        share[self.rare] += self.p0
+        share[self.rare] = self.p0
         share[self.rare + 1] = 0
         return np.log10(np.maximum(share, 1e-300))
 
+    def log_p_of(self, count: np.ndarray) -> np.ndarray:
+        """The same of words by their counts."""
+        return np.log10(np.where(count > 0, (1 - self.p0) * count / max(self.tokens, 1), self.p0))
+
     def log_base(self, count: np.ndarray) -> np.ndarray:
         return np.log10((count + 0.1) / (self.tokens + 0.1 * (self.distinct + 1)))
 
@@ -91,23 +96,35 @@ def _symbols(found: Words, lexicon: Lexicon) -> np.ndarray:
     return np.where(lexicon.words[at] == distinct, at, lexicon.rare).astype(np.int32)[back]
 
 
-def _pairs(symbols: np.ndarray, bounds: np.ndarray, lexicon: Lexicon) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Context, successor and text of every token, ends included."""
-    docs = len(bounds) - 1
-    size = np.diff(bounds) + 1
-    start = np.append(0, np.cumsum(size))
-    context = np.empty(int(start[-1]), np.int32)
-    after = np.empty(int(start[-1]), np.int32)
-    owner = np.repeat(np.arange(docs), size)
+def _laid(values: np.ndarray, bounds: np.ndarray, begin: int, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """Context and successor of every token, ends included."""
+    start = np.append(0, np.cumsum(np.diff(bounds) + 1))
+    context = np.empty(int(start[-1]), values.dtype)
+    after = np.empty(int(start[-1]), values.dtype)
     inner = np.ones(len(after), bool)
     inner[start[1:] - 1] = False
-    after[inner] = symbols
-    after[start[1:] - 1] = lexicon.rare + 2
+    after[inner] = values
+    after[start[1:] - 1] = end
     inner[:] = True
     inner[start[:-1]] = False
-    context[inner] = symbols
-    context[start[:-1]] = lexicon.rare + 1
-    return context, after, owner
+    context[inner] = values
+    context[start[:-1]] = begin
+    return context, after
+
+
+def _pairs(symbols: np.ndarray, bounds: np.ndarray, lexicon: Lexicon) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Context, successor and text of every token, as symbols."""
+    owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds) + 1)
+    return *_laid(symbols, bounds, lexicon.rare + 1, lexicon.rare + 2), owner
+
+
+def _buckets(context, after, context_word, after_word, lexicon: Lexicon) -> np.ndarray:
+    """The bucket of every occurrence: by the context, or by the pair where the context is split."""
+    rare = lexicon.rare
+    tail = np.where(after == rare, after_word, after.astype(np.uint64) + np.uint64(1))
+    by = context.astype(np.uint64) + np.where(lexicon.split[context], mix(tail), np.uint64(0))
+    by = np.where(context == rare, context_word, by)
+    return (mix(by + np.uint64(1)) % np.uint64(lexicon.buckets)).astype(np.int64)
 
 
 def _word_counts(rows: DataFrame) -> DataFrame:
@@ -133,8 +150,8 @@ def _word_counts(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def build_lexicon(training: DataFrame) -> Lexicon:
-    """Counts of single tokens, as far as every task needs them."""
+def build_lexicon(training: DataFrame) -> tuple[Lexicon, DataFrame | None]:
+    """Counts of single tokens, as far as every task needs them, and the table ``(word, n)`` of all others, if any."""
     counts = stored(_word_counts(training), "word-counts")
     ends = training.count()
     power = F.floor(F.log2(F.col("n").cast("double"))).cast("int")
@@ -149,18 +166,18 @@ def build_lexicon(training: DataFrame) -> Lexicon:
     words = table["word"].to_numpy().view(np.uint64)
     order = np.argsort(words)
     own = table["n"].to_numpy().astype(np.int64)[order]
-    rare = total - int(own.sum())
     once = counts.where("n = 1").count()
     tokens = total + ends
     p0 = min(0.5, max(once / max(tokens, 1), 1 / (tokens + 1)))
-    every = np.concatenate([own, [rare, ends, ends]])
+    every = np.concatenate([own, [0, ends, ends]])
     buckets = max(1, -(-(tokens + tokens // 9) // BUCKET_TOKENS))
     # At most HOT_WORDS symbols can each hold such a share of all contexts.
     hottest = np.flatnonzero(every >= max(1, 3 * tokens // HOT_WORDS))
     hot = np.full(len(every), -1, np.int32)
     hot[hottest] = np.arange(len(hottest))
     split = every > max(1, tokens // (8 * buckets))
-    return Lexicon(words[order], every, tokens, distinct + (ends > 0), p0, hot, split, buckets)
+    others = counts.where(F.col("n") < (1 << least)) if taken < distinct else None
+    return Lexicon(words[order], every, tokens, distinct + (ends > 0), p0, hot, split, buckets), others
 
 
 def _hot_pairs(training: DataFrame, lexicon: Lexicon) -> np.ndarray:
@@ -188,11 +205,11 @@ def _hot_pairs(training: DataFrame, lexicon: Lexicon) -> np.ndarray:
     return square.reshape(side, side)
 
 
-def _evaluate(context, after, count, owner, owners, lexicon: Lexicon, log_p: np.ndarray) -> tuple[dict, np.ndarray, np.ndarray]:
+def _evaluate(context, after, count, owner, owners, counts: np.ndarray, log_p: np.ndarray) -> tuple[dict, np.ndarray, np.ndarray]:
     """Sums per owner of pairs with their training counts; contexts of unseen pairs, by owner."""
     out = {f"h{r}": np.bincount(owner[count == r], minlength=owners) for r in range(1, _TOLD + 1)}
     seen = count > 0
-    value = np.log10(count[seen]) - np.log10(lexicon.counts[context[seen]] + 0.5)
+    value = np.log10(count[seen]) - np.log10(counts[context[seen]] + 0.5)
     out["seen"] = np.bincount(owner[seen], value, owners)
     gone = ~seen
     out["unseen"] = np.bincount(owner[gone], log_p[after[gone]], owners)
@@ -201,9 +218,12 @@ def _evaluate(context, after, count, owner, owners, lexicon: Lexicon, log_p: np.
     return out, context[gone][order], sizes
 
 
+def _ends_of(sizes: np.ndarray) -> pa.Array:
+    return pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32))
+
+
 def _list(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
-    offsets = np.append(0, np.cumsum(sizes)).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(np.int32)))
+    return pa.ListArray.from_arrays(_ends_of(sizes), pa.array(values.astype(np.int32)))
 
 
 def _context_rows(context, after, count, log_p) -> dict:
@@ -239,6 +259,7 @@ def _table(key, context, columns: dict, lost=None) -> pa.Table:
 _PACKED = (
     "target long, key array<long>, context array<int>, " + ", ".join(f"{h} array<int>" for h in _PARTS)
     + ", seen array<double>, unseen array<double>, known array<long>, base array<double>, lost array<int>, lost_sizes array<int>"
+    + ", far array<double>, far_sizes array<int>"
 )
 
 
@@ -251,11 +272,12 @@ def _packed(table: pa.Table, target: np.ndarray) -> pa.Table:
     data = {"target": pa.array(names, pa.int64())}
     for c in ["key", "context", *_SUMS]:
         data[c] = pa.ListArray.from_arrays(ends, table[c].chunk(0))
-    lost = table["lost"].chunk(0).fill_null([])
-    sizes = lost.value_lengths()
-    before = np.append(0, np.cumsum(sizes.to_numpy()))
-    data["lost"] = pa.ListArray.from_arrays(pa.array(before[ends.to_numpy()].astype(np.int32)), lost.flatten())
-    data["lost_sizes"] = pa.ListArray.from_arrays(ends, sizes)
+    for name in ("lost", "far"):
+        lost = table[name].chunk(0).fill_null([])
+        sizes = lost.value_lengths()
+        before = np.append(0, np.cumsum(sizes.to_numpy()))
+        data[name] = pa.ListArray.from_arrays(pa.array(before[ends.to_numpy()].astype(np.int32)), lost.flatten())
+        data[f"{name}_sizes"] = pa.ListArray.from_arrays(ends, sizes)
     return pa.table(data)
 
 
@@ -266,6 +288,7 @@ def _freed(table: pa.Table) -> pa.Table:
 
 
 def _flat(table: pa.Table, name: str) -> np.ndarray:
+    """The lists of all rows one after another; null is empty."""
     return np.concatenate([c.flatten().to_numpy() for c in table[name].chunks])
 
 
@@ -288,11 +311,12 @@ def score(docs: DataFrame, learns: Column, id: str = "doc_id", text: str = "text
     # Packed rows are large: without a limit in bytes a task's whole share would be one batch.
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     training = rows.where("learns").select("text")
-    lexicon = build_lexicon(training)
+    lexicon, others = build_lexicon(training)
     square = _hot_pairs(training, lexicon)
     sent = spark.sparkContext.broadcast((lexicon, square))
 
     kind = docs.schema[id].dataType.simpleString()
+    asking = others is not None
 
     def own(part: pa.RecordBatch) -> pa.RecordBatch:
         """What a row's text and the common tables settle."""
@@ -304,7 +328,7 @@ def score(docs: DataFrame, learns: Column, id: str = "doc_id", text: str = "text
         x, y = lexicon.hot[context], lexicon.hot[after]
         keep = (x >= 0) & (y >= 0)
         sums, lost, sizes = _evaluate(
-            context[keep], after[keep], square[x[keep], y[keep]] if square.size else np.zeros(0, np.int64), owner[keep], owners, lexicon, lexicon.log_p()
+            context[keep], after[keep], square[x[keep], y[keep]] if square.size else np.zeros(0, np.int64), owner[keep], owners, lexicon.counts, lexicon.log_p()
         )
         common = after != lexicon.rare
         counts = lexicon.counts[after[common]]
@@ -312,15 +336,24 @@ def score(docs: DataFrame, learns: Column, id: str = "doc_id", text: str = "text
         sums["base"] = np.bincount(owner[common], lexicon.log_base(counts), owners)
         table = _table(part.column("key"), None, sums, _list(lost, sizes))
         table = table.append_column("id", part.column("id")).append_column("learns", part.column("learns"))
-        return table.append_column("n_tokens", pa.array(np.diff(found.bounds) + 1)).combine_chunks().to_batches()[0]
-
-    settled = rows.mapInArrow(by_chunk(own, "text"), f"{_OUT}, id {kind}, learns boolean, n_tokens long")
+        table = table.append_column("n_tokens", pa.array(np.diff(found.bounds) + 1))
+        # Rare words, and the buckets in which their counts will be needed.
+        rare = np.flatnonzero(~common) if asking else np.zeros(0, np.int64)
+        context_word, after_word = _laid(found.hashes, found.bounds, 0, 0)
+        bucket = _buckets(context[rare], after[rare], context_word[rare], after_word[rare], lexicon)
+        sizes = np.bincount(owner[rare], minlength=owners)
+        table = table.append_column("asked", pa.ListArray.from_arrays(_ends_of(sizes), pa.array(signed(after_word[rare]))))
+        table = table.append_column("asking", pa.ListArray.from_arrays(_ends_of(sizes), pa.array(bucket)))
+        return table.combine_chunks().to_batches()[0]
+
+    settled = rows.mapInArrow(
+        by_chunk(own, "text"), f"{_OUT}, id {kind}, learns boolean, n_tokens long, asked array<long>, asking array<long>"
+    )
     settled = stored(settled, "rows")
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Occurrences by bucket: pairs, and rare words under their hashes."""
+        """Occurrences by bucket; rare words, in order, by their hashes."""
         lexicon, _ = sent.value
-        buckets = np.uint64(lexicon.buckets)
         for batch in batches:
             for part in chunks(batch, "text"):
                 keys = part.column("key").to_numpy()
@@ -328,74 +361,97 @@ def score(docs: DataFrame, learns: Column, id: str = "doc_id", text: str = "text
                 found = words_of(part.column("text"))
                 symbols = _symbols(found, lexicon)
                 context, after, owner = _pairs(symbols, found.bounds, lexicon)
-                keep = (lexicon.hot[context] < 0) | (lexicon.hot[after] < 0)
-                context, after, owner = context[keep], after[keep], owner[keep]
-                by = context.astype(np.uint64) + np.where(lexicon.split[context], (after.astype(np.uint64) + np.uint64(1)) << np.uint64(32), np.uint64(0))
-                rare = symbols == lexicon.rare
-                words, holder = found.hashes[rare], found.docs()[rare]
-                sides = (
-                    (0, mix(by + np.uint64(1)) % buckets, owner, (context, after)),
-                    (1, mix(words) % buckets, holder, (signed(words),)),
-                )
-                for side, bucket, who, values in sides:
-                    group = bucket.astype(np.int64) * 2 + learns[who]
-                    order = np.argsort(group.astype(np.uint16) if lexicon.buckets < 32768 else group, kind="stable")
-                    group = group[order]
-                    names, starts = np.unique(group, return_index=True)
-                    sizes = np.diff(np.append(starts, len(group)))
-                    if not len(names):
-                        continue
-                    ends = pa.array(np.append(starts, len(group)).astype(np.int32))
-                    columns = [pa.ListArray.from_arrays(ends, pa.array(v[order])) for v in (*values, keys[who])]
-                    none = pa.nulls(len(names), pa.list_(pa.int32()))
-                    yield pa.record_batch(
-                        {
-                            "side": np.full(len(names), side, np.int32),
-                            "bucket": names // 2,
-                            "learns": names % 2 == 1,
-                            "context": columns[0] if side == 0 else none,
-                            "after": columns[1] if side == 0 else none,
-                            "word": columns[0] if side == 1 else pa.nulls(len(names), pa.list_(pa.int64())),
-                            "key": columns[-1],
-                        }
-                    )
+                context_word, after_word = _laid(found.hashes, found.bounds, 0, 0)
+                keep = np.flatnonzero((lexicon.hot[context] < 0) | (lexicon.hot[after] < 0))
+                bucket = _buckets(context[keep], after[keep], context_word[keep], after_word[keep], lexicon)
+                group = bucket * 2 + learns[owner[keep]]
+                order = np.argsort(group.astype(np.uint16) if lexicon.buckets < 32768 else group, kind="stable")
+                group, keep = group[order], keep[order]
+                names, starts = np.unique(group, return_index=True)
+                if not len(names):
+                    continue
+                edges = np.append(starts, len(group))
+                ends = pa.array(edges.astype(np.int32))
+                columns = {"context": pa.array(context[keep]), "after": pa.array(after[keep]), "key": pa.array(keys[owner[keep]])}
+                columns = {c: pa.ListArray.from_arrays(ends, v) for c, v in columns.items()}
+                for c, symbol, word in (("context_word", context, context_word), ("after_word", after, after_word)):
+                    rare = np.flatnonzero(symbol[keep] == lexicon.rare)
+                    ends = pa.array(np.searchsorted(rare, edges).astype(np.int32))
+                    columns[c] = pa.ListArray.from_arrays(ends, pa.array(signed(word[keep[rare]])))
+                none = pa.nulls(len(names), pa.list_(pa.int64()))
+                yield pa.record_batch({"bucket": names // 2, "learns": names % 2 == 1, **columns, "word": none, "n": none})
 
     dealt = rows.select("key", "learns", "text").mapInArrow(
-        deal, "side int, bucket long, learns boolean, context array<int>, after array<int>, word array<long>, key array<long>"
+        deal,
+        "bucket long, learns boolean, context array<int>, after array<int>, key array<long>, context_word array<long>, "
+        "after_word array<long>, word array<long>, n array<long>",
     )
+    if asking:
+        asked = settled.select(F.inline(F.arrays_zip("asked", "asking"))).toDF("word", "bucket").distinct()
+        told = asked.join(others, "word").groupBy("bucket").agg(F.collect_list(F.struct("word", "n")).alias("told"))
+        told = told.select("bucket", F.lit(False).alias("learns"), F.col("told.word").alias("word"), F.col("told.n").alias("n"))
+        dealt = dealt.unionByName(told, allowMissingColumns=True)
 
     def settle(table: pa.Table) -> pa.Table:
         lexicon, _ = sent.value
 
-        lengths = np.concatenate([c.value_lengths().to_numpy() for c in table["key"].chunks])
+        lengths = np.concatenate([c.fill_null([]).value_lengths().to_numpy() for c in table["key"].chunks])
         learns = np.repeat(table["learns"].to_numpy(), lengths)
         names, owner = np.unique(_flat(table, "key"), return_inverse=True)
         owner = owner.astype(np.int32)
         target = (mix(names.view(np.uint64)) % np.uint64(lexicon.buckets)).astype(np.int64)
-        if table["side"][0].as_py() == 1:
-            word, back = np.unique(_flat(table, "word"), return_inverse=True)
-            count = np.bincount(back[learns], minlength=len(word))[back]
-            share = np.where(count > 0, (1 - lexicon.p0) * count / max(lexicon.tokens, 1), lexicon.p0)
-            sums = {
-                "known": np.bincount(owner[count > 0], minlength=len(names)),
-                "base": np.bincount(owner, lexicon.log_base(count), len(names)),
-                "seen": np.bincount(owner, np.log10(share) - lexicon.log_p()[lexicon.rare], len(names)),
-            }
-            return _freed(_packed(_table(names, None, sums), target))
-        log_p = lexicon.log_p()
-        pair = _flat(table, "context").astype(np.int64) << 32 | _flat(table, "after")
+        # Rare words get numbers beyond all symbols, good for this bucket.
+        symbols = len(lexicon.counts)
+        context, after = _flat(table, "context").copy(), _flat(table, "after").copy()
+        first, second = _flat(table, "context_word"), _flat(table, "after_word")
+        words, back = np.unique(np.concatenate([first, second]), return_inverse=True)
+        context[context == lexicon.rare] = symbols + back[: len(first)]
+        rare = after == lexicon.rare
+        after[rare] = symbols + back[len(first) :]
+        single = np.zeros(len(words), np.int64)
+        word, n = _flat(table, "word"), _flat(table, "n")
+        if len(word):
+            single[np.searchsorted(words, word)] = n
+        log_p = np.concatenate([lexicon.log_p(), lexicon.log_p_of(single)])
+        # All occurrences of a rare context are here.
+        own = context[learns]
+        counts = np.concatenate([lexicon.counts, np.bincount(own[own >= symbols] - symbols, minlength=len(words))])
+        times = single[after[rare] - symbols]
+        sums = {
+            "known": np.bincount(owner[rare][times > 0], minlength=len(names)),
+            "base": np.bincount(owner[rare], lexicon.log_base(times), len(names)),
+        }
+        pair = context.astype(np.int64) << 32 | after
+        del context, after, own, rare, times, back, first, second
         pairs, back = np.unique(pair, return_inverse=True)
         del pair
         count = np.bincount(back[learns], minlength=len(pairs))
         context, after = pairs >> 32, pairs & 0xFFFFFFFF
-        sums, lost, sizes = _evaluate(context[back], after[back], count[back], owner, len(names), lexicon, log_p)
+        more, lost, sizes = _evaluate(context[back], after[back], count[back], owner, len(names), counts, log_p)
+        sums |= more
         kept = count > 0
         own = _context_rows(context[kept], after[kept], count[kept], log_p)
-        by_context = _table(None, pa.array(own.pop("context").astype(np.int32)), own)
-        by_key = _packed(_table(names, None, sums, _list(lost, sizes)), target)
-        return _freed(pa.concat_tables([by_key, _packed(by_context, np.full(by_context.num_rows, -1))]))
-
-    found = stored(dealt.groupBy("side", "bucket").applyInArrow(settle, _PACKED), "sums")
+        rare = own["context"] >= symbols
+        # What the weight of a rare context is made of, once the discounts are known; one never seen has weight one.
+        shape = np.zeros((len(words), len(_PARTS) + 3))
+        at = own["context"][rare] - symbols
+        for k, c in enumerate((*_PARTS, "seen", "unseen")):
+            shape[at, k] = own[c][rare]
+        shape[:, -1] = counts[symbols:]
+        holder = np.repeat(np.arange(len(names)), sizes)
+        common = lost < symbols
+        far = ~common
+        far[far] = counts[lost[far]] > 0
+        each = _table(names, None, sums, _list(lost[common], np.bincount(holder[common], minlength=len(names))))
+        wide = np.bincount(holder[far], minlength=len(names)) * shape.shape[1]
+        each = each.append_column("far", pa.ListArray.from_arrays(_ends_of(wide), pa.array(shape[lost[far] - symbols].ravel())))
+        # Rare contexts count together in the counts of counts.
+        told = {c: np.append(own[c][~rare], own[c][rare].sum()) for c in (*_PARTS, "seen", "unseen")}
+        by_context = _table(None, pa.array(np.append(own["context"][~rare], lexicon.rare).astype(np.int32)), told)
+        by_context = by_context.append_column("far", pa.nulls(by_context.num_rows, pa.list_(pa.float64())))
+        return _freed(pa.concat_tables([_packed(each, target), _packed(by_context, np.full(by_context.num_rows, -1))]))
+
+    found = stored(dealt.groupBy("bucket").applyInArrow(settle, _PACKED), "sums")
     return _combined(settled, found, lexicon, square, id)
 
 
@@ -447,12 +503,21 @@ def _combined(settled: DataFrame, found: DataFrame, lexicon: Lexicon, square: np
             total = total + log_d[k] * columns[h]
         return total
 
+    def weights(far: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Sums of log10 backoff weights of rare contexts, whose parts stand in ``far``."""
+        _, log_d = sent.value
+        shape = far.reshape(-1, len(_PARTS) + 3)
+        kept = shape[:, len(_PARTS)] + shape[:, : len(_PARTS)] @ (told * 10.0**log_d)
+        left = np.maximum(1 - kept / (shape[:, -1] + 0.5), 1e-300)
+        value = np.log10(left / np.maximum(1 - shape[:, -2], 1e-12))
+        return np.bincount(np.repeat(np.arange(len(sizes)), sizes // shape.shape[1]), value, len(sizes))
+
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lost = batch.column("lost").fill_null([])
             columns = {c: batch.column(c).to_numpy() for c in _SUMS}
             total = whole(columns, lost.flatten().to_numpy(), lost.value_lengths().to_numpy())
-            names = [c for c in batch.schema.names if c not in (*_PARTS, "seen", "unseen", "lost", "context")]
+            names = [c for c in batch.schema.names if c not in (*_PARTS, "seen", "unseen", "lost", "context", "asked", "asking")]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(total)], names=[*names, "total"])
 
     def worth(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -462,6 +527,7 @@ def _combined(settled: DataFrame, found: DataFrame, lexicon: Lexicon, square: np
                 rows = batch.slice(start, _ROWS)
                 columns = {c: rows.column(c).flatten().to_numpy() for c in _SUMS}
                 total = whole(columns, rows.column("lost").flatten().to_numpy(), rows.column("lost_sizes").flatten().to_numpy())
+                total = total + weights(rows.column("far").flatten().to_numpy(), rows.column("far_sizes").flatten().to_numpy())
                 ends = pa.array(np.append(0, np.cumsum(rows.column("key").value_lengths().to_numpy())).astype(np.int32))
                 values = {"key": rows.column("key").flatten(), "known": columns["known"], "base": columns["base"], "total": total}
                 lists = {c: pa.ListArray.from_arrays(ends, pa.array(v)) for c, v in values.items()}
