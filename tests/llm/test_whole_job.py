@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from vocabspark.llm import katz, pii
+from vocabspark.llm import html_main, katz, pii
 
 
 def test_ip_after_a_very_long_run_of_digits(spark):
@@ -53,3 +53,23 @@ def test_katz_scores_whatever_the_table_holds(spark, monkeypatch, words):
     want = _katz([t for i, t in enumerate(split) if i % 4], split)
     got = {r.doc_id: r.score for r in out}
     assert [got[i] for i in range(len(texts))] == pytest.approx(want, rel=1e-9)
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<div class='no-sidebar'><p>one two</p></div>", "one two"),
+        ("<div class='has-sidebar content-with-nav header-fixed'><p>one</p><p>two</p></div>", "one\ntwo"),
+        ("<article><h2 id='related-work'>Related</h2><h2 id=search>Search</h2><p class=notice id='alert'>text</p></article>", "Related\nSearch\ntext"),
+        ("<article><p>a <span class=share>word</span> b</p><ul><li id=comment>x</ul></article>", "a word b\nx"),
+        ("<article><p>long</p><section id=reply><p>more</p></section><div id=notice><p>and</p></div></article>", "long\nmore\nand"),
+        ("<div class=overlay><div><p>most of the text</p></div></div><p>x</p>", "most of the text"),
+        ("<article><p>post</p><div class=comments><p>a much longer reply of a reader</p></div></article>", "post"),
+        ("<div><p>post of some words</p><div class='ad x'>buy</div><ul class=menu><li>m</ul></div>", "post of some words"),
+        ("<div class=header><p>most of it is here</p><nav>menu</nav><div class=share>s</div></div>", "most of it is here"),
+        ("<article><p>so <math><mi>x</mi><mo>=</mo><mn>1</mn><mspace/><annotation>x=1</annotation></math> holds</p></article>", "so x=1 holds"),
+        ("<article><svg><path d='m'/><text>label</text></svg><p><object>shape</object> <noscript>plain</noscript></p></article>", "label\nshape plain"),
+    ],
+)
+def test_html_keeps_what_only_sounds_like_a_menu(page, text):
+    assert html_main.Page(f"<html><body>{page}</body></html>").text(None) == text
