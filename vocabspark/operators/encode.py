@@ -24,7 +24,7 @@ from vocabspark.functions.splits import MARK, apply_steps, split_isolated
 from vocabspark.operators.inventory import UNKNOWN_TOKEN, token_list
 from vocabspark.operators.lattice import best_path, skew_join, substrings
 from vocabspark.operators.pretokenize import SplitSpec, count_pieces
-from vocabspark.session import fits_broadcast
+from vocabspark.session import checkpoint, fits_broadcast
 
 PIECES_REMEMBERED = 200_000
 UNKNOWN_PENALTY = 10.0
@@ -213,8 +213,8 @@ def encode(
     """Add ``ids``, the token ids of ``key``.
 
     ``ids`` names the columns that identify a row. They seed the dropout draws, so a result
-    does not depend on partitioning, and bring rows back together when the vocabulary is too
-    large to send to the tasks.
+    does not depend on partitioning; rows that share them, or have nulls there, are encoded like
+    any other.
     """
     if dropout and vocab.model != "bpe":
         raise ValueError("dropout applies to BPE only")
@@ -226,6 +226,11 @@ def encode(
     return _encode_by_join(df, vocab, key, list(ids), dropout, seed)
 
 
+def _with_row(df: DataFrame) -> DataFrame:
+    """Adds ``_row``, a number of its own for each row, written out before it is used twice."""
+    return checkpoint(df.withColumn("_row", F.monotonically_increasing_id()))
+
+
 def _broadcast_encoder(vocab: Vocabulary, dropout: float):
     rows = vocab.lexicon().toPandas()
     columns = (rows[c] for c in ("token", "id", "logprob", "rules"))
@@ -324,21 +329,23 @@ def _encode_by_join(
 
     Dropout draws differ from place to place, so there every piece is encoded where it stands.
     """
-    exploded = df.select(*ids, F.posexplode(text_pieces(key, vocab)).alias("pos", "piece"))
-    distinct, place = exploded.select("piece").distinct(), F.struct(*ids, "pos")
+    df = _with_row(df)
+    seeds = F.xxhash64(*[F.col(c) for c in ids], F.lit(seed)).alias("row_seed")
+    exploded = df.select("_row", seeds, F.posexplode(text_pieces(key, vocab)).alias("pos", "piece"))
+    distinct, place = exploded.select("piece").distinct(), F.struct("_row", "pos")
     if dropout:
-        drawn = F.concat_ws(":", F.xxhash64(*[F.col(c) for c in ids], F.lit(seed)), "pos")
+        drawn = F.concat_ws(":", "row_seed", "pos")
         joined = skew_join(exploded, _local_lexicons(distinct, vocab), "piece", place)
         encoder = _local_encoder(vocab, dropout)
         encoded = joined.withColumn("piece_ids", encoder("piece", "local", drawn))
     else:
         encoded = skew_join(exploded, _encode_distinct(distinct, vocab), "piece", place)
     in_order = F.array_sort(F.collect_list(F.struct("pos", "piece_ids")))
-    grouped = encoded.groupBy(*ids).agg(
+    grouped = encoded.groupBy("_row").agg(
         F.flatten(F.transform(in_order, lambda p: p["piece_ids"])).alias("ids")
     )
     empty = F.array().cast("array<int>")
-    whole = df.join(grouped, ids, "left")
+    whole = df.join(grouped, "_row", "left").drop("_row")
     return whole.withColumn("ids", F.when(F.col(key).isNotNull(), F.coalesce("ids", empty)))
 
 
@@ -363,7 +370,7 @@ def decode(
     What is not valid UTF-8 then becomes U+FFFD.
     """
     if not fits_broadcast(vocab.tokens, max_broadcast_rows):
-        return _decode_by_join(df, vocab, list(ids))
+        return _decode_by_join(df, vocab)
     fallback = vocab.spec.byte_fallback
     rows = vocab.tokens.select("id", "token", "kind").collect()
     table = {r.id: _token_bytes(r.token, r.kind, fallback) for r in rows}
@@ -391,14 +398,15 @@ def token_bytes(vocab: Vocabulary) -> DataFrame:
     return vocab.tokens.withColumn("bytes", token_bytes_batch("token", "kind"))
 
 
-def _decode_by_join(df: DataFrame, vocab: Vocabulary, ids: list[str]) -> DataFrame:
-    parts = df.select(*ids, F.posexplode("ids").alias("pos", "id"))
+def _decode_by_join(df: DataFrame, vocab: Vocabulary) -> DataFrame:
+    df = _with_row(df)
+    parts = df.select("_row", F.posexplode("ids").alias("pos", "id"))
     table = token_bytes(vocab).select("id", F.hex("bytes").alias("hex"))
-    joined = skew_join(parts, table, "id", F.struct(*ids, "pos"))
+    joined = skew_join(parts, table, "id", F.struct("_row", "pos"))
     in_order = F.array_sort(F.collect_list(F.struct("pos", "hex")))
     hexed = F.array_join(F.transform(in_order, lambda p: p["hex"]), "")
     text = F.make_valid_utf8(F.unhex(hexed).cast("string")).alias("decoded")
-    whole = df.join(joined.groupBy(*ids).agg(text), ids, "left")
+    whole = df.join(joined.groupBy("_row").agg(text), "_row", "left").drop("_row")
     return whole.withColumn("decoded", F.when(F.col("ids").isNotNull(), F.coalesce("decoded", F.lit(""))))
 
 

@@ -49,7 +49,7 @@ def first_rows(
     keys: Sequence[str],
     take_ordered_rows: int = TAKE_ORDERED_ROWS,
 ) -> DataFrame:
-    """The first ``k`` rows by ascending ``keys``, which must be unique and not null.
+    """The first ``k`` rows by ascending ``keys``, nulls first; the k-th key must be unique and not null.
 
     A small ``k`` is one TakeOrdered. A large one sorts the key columns alone, reads off
     the k-th key and filters the full rows by it, so wide rows are never shuffled.
@@ -76,8 +76,8 @@ def first_rows(
 
 
 def _at_most(keys: Sequence[str], last: Sequence) -> Column:
-    """``keys <= last`` in lexicographic order, in a form that scans can push down."""
+    """``keys <= last`` in lexicographic order, nulls first, in a form that scans can push down."""
     head, value = F.col(keys[0]), F.lit(last[0])
     if len(keys) == 1:
-        return head <= value
-    return (head < value) | ((head == value) & _at_most(keys[1:], last[1:]))
+        return head.isNull() | (head <= value)
+    return head.isNull() | (head < value) | ((head == value) & _at_most(keys[1:], last[1:]))
