@@ -1,6 +1,15 @@
 """The operators that SQL can express, in DuckDB's SQL."""
 
 _FOLD = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_LOWER = _FOLD.replace("coalesce(text, '')", "text")
+
+
+def _field(value: str) -> str:
+    """A value with its UTF-8 length before it."""
+    return f"coalesce(strlen({value}::VARCHAR)::VARCHAR || ':' || {value}::VARCHAR, '-')"
+
+
+_LEAF = f"sha256({' || '.join(map(_field, ('doc_id', 'source', 'lang', 'n_chars', '{text}')))})"
 
 SQL = {
     "op1_ngram_jaccard_join": rf"""
@@ -67,5 +76,50 @@ gaps AS (
 SELECT r.doc_id, (length(r.h) // 2)::BIGINT AS n_bytes, coalesce(s.n, 0)::BIGINT AS n_removed, coalesce(s.spans, 0)::BIGINT AS n_spans,
   sha256(unhex(coalesce(k.h, r.h))) AS kept_sha256
 FROM raw r LEFT JOIN sums s USING (doc_id) LEFT JOIN kept k USING (doc_id)
+""",
+    "op11_merkle_manifest": f"""
+WITH RECURSIVE bits AS (
+  SELECT doc_id, lang, {_LEAF.format(text="text")} AS leaf, {_LEAF.format(text=_LOWER)} AS low,
+    list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ord(c)::BIGINT)),
+      lambda crc, b: list_reduce(list_prepend(xor(crc, b), list_transform(range(8), lambda i: 0::BIGINT)),
+        lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END)) AS crc
+  FROM documents
+), leaves AS (
+  SELECT row_number() OVER () AS id, doc_id, leaf, low, crc,
+    dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+    count(*) OVER (PARTITION BY lang) AS n
+  FROM bits
+), up AS (
+  SELECT tree, 0 AS level, place, leaf AS digest, n FROM leaves UNION ALL
+  SELECT tree, level + 1, place // 8, sha256(string_agg(digest, '' ORDER BY place)), (n + 7) // 8
+  FROM up WHERE n > 1 GROUP BY tree, level, place // 8, n
+), subroots AS (SELECT tree, digest FROM up WHERE n = 1),
+over AS (
+  SELECT 0 AS level, tree AS place, digest, (SELECT count(*) FROM subroots) AS n FROM subroots UNION ALL
+  SELECT level + 1, place // 8, sha256(string_agg(digest, '' ORDER BY place)), (n + 7) // 8
+  FROM over WHERE n > 1 GROUP BY level, place // 8, n
+), nodes AS (
+  SELECT tree, level, place, digest FROM up WHERE n > 1 UNION ALL
+  SELECT -1, 1000 + level, place, digest FROM over WHERE n > 1
+), own AS (
+  SELECT l.id, u.tree, u.level, u.place FROM leaves l JOIN up u
+    ON u.tree = l.tree AND u.n > 1 AND u.place = l.place // (8 ** u.level)::BIGINT UNION ALL
+  SELECT l.id, -1, 1000 + o.level, o.place FROM leaves l JOIN over o ON o.n > 1 AND o.place = l.tree // (8 ** o.level)::BIGINT
+), steps AS (
+  SELECT o.id, o.level, row_number() OVER (PARTITION BY o.id ORDER BY o.level) AS step,
+    coalesce(string_agg(s.digest, '' ORDER BY s.place) FILTER (s.place < o.place), '') AS before,
+    coalesce(string_agg(s.digest, '' ORDER BY s.place) FILTER (s.place > o.place), '') AS after
+  FROM own o JOIN nodes s ON s.tree = o.tree AND s.level = o.level AND s.place // 8 = o.place // 8
+  GROUP BY o.id, o.level, o.place
+), folded AS (
+  SELECT id, 0 AS step, CASE WHEN (4294967295 - crc) % 3 = 0 THEN low ELSE leaf END AS x FROM leaves UNION ALL
+  SELECT f.id, f.step + 1, sha256(s.before || f.x || s.after) FROM folded f JOIN steps s ON s.id = f.id AND s.step = f.step + 1
+), last AS (SELECT id, arg_max(x, step) AS x FROM folded GROUP BY id),
+proofs AS (SELECT id, sha256(string_agg(before || after, '' ORDER BY step)) AS proof FROM steps GROUP BY id),
+root AS (SELECT digest FROM over WHERE n = 1)
+SELECT l.doc_id, l.leaf, s.digest AS subroot, root.digest AS root, coalesce(p.proof, sha256('')) AS proof_sha256,
+  x.x AS folded_root, x.x = root.digest AS verified
+FROM leaves l JOIN subroots s USING (tree) CROSS JOIN root LEFT JOIN proofs p USING (id) JOIN last x USING (id)
 """,
 }

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vocabspark.llm import bpe_tree, decontaminate, html_main, katz, ngram_join, paragraph_dedup, pii
+from vocabspark.llm import bpe_tree, decontaminate, html_main, katz, merkle, ngram_join, paragraph_dedup, pii
 from vocabspark.llm import suffix_dedup, toxicity, winnow
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -141,3 +141,24 @@ def op10_pii(spark, sf):
         pii.listed(F.col("spans"), pii.KINDS).alias("spans"),
         F.transform("spans", lambda s: s["score"]).alias("scores"),
     )
+
+
+@query
+def op11_merkle_manifest(spark, sf):
+    docs = table(spark, sf, "documents")
+    columns = [F.col(name) for name in merkle.LEAF_COLUMNS]
+    lowered = [*columns[:-1], merkle.ascii_lower(F.col("text"))]
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    seen = F.when(tampered, merkle.leaf(lowered))
+    rows = docs.select("doc_id", "lang", merkle.leaf(columns).alias("digest"), seen.alias("seen"))
+    found = merkle.manifest(rows, "lang", ["doc_id"])
+    folded = merkle.fold(F.coalesce("seen", "digest"), F.col("path"))
+    told = found.select(
+        "doc_id",
+        F.col("digest").alias("leaf"),
+        "subroot",
+        "root",
+        merkle.proof(F.col("path")).alias("proof_sha256"),
+        folded.alias("folded_root"),
+    )
+    return told.withColumn("verified", F.col("folded_root") == F.col("root"))
