@@ -121,5 +121,13 @@ root AS (SELECT digest FROM over WHERE n = 1)
 SELECT l.doc_id, l.leaf, s.digest AS subroot, root.digest AS root, coalesce(p.proof, sha256('')) AS proof_sha256,
   x.x AS folded_root, x.x = root.digest AS verified
 FROM leaves l JOIN subroots s USING (tree) CROSS JOIN root LEFT JOIN proofs p USING (id) JOIN last x USING (id)
+""",
+    "op13_warc": """
+WITH own AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+held AS (SELECT h, max(page_id) AS holder FROM own WHERE strlen(h) >= 1000 GROUP BY h)
+SELECT page_id, strlen(own.h)::BIGINT AS payload_bytes, sha1(own.h) AS payload_digest,
+  CASE WHEN page_id IS DISTINCT FROM holder AND holder IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM holder THEN holder END AS refers_to
+FROM own LEFT JOIN held ON held.h = own.h
 """,
 }

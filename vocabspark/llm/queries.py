@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vocabspark.llm import bpe_tree, decontaminate, html_main, katz, merkle, ngram_join, paragraph_dedup, pii
-from vocabspark.llm import suffix_dedup, toxicity, winnow
+from vocabspark.llm import suffix_dedup, toxicity, warc, winnow
+from vocabspark.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -162,3 +163,17 @@ def op11_merkle_manifest(spark, sf):
         folded.alias("folded_root"),
     )
     return told.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@query
+def op13_warc(spark, sf):
+    folder = scratch_path(spark, "warc")
+    warc.write(table(spark, sf, "pages"), folder)
+    found = warc.records(warc.read(spark, folder, payloads=False))
+    return found.select(
+        "page_id",
+        "payload_bytes",
+        "payload_digest",
+        F.col("type").alias("record_type"),
+        F.col("refers_page").alias("refers_to"),
+    )
