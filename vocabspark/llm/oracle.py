@@ -11,6 +11,28 @@ def _field(value: str) -> str:
 
 _LEAF = f"sha256({' || '.join(map(_field, ('doc_id', 'source', 'lang', 'n_chars', '{text}')))})"
 
+def _assigned(step: int) -> str:
+    """The nearest entry of every part of every vector, under the codebooks of a step."""
+    return f"""near{step} AS MATERIALIZED (
+  SELECT id, part, min({{'d': d, 'entry': entry}}) AS best FROM (
+    SELECT p.id, p.part, b.entry, sum((p.x - b.x) * (p.x - b.x))::BIGINT AS d
+    FROM points p JOIN books{step} b ON b.part = p.part AND b.pos = p.pos GROUP BY p.id, p.part, b.entry
+  ) GROUP BY id, part
+)"""
+
+
+def _moved(step: int) -> str:
+    """The codebooks after a step: means rounded down, entries without points as they were."""
+    return f"""{_assigned(step)}, books{step + 1} AS MATERIALIZED (
+  SELECT b.part, b.entry, b.pos, coalesce(m.x, b.x) AS x FROM books{step} b LEFT JOIN (
+    SELECT part, entry, pos, ((s - ((s % n) + n) % n) // n)::BIGINT AS x FROM (
+      SELECT p.part, near.best.entry AS entry, p.pos, sum(p.x)::BIGINT AS s, count(*) AS n
+      FROM points p JOIN near{step} near ON near.id = p.id AND near.part = p.part GROUP BY ALL
+    )
+  ) m ON m.part = b.part AND m.entry = b.entry AND m.pos = b.pos
+)"""
+
+
 SQL = {
     "op1_ngram_jaccard_join": rf"""
 WITH RECURSIVE words AS (
@@ -121,6 +143,21 @@ root AS (SELECT digest FROM over WHERE n = 1)
 SELECT l.doc_id, l.leaf, s.digest AS subroot, root.digest AS root, coalesce(p.proof, sha256('')) AS proof_sha256,
   x.x AS folded_root, x.x = root.digest AS verified
 FROM leaves l JOIN subroots s USING (tree) CROSS JOIN root LEFT JOIN proofs p USING (id) JOIN last x USING (id)
+""",
+    "op12_vector_codes": f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) - 1 AS id, vec_id, label, embedding AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), points AS MATERIALIZED (
+  SELECT id, (i // (len(v) // 8))::INT AS part, (i % (len(v) // 8))::INT AS pos, floor(4096 * v[i + 1]::DOUBLE)::BIGINT AS x
+  FROM (SELECT id, v, unnest(range(len(v))) AS i FROM kept)
+), books0 AS MATERIALIZED (SELECT part, id AS entry, pos, x FROM points WHERE id < 16),
+{", ".join(map(_moved, range(6)))}, {_assigned(6)}, codes AS (
+  SELECT id, string_agg(printf('%02x', best.entry), '' ORDER BY part) AS code, sum(best.d)::BIGINT AS error FROM near6 GROUP BY id
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+  (SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY part, entry, pos)) FROM books6) AS codebooks_sha256
+FROM kept JOIN codes USING (id)
 """,
     "op13_warc": """
 WITH own AS (SELECT page_id, coalesce(html, '') AS h FROM pages),

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vocabspark.llm import bpe_tree, decontaminate, html_main, katz, merkle, ngram_join, paragraph_dedup, pii
-from vocabspark.llm import suffix_dedup, toxicity, warc, winnow
+from vocabspark.llm import suffix_dedup, toxicity, vector_codes, warc, winnow
 from vocabspark.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -165,6 +165,19 @@ def op11_merkle_manifest(spark, sf):
     return told.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+@query
+def op12_vector_codes(spark, sf):
+    coded, books = vector_codes.compress(table(spark, sf, "embeddings"), "vec_id", "embedding", "label")
+    listed = ",".join(map(str, books.ravel().tolist()))
+    return coded.select(
+        F.col("id").alias("vec_id"),
+        F.array_join(F.transform("code", lambda i: F.lpad(F.lower(F.hex(i)), 2, "0")), "").alias("code"),
+        "error",
+        "label_error",
+        F.sha2(F.lit(listed), 256).alias("codebooks_sha256"),
+    )
+
+
 @query
 def op13_warc(spark, sf):
     folder = scratch_path(spark, "warc")
