@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -37,11 +39,27 @@ def test_threshold_on_two_keys(spark):
         assert rows(first_rows(df, k, ["a", "b"], 0)) == rows(first_rows(df, k, ["a", "b"]))
 
 
-def test_threshold_needs_unique_keys(spark):
-    with pytest.raises(ValueError, match="unique"):
-        first_rows(spark.range(10).select((F.col("id") % 2).alias("a")), 3, ["a"], 0)
-    with pytest.raises(ValueError, match="null"):
-        first_rows(spark.createDataFrame([(None,), (1,)], "a long"), 1, ["a"], 0)
+def test_ties_and_nulls_at_any_threshold(spark):
+    made = [(None, 1, "x"), (None, 2, "x"), (None, None, "b"), (1, None, "x"), (1, 2, "a"), (1, 2, "b"), (1, 2, "a"), (1, 2, None), (2, 0, "x")]
+    made += [(3, 3, "same")] * 20 + [(3, None, "same"), (4, 4, "z")]
+    first = lambda v: (v is not None, v or "") if isinstance(v, str) or v is None else (True, v)
+    made.sort(key=lambda r: [(v is not None, v if v is not None else 0) for v in r[:2]] + [first(r[2])])
+    df = spark.createDataFrame(random.Random(1).sample(made, len(made)), "a long, b long, c string").repartition(4)
+    for k in (0, 1, 2, 5, 6, 7, 8, 9, 20, 29, 30, 31, 40):
+        want = sorted(map(repr, made[:k]))
+        for bound in (-1, 100):
+            if k or bound > 0:
+                assert sorted(repr(tuple(r)) for r in first_rows(df, k, ["a", "b"], bound).collect()) == want
+    for k in (3, 12, 25):
+        by_threshold = sorted(repr(tuple(r)) for r in first_rows(df, k, ["a"], -1).collect())
+        assert by_threshold == sorted(repr(tuple(r)) for r in first_rows(df, k, ["a"]).collect())
+
+
+def test_first_rows_with_a_map_and_a_nan(spark):
+    df = spark.sql("SELECT id % 3 AS a, map('k', id) AS m, CASE WHEN id = 4 THEN double('NaN') ELSE double(id) END AS x FROM range(9)")
+    for k in (2, 4, 5, 8):
+        near, far = (sorted((r.a, repr(r.x)) for r in first_rows(df, k, ["a", "x"], b).collect()) for b in (100, -1))
+        assert near == far and len(near) == k
 
 
 def test_seeded_sample_does_not_depend_on_partitions(spark):
@@ -56,6 +74,9 @@ def test_seeded_sample_does_not_depend_on_partitions(spark):
 def test_shuffle_seed_zero_keeps_the_order(spark):
     df = spark.range(20).withColumnRenamed("id", "doc_id")
     assert corpus.shuffle(df, 0, ["doc_id"]) is df
+    placed = corpus.shuffle(df.repartition(3), 3, ["doc_id"], "at").collect()
+    assert [r.at for r in placed] == list(range(20)) and corpus.shuffle(df, 0, ["doc_id"], "at").first().at == 0
+    assert [r.doc_id for r in placed] == [r[0] for r in corpus.shuffle(df, 3, ["doc_id"]).collect()]
     shuffled = [r[0] for r in corpus.shuffle(df, 3, ["doc_id"]).collect()]
     assert shuffled != list(range(20)) and sorted(shuffled) == list(range(20))
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vocabspark.functions.patterns import NOT_BLANK
-from vocabspark.operators.order import TAKE_ORDERED_ROWS, first_rows
+from vocabspark.operators.order import TAKE_ORDERED_ROWS, first_rows, with_running_index
 
 
 def select_key(df: DataFrame, key: str = "text") -> DataFrame:
@@ -39,11 +39,17 @@ def shuffle_key(seed: int, order_by: Sequence[str]) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(c).cast("string") for c in order_by]))
 
 
-def shuffle(df: DataFrame, seed: int, order_by: Sequence[str]) -> DataFrame:
-    """Rows in a seeded random order; seed 0 leaves them as they are."""
-    if seed == 0:
-        return df
-    return df.orderBy(shuffle_key(seed, order_by), *order_by)
+def shuffle(
+    df: DataFrame, seed: int, order_by: Sequence[str], position: str | None = None
+) -> DataFrame:
+    """Rows in a seeded random order; seed 0 leaves them in the order of ``order_by``.
+
+    With ``position``, that column tells each row's place, for a table that is written and read again.
+    """
+    keys = [*([shuffle_key(seed, order_by)] if seed else []), *order_by]
+    if position is None:
+        return df.orderBy(*keys) if seed else df
+    return with_running_index(df, keys, position).orderBy(position)
 
 
 def sample_shuffled(

@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, VariantType
 
 from vocabspark.session import checkpoint
 
-# Up to here a top-k runs as one TakeOrdered; beyond it, by a threshold on the key.
+# Up to here a top-k runs as one TakeOrdered; beyond it, by a threshold on the key. The rows are the same.
 TAKE_ORDERED_ROWS = 100_000
+_NO_ORDER = (MapType, VariantType)
 
 _ROW_BITS = (1 << 33) - 1
 
@@ -49,14 +52,17 @@ def first_rows(
     keys: Sequence[str],
     take_ordered_rows: int = TAKE_ORDERED_ROWS,
 ) -> DataFrame:
-    """The first ``k`` rows by ascending ``keys``, nulls first; the k-th key must be unique and not null.
+    """The first ``k`` rows by ascending ``keys``, nulls first.
 
-    A small ``k`` is one TakeOrdered. A large one sorts the key columns alone, reads off
-    the k-th key and filters the full rows by it, so wide rows are never shuffled.
+    Rows with equal keys go by their other columns, in the order of the table (maps aside), so that the
+    result is the same rows for any ``k``, partitioning or size. A small ``k`` is one TakeOrdered. A larger one sorts
+    the key columns alone and reads off the k-th key. All rows before that key are a filter of the table; of those
+    that hold it, a quota is left, and only these rows are numbered in the order of their other columns.
     """
+    rest = [f.name for f in df.schema if f.name not in keys and not isinstance(f.dataType, _NO_ORDER)]
     if k <= take_ordered_rows:
-        return df.orderBy(*keys).limit(max(k, 0))
-    ranged, sizes = _ranged(df.select(*keys), keys)
+        return df.orderBy(*keys, *rest).limit(max(k, 0))
+    ranged, sizes = _ranged(df.select(*keys, _tail()), [*keys, "_tail"])
     if k >= sum(sizes):
         return df
     part, seen = 0, 0
@@ -65,19 +71,28 @@ def first_rows(
         part += 1
     found = ranged.where((F.col("_part") == part) & (F.col("_row") == k - seen - 1)).first()
     last = [found[key] for key in keys]
-    if any(value is None for value in last):
-        raise ValueError(f"order columns {list(keys)} hold nulls")
-    equal = F.lit(True)
-    for key, value in zip(keys, last):
-        equal = equal & (F.col(key) == F.lit(value))
-    if ranged.where((F.col("_part") == part) & equal).count() > 1:
-        raise ValueError(f"order columns {list(keys)} are not unique")
-    return df.where(_at_most(keys, last))
-
-
-def _at_most(keys: Sequence[str], last: Sequence) -> Column:
-    """``keys <= last`` in lexicographic order, nulls first, in a form that scans can push down."""
+    before, same = _before(keys, last), _same(keys, last)
+    counted = ranged.agg(F.count_if(before).alias("before"), F.count_if(same).alias("same")).first()
+    quota = k - counted.before
+    if quota == counted.same:
+        return df.where(before | same)
+    tied = with_running_index(df.where(same).withColumn("_tail", _tail()), [*rest, "_tail"], "_pos")
+    return df.where(before).unionByName(tied.where(F.col("_pos") < quota).drop("_pos", "_tail"))
+
+
+def _tail() -> Column:
+    """A last sort key that spreads equal rows over range partitions."""
+    return F.monotonically_increasing_id().alias("_tail")
+
+
+def _same(keys: Sequence[str], last: Sequence) -> Column:
+    return reduce(Column.__and__, [F.col(key).eqNullSafe(F.lit(value)) for key, value in zip(keys, last)])
+
+
+def _before(keys: Sequence[str], last: Sequence) -> Column:
+    """``keys < last`` in lexicographic order, nulls first; never null."""
     head, value = F.col(keys[0]), F.lit(last[0])
+    below = F.lit(False) if last[0] is None else head.isNull() | F.coalesce(head < value, F.lit(False))
     if len(keys) == 1:
-        return head.isNull() | (head <= value)
-    return head.isNull() | (head < value) | ((head == value) & _at_most(keys[1:], last[1:]))
+        return below
+    return below | (head.eqNullSafe(value) & _before(keys[1:], last[1:]))

@@ -116,6 +116,9 @@ SELECT lang, count(*) AS n_rows, count(*) FILTER ({SHORT}) AS n_short,
 FROM documents GROUP BY lang"""
 SQL["sample_prefix"] = CONVERSATION_SAMPLE
 SQL["sample_prefix_by_threshold"] = CONVERSATION_SAMPLE
+SQL["sample_prefix_ties"] = """
+SELECT * FROM conversations ORDER BY conv_id, turn, role, text
+LIMIT (SELECT CAST(floor(count(*) * 37 / 100.0) AS BIGINT) FROM conversations)"""
 SQL["shuffle"] = """
 SELECT doc_id, row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id) - 1 AS pos FROM documents"""
 SQL["sample_shuffled"] = """

@@ -139,10 +139,15 @@ def sample_prefix_by_threshold(spark, sf):
     return rows.select("conv_id", "turn", "text")
 
 
+@query
+def sample_prefix_ties(spark, sf):
+    """A key that repeats: the last conversation is cut inside, by the other columns."""
+    return corpus.sample_prefix(table(spark, sf, "conversations"), 37, ["conv_id"], take_ordered_rows=0)
+
+
 @query
 def shuffle(spark, sf):
-    order = [corpus.shuffle_key(42, ["doc_id"]), F.col("doc_id")]
-    return with_running_index(documents(spark, sf).select("doc_id"), order)
+    return corpus.shuffle(documents(spark, sf).select("doc_id"), 42, ["doc_id"], "pos")
 
 
 @query
