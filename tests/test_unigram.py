@@ -1,5 +1,6 @@
 import itertools
 import math
+import random
 
 import numpy as np
 import pytest
@@ -12,9 +13,17 @@ from vocabspark.operators.order import with_running_index
 SCORES = {"a": -1.0, "b": -2.0, "c": -3.0, "ab": -1.5, "bc": -1.25, "abc": -4.0}
 
 
-def edges(text):
-    spans = [(i, j) for j in range(1, len(text) + 1) for i in range(j)]
-    return [(i, j, SCORES[text[i:j]], text[i:j]) for i, j in spans if text[i:j] in SCORES]
+def lexicon(scores=SCORES):
+    tokens = list(scores)
+    keys = np.empty(len(tokens), np.uint64)
+    for rows, points in la.by_length(tokens):
+        *_, whole = la.hashes(points, points.shape[1])
+        keys[rows] = whole[:, 0]
+    order = np.argsort(keys)
+    return {
+        "keys": keys[order], "numbers": order.astype(np.int32), "scores": np.array(list(scores.values())),
+        "longest": max(map(len, tokens)), "salt": 0,
+    }
 
 
 def paths(text):
@@ -25,23 +34,67 @@ def paths(text):
             yield tokens, sum(SCORES[t] for t in tokens)
 
 
-@pytest.mark.parametrize("text", ["a", "abc", "abcabc", "ccab", "babcab"])
-def test_best_path_and_counts_against_all_paths(text):
-    every = list(paths(text))
-    best = max(score for _, score in every)
-    assert sum(SCORES[t] for t in la.best_path(len(text), edges(text))) == pytest.approx(best)
-    total = sum(math.exp(score) for _, score in every)
-    got = {}
-    for edge, share in zip(edges(text), la.expected_counts(len(text), edges(text))):
-        got[edge[3]] = got.get(edge[3], 0) + share
-    for token in got:
-        want = sum(math.exp(score) * tokens.count(token) for tokens, score in every) / total
-        assert got[token] == pytest.approx(want)
-
-
-def test_no_path():
-    assert la.best_path(2, [(0, 1, -1.0, "a")]) == []
-    assert la.expected_counts(2, [(0, 1, -1.0, "a")]) == [0.0]
+@pytest.mark.parametrize("window", [1, 2, 3, 100])
+def test_paths_against_all_paths(monkeypatch, window):
+    monkeypatch.setattr(la, "WINDOW", window)
+    texts = ["a", "abc", "abcabc", "ccab", "babcab", "bacaabcb", "cab", "b"]
+    found = lexicon()
+    total, want = np.zeros(len(SCORES)), np.zeros(len(SCORES))
+    for rows, points in la.by_length(texts, 7):
+        n = (rows + 1).astype(float)
+        la.add_expected_counts(points, n, found, total)
+        sums = la.path_scores(points, found)
+        for row, score in zip(rows.tolist(), sums):
+            every = list(paths(texts[row]))
+            whole = sum(math.exp(s) for _, s in every)
+            assert score == pytest.approx(math.log(whole))
+            best = la.best_path(texts[row], SCORES, 3, -99.0)
+            assert sum(SCORES[t] for t in best) == pytest.approx(max(s for _, s in every)) and "".join(best) == texts[row]
+            for k, token in enumerate(SCORES):
+                want[k] += (row + 1) * sum(math.exp(s) * t.count(token) for t, s in every) / whole
+    assert total == pytest.approx(want)
+
+
+def test_best_scores_without_the_token_itself():
+    texts = ["ab", "bc", "abc"]
+    for rows, points in la.by_length(texts):
+        for row, score in zip(rows.tolist(), la.best_scores_without(points, lexicon())):
+            assert score == pytest.approx(max(s for t, s in paths(texts[row]) if len(t) > 1))
+
+
+def test_no_path_and_unknown_characters():
+    some = lexicon({"a": -1.0, "bc": -1.0})
+    total = np.zeros(2)
+    (_, points), = la.by_length(["ab"])
+    la.add_expected_counts(points, np.ones(1), some, total)
+    assert total.tolist() == [0.0, 0.0] and la.path_scores(points, some)[0] == -np.inf
+    assert la.best_path("xbcy", {"a": -1.0, "bc": -1.0}, 2, -9.0) == ["x", "bc", "y"]
+    assert la.best_path("", {}, 2, -9.0) == [] and la.best_path("aa", {"a": -1.0, "aa": -2.0}, 2, -9.0) == ["aa"]
+
+
+def test_a_piece_of_a_megabyte(monkeypatch):
+    """Windows give what one stretch gives, on a piece of a million characters; and memory is by window."""
+    rng = np.random.default_rng(2)
+    text = "".join(rng.choice(list("abc"), 1_000_000))
+    found, total, whole = lexicon(), np.zeros(len(SCORES)), np.zeros(len(SCORES))
+    (_, points), = la.by_length([text])
+    la.add_expected_counts(points, np.ones(1), found, total)
+    monkeypatch.setattr(la, "WINDOW", 2_000_000)
+    la.add_expected_counts(points, np.ones(1), found, whole)
+    assert total == pytest.approx(whole)
+    assert (total * [len(t) for t in SCORES]).sum() == pytest.approx(len(text))
+    path = la.best_path(text, SCORES, 3, -99.0)
+    assert "".join(path) == text and set(path) <= set(SCORES)
+
+
+@pytest.mark.parametrize("width", [1, 3, 4096])
+def test_windows_give_every_substring_once(spark, monkeypatch, width):
+    words = ["abab", "b", "", "xyzxyzxyz", "é漢\U0001f600" * 4]
+    df = spark.createDataFrame([(i, w) for i, w in enumerate(words)], "i int, w string")
+    cut = df.select("i", F.explode(la.windows(F.col("w"), 2, width)["text"]).alias("t"))
+    got = cut.select("i", F.explode(la.substrings(F.col("t"), 3, width)).alias("s")).collect()
+    want = [(k, w[i:j]) for k, w in enumerate(words) for i in range(len(w)) for j in range(i + 1, min(len(w), i + 3) + 1)]
+    assert sorted(map(tuple, got)) == sorted(want)
 
 
 def test_seed_counts_every_substring(spark):
@@ -64,17 +117,14 @@ def counts(spark, sf):
 
 
 def test_likelihood_does_not_fall_without_pruning(spark, counts):
-    seeds = un.seed_vocab(counts, 6, 400)
-    tokens = with_running_index(seeds, ["token"], "id").persist()
-    lattice = un.token_places(counts, tokens, 6).persist()
-    start = tokens.orderBy("id").toPandas()
-    scores = start["logprob"].to_numpy()
-    seen = [un.log_likelihood(lattice, scores)]
+    tokens = with_running_index(un.seed_vocab(counts, 6, 400), ["token"], "id").persist()
+    race = un.Race(tokens)
+    seen = [un.log_likelihood(counts, race)]
     for _ in range(3):
-        scores, _ = un._maximize(lattice, scores)
-        seen.append(un.log_likelihood(lattice, scores))
+        un.maximize(counts, race)
+        seen.append(un.log_likelihood(counts, race))
     assert all(b >= a - 1e-6 * abs(a) for a, b in zip(seen, seen[1:]))
-    assert np.exp(scores).sum() == pytest.approx(1.0)
+    assert np.exp(race.scores).sum() == pytest.approx(1.0)
 
 
 def test_training_keeps_characters_and_meets_the_budget(spark, counts):
@@ -89,18 +139,62 @@ def test_training_keeps_characters_and_meets_the_budget(spark, counts):
     assert {r.token for r in again} == tokens
 
 
-def test_seed_size_is_bounded(counts):
-    with pytest.raises(ValueError, match="seed_size"):
-        un.train_unigram(counts, 100, seed_size=10**9)
-
-
-def test_places_by_skew_join_equal_broadcast(spark, counts, monkeypatch):
-    seeds = with_running_index(un.seed_vocab(counts, 4, 100), ["token"], "id").persist()
-    fields = ["n", "length", "starts", "ends", "ids"]
-    narrow = un.token_places(counts, seeds, 4).select(fields)
-    monkeypatch.setattr(un, "fits_broadcast", lambda df: False)
-    wide = un.token_places(counts, seeds, 4).select(fields)
-    assert narrow.exceptAll(wide).count() == wide.exceptAll(narrow).count() == 0
+@pytest.mark.parametrize("budget", [102_400, 256_000])
+def test_the_largest_vocabularies_are_not_refused(spark, budget):
+    counts = spark.createDataFrame([("low", 5), ("lower", 2), ("newest", 6), ("", 1), ("w" * 5000, 1)], "piece string, n long")
+    learned = {r.token: r.logprob for r in un.train_unigram(counts, budget).collect()}
+    assert set("lowernst") <= set(learned) and "lowe" in learned and "w" * 16 in learned
+    assert sum(math.exp(x) for x in learned.values()) == pytest.approx(1.0)
+
+
+def test_no_pieces(spark):
+    assert un.train_unigram(spark.createDataFrame([("", 3)], "piece string, n long"), 10).count() == 0
+
+
+def by_definition(words, budget, longest, seeds, rounds=2, ratio=0.75):
+    """The training, one piece and one path sum at a time."""
+    seen = {}
+    for w, n in words.items():
+        for i in range(len(w)):
+            for j in range(i + 1, min(len(w), i + longest) + 1):
+                seen[w[i:j]] = seen.get(w[i:j], 0) + n
+    longer = sorted((t for t in seen if len(t) > 1 and seen[t] > 1), key=lambda t: (-seen[t] * len(t), t))
+    chosen = sorted([t for t in seen if len(t) == 1] + longer[:seeds])
+    total = sum(seen[t] * len(t) for t in chosen)
+    score = {t: math.log(seen[t] * len(t) / total) for t in chosen}
+    while True:
+        for _ in range(rounds):
+            c = dict.fromkeys(score, 0.0)
+            for w, n in words.items():
+                a, b = [0.0] * (len(w) + 1), [0.0] * (len(w) + 1)
+                a[0] = b[-1] = 1.0
+                spans = [(i, j) for j in range(1, len(w) + 1) for i in range(max(0, j - longest), j) if w[i:j] in score]
+                for i, j in spans:
+                    a[j] += a[i] * math.exp(score[w[i:j]])
+                for i, j in sorted(spans, reverse=True):
+                    b[i] += b[j] * math.exp(score[w[i:j]])
+                for i, j in spans:
+                    c[w[i:j]] += n * a[i] * math.exp(score[w[i:j]]) * b[j] / a[-1]
+            c = {t: max(round(x, 9), 1e-9) for t, x in c.items()}
+            score = {t: math.log(x / sum(c.values())) for t, x in c.items()}
+        if len(score) <= budget:
+            return score
+        lost = {t: round(c[t] * (score[t] - sum(score[x] for x in la.best_path(t, {k: v for k, v in score.items() if k != t}, longest, -99))), 9) for t in score if len(t) > 1}
+        room = max(budget, int(len(score) * ratio)) - sum(len(t) == 1 for t in score)
+        stay = set(sorted(lost, key=lambda t: (-lost[t], t))[: max(room, 0)]) | {t for t in score if len(t) == 1}
+        if len(stay) == len(score):
+            return score
+        score = {t: x for t, x in score.items() if t in stay}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_training_by_definition(spark, seed):
+    rng = random.Random(seed)
+    words = {"".join(rng.choice("abcdé") for _ in range(rng.randint(1, 12))): rng.randint(1, 30) for _ in range(60)}
+    want = by_definition(words, 30, 5, 200)
+    counts = spark.createDataFrame(list(words.items()), "piece string, n long").repartition(3)
+    got = {r.token: r.logprob for r in un.train_unigram(counts, 30, 5, seed_size=200).collect()}
+    assert got.keys() == want.keys() and all(got[t] == pytest.approx(want[t], abs=1e-8) for t in want)
 
 
 @pytest.mark.parametrize("parts", ["1", "4", "64"])

@@ -22,7 +22,7 @@ from vocabspark.functions.normalize import normalize_segments
 from vocabspark.functions.patterns import any_of
 from vocabspark.functions.splits import MARK, apply_steps, split_isolated
 from vocabspark.operators.inventory import UNKNOWN_TOKEN, token_list
-from vocabspark.operators.lattice import best_path, skew_join, substrings
+from vocabspark.operators.lattice import all_substrings, best_path, skew_join
 from vocabspark.operators.pretokenize import SplitSpec, count_pieces
 from vocabspark.session import checkpoint, fits_broadcast
 
@@ -135,16 +135,7 @@ def merge_piece(symbols: list[str], ranks: dict, dropout: float = 0.0, rng=None)
 def _segment(piece: str, lexicon: dict, model: str, dropout: float, rng) -> list[str]:
     if model == "bpe":
         return merge_piece(list(piece), lexicon["ranks"], dropout, rng)
-    edges = []
-    for end in range(1, len(piece) + 1):
-        for start in range(max(0, end - lexicon["longest"]), end):
-            token = piece[start:end]
-            score = lexicon["scores"].get(token)
-            if score is not None:
-                edges.append((start, end, score, token))
-            elif end - start == 1:
-                edges.append((start, end, lexicon["unknown"], token))
-    return best_path(len(piece), edges)
+    return best_path(piece, lexicon["scores"], lexicon["longest"], lexicon["unknown"])
 
 
 def _piece_ids(
@@ -286,15 +277,18 @@ def encode_pieces(
 
 
 def _local_lexicons(distinct: DataFrame, vocab: Vocabulary) -> DataFrame:
-    """``(piece, local)``: for each piece, the lexicon rows of the tokens that stand in it."""
+    """``(piece, local)``: for each piece, the lexicon rows of the tokens that stand in it.
+
+    Pieces go by a number, and long ones are cut in windows, so that no row repeats a piece for each of its substrings.
+    """
     lexicon = vocab.lexicon()
     longest = lexicon.agg(F.max(F.length("token"))).first()[0] or 1
     in_model = F.col("piece") if vocab.spec.byte_fallback else to_byte_chars(F.col("piece"))
-    parts = distinct.select("piece", F.explode(substrings(in_model, longest)).alias("part"))
-    parts = parts.select("piece", F.col("part.token").alias("token")).distinct()
+    numbered = _with_row(distinct)
+    parts = all_substrings(numbered, in_model, longest, "_row").distinct()
     rows = F.collect_list(F.struct("token", "id", "logprob", "rules"))
-    found = skew_join(parts, lexicon, "token", F.col("piece"))
-    return distinct.join(found.groupBy("piece").agg(rows.alias("local")), "piece", "left")
+    found = skew_join(parts, lexicon, "token", F.col("_row")).groupBy("_row").agg(rows.alias("local"))
+    return numbered.join(found, "_row", "left").drop("_row")
 
 
 def _local_encoder(vocab: Vocabulary, dropout: float):

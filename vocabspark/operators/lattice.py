@@ -1,30 +1,51 @@
-"""Substrings, their join with a token table, and best paths over one piece."""
+"""Tokens that stand in pieces: substrings as columns, their join with a token table, and path sums.
+
+The path sums (forward and backward scores, best path scores, expected counts) run inside tasks, on many pieces of
+one length at a time. A token is looked up by a 64-bit hash of its characters. Pieces of any length
+are read a window at a time, with the windows' borders handed on in the scores of the positions, so that
+memory beside the piece itself does not grow with its length.
+"""
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterable
+from collections.abc import Callable, Iterator
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Positions of a piece, or of pieces of one length together, that are looked up at once.
+WINDOW = 16_384
+# Characters of a text whose substrings are made in one row.
+WINDOW_CHARS = 4096
+
+
+def windows(piece: Column, overlap: int, width: int = WINDOW_CHARS) -> Column:
+    """Array of ``(at, text)``: the piece in windows of ``width`` characters, each with the ``overlap`` that follow."""
+    starts = F.when(F.length(piece) > 0, F.sequence(F.lit(0), F.length(piece) - 1, F.lit(width)))
+    cut = F.transform(
+        starts, lambda at: F.struct(at.alias("at"), F.substring(piece, at + 1, F.lit(width + overlap)).alias("text"))
+    )
+    return F.coalesce(cut, F.array())
 
-def substrings(piece: Column, max_length: int) -> Column:
-    """Array of ``(start, end, token)`` of all substrings up to ``max_length`` characters."""
-    starts = F.when(F.length(piece) > 0, F.sequence(F.lit(0), F.length(piece) - 1))
+
+def substrings(text: Column, max_length: int, starts: int = WINDOW_CHARS) -> Column:
+    """Array of all substrings up to ``max_length`` characters that begin among the first ``starts``."""
+    begins = F.when(
+        F.length(text) > 0, F.sequence(F.lit(0), F.least(F.length(text), F.lit(starts)) - 1)
+    )
 
     def from_start(start: Column) -> Column:
-        longest = F.least(F.lit(max_length), F.length(piece) - start)
-        return F.transform(
-            F.sequence(F.lit(1), longest),
-            lambda n: F.struct(
-                start.alias("start"),
-                (start + n).alias("end"),
-                F.substring(piece, start + 1, n).alias("token"),
-            ),
-        )
+        longest = F.least(F.lit(max_length), F.length(text) - start)
+        return F.transform(F.sequence(F.lit(1), longest), lambda n: F.substring(text, start + 1, n))
+
+    return F.coalesce(F.flatten(F.transform(begins, from_start)), F.array())
+
 
-    return F.coalesce(F.flatten(F.transform(starts, from_start)), F.array())
+def all_substrings(pieces: DataFrame, piece: Column, max_length: int, *columns: str) -> DataFrame:
+    """``(columns..., token)``: one row per substring of up to ``max_length`` characters, for pieces of any length."""
+    cut = pieces.select(*columns, F.explode(windows(piece, max_length - 1)["text"]).alias("_text"))
+    return cut.select(*columns, F.explode(substrings(F.col("_text"), max_length)).alias("token"))
 
 
 def skew_join(many: DataFrame, table: DataFrame, key: str, spread: Column) -> DataFrame:
@@ -48,41 +69,163 @@ def skew_join(many: DataFrame, table: DataFrame, key: str, spread: Column) -> Da
     return left.join(right, [key, "_slice"]).drop("_slice")
 
 
-def best_path(length: int, edges: Iterable[tuple[int, int, float, object]]) -> list:
-    """Labels of the best-scoring path from 0 to ``length``; ties go to the longer last token.
+# --- tokens in pieces, inside tasks -------------------------------------------------------------------
+
+# A lexicon is a plain dictionary, so that a broadcast needs no class of this package: "keys" (sorted hashes of the
+# tokens), "numbers" (their numbers, in that order), "scores" (by number) and "longest" (characters).
 
-    Edges are ``(start, end, score, label)``, sorted by end, then start.
-    """
-    best = [(0.0, -1, None)] + [(-math.inf, -1, None)] * length
-    for start, end, score, label in edges:
-        total = best[start][0] + score
-        if total > best[end][0]:
-            best[end] = (total, start, label)
-    path, at = [], length
-    while at > 0:
-        if best[at][1] < 0:
-            return []
-        path.append(best[at][2])
-        at = best[at][1]
-    return path[::-1]
 
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """A 64-bit finalizer."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
 
-def expected_counts(length: int, edges: list[tuple[int, int, float, int]]) -> list[float]:
-    """Probability of each edge over all paths from 0 to ``length``, added up in logs."""
-    forward = [0.0] + [-math.inf] * length
-    backward = [-math.inf] * length + [0.0]
-    for start, end, score, _ in edges:
-        forward[end] = log_add(forward[end], forward[start] + score)
-    if forward[length] == -math.inf:
-        return [0.0] * len(edges)
-    for start, end, score, _ in reversed(edges):
-        backward[start] = log_add(backward[start], backward[end] + score)
-    total = forward[length]
-    return [
-        math.exp(forward[start] + score + backward[end] - total) for start, end, score, _ in edges
-    ]
-
-
-def log_add(a: float, b: float) -> float:
-    low, high = (a, b) if a < b else (b, a)
-    return high if low == -math.inf else high + math.log1p(math.exp(low - high))
+
+def hashes(points: np.ndarray, longest: int, salt: int = 0) -> Iterator[np.ndarray]:
+    """Hashes of all substrings of 1, 2, ... ``longest`` characters of texts of one length, by start."""
+    base = np.uint64(0x9E3779B97F4A7C15)
+    codes = _mixed((points.astype(np.uint64) + np.uint64(1 + (salt << 32))) * base)
+    state = codes
+    for length in range(1, min(longest, points.shape[1]) + 1):
+        if length > 1:
+            state = state[:, :-1] * base + codes[:, length - 1 :]
+        yield _mixed(state + np.uint64(length))
+
+
+def by_length(texts: list[str], most: int = WINDOW) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Texts of one length at a time, ``most`` characters or one text together: their places and code points."""
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    order = np.argsort(sizes, kind="stable")
+    order = order[np.searchsorted(sizes[order], 1) :]
+    while len(order):
+        size = int(sizes[order[0]])
+        many = min(int(np.searchsorted(sizes[order], size, "right")), max(1, most // size))
+        rows, order = order[:many], order[many:]
+        joined = "".join([texts[i] for i in rows.tolist()]).encode("utf-32-le")
+        yield rows, np.frombuffer(joined, np.uint32).reshape(many, size)
+
+
+def lookup(points: np.ndarray, lexicon: dict) -> np.ndarray:
+    """Number of the token of each length at each start; -1 where there is none."""
+    keys, longest = lexicon["keys"], lexicon["longest"]
+    out = np.full((*points.shape, longest), -1, np.int32)
+    for length, own in enumerate(hashes(points, longest, lexicon["salt"]), start=1):
+        at = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
+        out[:, : own.shape[1], length - 1] = np.where(keys[at] == own, lexicon["numbers"][at], -1)
+    return out
+
+
+class _Window:
+    """Tokens and scores by start, in a stretch of the pieces that reaches ``longest - 1`` over both ends."""
+
+    def __init__(self, points: np.ndarray, lexicon: dict, at: int):
+        reach = lexicon["longest"] - 1
+        self.start = max(0, at - reach)
+        self.stop = min(points.shape[1], at + WINDOW)
+        self.tokens = lookup(points[:, self.start : self.stop + reach], lexicon)
+        scores = lexicon["scores"]
+        self.scores = np.where(self.tokens >= 0, scores[self.tokens], -np.inf)
+
+
+def _windows(points: np.ndarray, lexicon: dict) -> Callable[[bool], Iterator[tuple[int, _Window]]]:
+    """The windows of some pieces, forwards or backwards; one that is the only one is made once."""
+    starts = range(0, points.shape[1], WINDOW)
+    only = _Window(points, lexicon, 0) if len(starts) == 1 else None
+
+    def each(backwards: bool) -> Iterator[tuple[int, _Window]]:
+        for at in reversed(starts) if backwards else starts:
+            yield at, only or _Window(points, lexicon, at)
+
+    return each
+
+
+def _log_sum(x: np.ndarray) -> np.ndarray:
+    top = x.max(1)
+    top = np.where(np.isfinite(top), top, 0.0)
+    with np.errstate(divide="ignore"):
+        return top + np.log(np.exp(x - top[:, None]).sum(1))
+
+
+def _best(x: np.ndarray) -> np.ndarray:
+    return x.max(1)
+
+
+def _forward(shape: tuple[int, int], each: Callable, longest: int, reduce: Callable) -> np.ndarray:
+    """Score of all paths (or of the best one) from the start to each position."""
+    many, size = shape
+    out = np.full((many, size + 1), -np.inf)
+    out[:, 0] = 0.0
+    for at, window in each(False):
+        for end in range(at + 1, window.stop + 1):
+            width = min(longest, end)
+            begins = np.arange(end - 1, end - 1 - width, -1)
+            edges = window.scores[:, begins - window.start, np.arange(width)]
+            out[:, end] = reduce(out[:, begins] + edges)
+    return out
+
+
+def path_scores(points: np.ndarray, lexicon: dict) -> np.ndarray:
+    """Log of the probability of each piece: the sum over all its paths."""
+    return _forward(points.shape, _windows(points, lexicon), lexicon["longest"], _log_sum)[:, -1]
+
+
+def best_scores_without(points: np.ndarray, lexicon: dict) -> np.ndarray:
+    """Score of the best path of each piece that does not take it as one token."""
+    size = points.shape[1]
+    window = _Window(points, lexicon, 0)
+    window.scores[:, 0, size - 1 :] = -np.inf
+    return _forward(points.shape, lambda _: [(0, window)], lexicon["longest"], _best)[:, -1]
+
+
+def add_expected_counts(points: np.ndarray, n: np.ndarray, lexicon: dict, total: np.ndarray) -> None:
+    """Add to ``total``, by token number, how often each token is expected in pieces that occur ``n`` times."""
+    size, longest = points.shape[1], lexicon["longest"]
+    each = _windows(points, lexicon)
+    forward = _forward(points.shape, each, longest, _log_sum)
+    whole = forward[:, -1:]
+    with np.errstate(invalid="ignore"):
+        forward = np.where(np.isfinite(whole), forward - whole, -np.inf)
+    backward = np.full(forward.shape, -np.inf)
+    backward[:, size] = 0.0
+    for at, window in each(True):
+        for begin in range(window.stop - 1, at - 1, -1):
+            width = min(longest, size - begin)
+            edges = window.scores[:, begin - window.start, :width]
+            backward[:, begin] = _log_sum(backward[:, begin + 1 : begin + 1 + width] + edges)
+        for length in range(1, min(longest, size) + 1):
+            stop = min(window.stop, size - length + 1)
+            if stop <= at:
+                break
+            own = slice(at - window.start, stop - window.start)
+            tokens = window.tokens[:, own, length - 1]
+            share = np.exp(
+                forward[:, at:stop] + window.scores[:, own, length - 1] + backward[:, at + length : stop + length]
+            )
+            used = (tokens >= 0) & (share > 0)
+            np.add.at(total, tokens[used], (share * n[:, None])[used])
+
+
+def best_path(piece: str, scores: dict[str, float], longest: int, unknown: float) -> list[str]:
+    """Tokens of the best-scoring path; ties go to the longer last token.
+
+    A character that is no token may stand alone at the score ``unknown``. Memory is two numbers a character.
+    """
+    best, begin = [0.0], [0]
+    for end in range(1, len(piece) + 1):
+        top, at = -np.inf, end - 1
+        for start in range(max(0, end - longest), end):
+            score = scores.get(piece[start:end])
+            if score is None:
+                if start < end - 1:
+                    continue
+                score = unknown
+            if best[start] + score > top:
+                top, at = best[start] + score, start
+        best.append(top)
+        begin.append(at)
+    path, end = [], len(piece)
+    while end > 0:
+        path.append(piece[begin[end] : end])
+        end = begin[end]
+    return path[::-1]

@@ -1,42 +1,53 @@
 """Learn a unigram vocabulary: seed substrings, expectation-maximization, pruning.
 
-The pieces are joined with the seed tokens once; the result, one row per distinct piece with
-the places of its tokens, is what all rounds scan. A round sends only the score of each token
-to the tasks and gets one expected count per token back.
+A round reads the distinct pieces, finds the tokens that stand in them and adds up expected token counts
+inside the tasks, for many pieces of one length at a time; at most one row per token and task is shuffled. Nothing is
+kept per place of a token, so the pieces are all that is stored. What is sent to the tasks and held by the
+driver are 24 bytes per token that is still in the race: it grows with the vocabulary asked for, never with
+the corpus (25 MB for a seed of 1,024,000 tokens).
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vocabspark.operators.lattice import best_path, expected_counts, log_add, skew_join, substrings
+from vocabspark.operators.lattice import (
+    add_expected_counts,
+    all_substrings,
+    best_scores_without,
+    by_length,
+    hashes,
+    path_scores,
+)
 from vocabspark.operators.order import first_rows, with_running_index
-from vocabspark.session import MAX_BROADCAST_ROWS, checkpoint, fits_broadcast, task_count
+from vocabspark.session import checkpoint, task_count
 
 SEED_FACTOR = 10
 PIECES_PER_TASK = 50_000
+# A longer substring must be seen as often as this to be a seed.
+MIN_SEED_COUNT = 2
 
 
 def unigram_seed(counts: DataFrame, max_length: int = 16) -> DataFrame:
     """``(token, n)``: every substring up to ``max_length``, weighted by its pieces' counts."""
-    parts = F.explode(substrings(F.col("piece"), max_length)).alias("part")
-    each = counts.select(parts, "n").select(F.col("part.token").alias("token"), "n")
+    each = all_substrings(counts, F.col("piece"), max_length, "n")
     return each.groupBy("token").agg(F.sum("n").alias("n"))
 
 
-def seed_vocab(counts: DataFrame, max_length: int, seed_size: int) -> DataFrame:
+def seed_vocab(
+    counts: DataFrame, max_length: int, seed_size: int, min_count: int = MIN_SEED_COUNT
+) -> DataFrame:
     """Start vocabulary ``(token, logprob)``.
 
-    All characters, and the ``seed_size`` longer substrings that cover most text. A substring
-    seen once is never worth a token.
+    All characters, and the ``seed_size`` longer substrings that cover most text, of those seen ``min_count`` times.
     """
-    seeds = unigram_seed(counts, max_length).where((F.col("n") > 1) | (F.length("token") == 1))
+    frequent = (F.col("n") >= min_count) | (F.length("token") == 1)
+    seeds = unigram_seed(counts, max_length).where(frequent)
     seeds = checkpoint(seeds.withColumn("cover", F.col("n") * F.length("token")))
     single = seeds.where(F.length("token") == 1)
     longer = seeds.where(F.length("token") > 1).withColumn("_less", -F.col("cover"))
@@ -45,120 +56,142 @@ def seed_vocab(counts: DataFrame, max_length: int, seed_size: int) -> DataFrame:
     return chosen.select("token", F.log(F.col("cover") / total).alias("logprob"))
 
 
-def token_places(pieces: DataFrame, tokens: DataFrame, max_length: int) -> DataFrame:
-    """``(n, length, starts, ends, ids)``: where the tokens stand in each piece.
+# --- the lexicon --------------------------------------------------------------------------------------
 
-    Sorted by end, then start. The token table is broadcast if it is small enough.
-    """
-    parts = pieces.select("piece", "n", F.inline(substrings(F.col("piece"), max_length)))
-    table = tokens.select("token", "id")
-    if fits_broadcast(table):
-        found = parts.join(F.broadcast(table), "token")
-    else:
-        found = skew_join(parts, table, "token", F.col("piece"))
-    found = found.repartition(task_count(pieces, PIECES_PER_TASK), "piece")
-    places = F.array_sort(F.collect_list(F.struct("end", "start", "id")))
-    grouped = found.groupBy("piece", "n").agg(places.alias("places"))
-
-    def every(field: str) -> Column:
-        return F.transform("places", lambda p: p[field])
-
-    return grouped.select(
-        "n",
-        F.length("piece").alias("length"),
-        every("start").alias("starts"),
-        every("end").alias("ends"),
-        every("id").alias("ids"),
-    )
-
-
-def _per_piece(rows: pd.DataFrame, scores: list[float]) -> Iterator[tuple[int, int, list]]:
-    columns = (rows[c] for c in ("length", "n", "starts", "ends", "ids"))
-    for length, n, starts, ends, ids in zip(*columns):
-        edges = [
-            (start, end, scores[token], token)
-            for start, end, token in zip(starts.tolist(), ends.tolist(), ids.tolist())
-            if scores[token] > -math.inf
-        ]
-        yield length, n, edges
-
-
-def _count_tokens(lattice: DataFrame, scores: np.ndarray) -> DataFrame:
-    """``(id, c)``: expected token counts.
+
+def _token_hashes(salt: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = np.zeros(batch.num_rows, np.uint64)
+            for rows, points in by_length(batch.column("token").to_pylist()):
+                *_, whole = hashes(points, points.shape[1], salt)
+                out[rows] = whole[:, 0]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(out.view(np.int64))], names=["id", "hash"])
+
+    return run
+
+
+class Race:
+    """Tokens still in the race, by number: scores in the driver, and the lexicon that tasks read."""
+
+    def __init__(self, tokens: DataFrame):
+        """``tokens``: ``(id, token, logprob)`` with ids 0, 1, ... in the order of the tokens."""
+        table = tokens.select("id", "logprob", F.length("token").cast("int").alias("length")).toArrow()
+        order = np.argsort(table["id"].to_numpy())
+        self.scores = table["logprob"].to_numpy()[order].astype(float)
+        self.lengths = table["length"].to_numpy()[order]
+        self.alive = np.arange(len(order))
+        self.salt, self.hashes = 0, np.zeros(0, np.uint64)
+        # Two tokens of one hash (one chance in a million for a million tokens): hash all anew.
+        while True:
+            made = tokens.select("id", "token").mapInArrow(_token_hashes(self.salt), "id long, hash long").toArrow()
+            self.hashes = np.empty(len(order), np.uint64)
+            self.hashes[made["id"].to_numpy()] = made["hash"].to_numpy().view(np.uint64)
+            if len(np.unique(self.hashes)) == len(order):
+                return
+            self.salt += 1
+
+    def lexicon(self) -> dict:
+        """Tokens still in the race, as plain arrays; their numbers count only these."""
+        keys = self.hashes[self.alive]
+        by_key = np.argsort(keys)
+        return {
+            "keys": keys[by_key],
+            "numbers": by_key.astype(np.int32),
+            "scores": self.scores[self.alive],
+            "longest": int(self.lengths[self.alive].max(initial=1)),
+            "salt": self.salt,
+        }
+
+
+def _column(batch: pa.RecordBatch, name: str) -> np.ndarray:
+    return batch.column(name).to_numpy(zero_copy_only=False)
+
+
+# --- rounds -------------------------------------------------------------------------------------------
+
+
+def expected_counts(pieces: DataFrame, lexicon: dict) -> np.ndarray:
+    """How often each token is expected in ``(piece, n)``, by number.
 
     Each task adds up its own pieces, so at most one row per token leaves a task.
     """
-    shared = lattice.sparkSession.sparkContext.broadcast(scores)
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        scores = shared.value.tolist()
-        total = np.zeros(len(scores))
-        for rows in batches:
-            for length, n, edges in _per_piece(rows, scores):
-                for edge, share in zip(edges, expected_counts(length, edges)):
-                    total[edge[3]] += n * share
+    shared = pieces.sparkSession.sparkContext.broadcast(lexicon)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lexicon = shared.value
+        total = np.zeros(len(lexicon["scores"]))
+        for batch in batches:
+            n = _column(batch, "n").astype(float)
+            for rows, points in by_length(batch.column("piece").to_pylist()):
+                add_expected_counts(points, n[rows], lexicon, total)
         used = np.flatnonzero(total)
-        yield pd.DataFrame({"id": used, "c": total[used]})
-
-    counted = lattice.mapInPandas(count, "id long, c double")
-    return counted.groupBy("id").agg(F.sum("c").alias("c"))
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["id", "c"])
 
-
-def _vector(counted: DataFrame, size: int) -> np.ndarray:
-    """Counts as one number per token id; ``size`` is bounded by the seed size."""
-    rows = counted.toPandas()
-    out = np.zeros(size)
-    out[rows["id"].to_numpy(dtype=int)] = np.round(rows["c"].to_numpy(dtype=float), 9)
+    counted = pieces.select("piece", "n").mapInArrow(count, "id long, c double")
+    table = counted.groupBy("id").agg(F.sum("c").alias("c")).toArrow()
+    shared.unpersist()
+    out = np.zeros(len(lexicon["scores"]))
+    out[table["id"].to_numpy()] = np.round(table["c"].to_numpy(), 9)
     return out
 
 
-def _maximize(lattice: DataFrame, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """One round: expected counts under ``scores``, then scores from the counts."""
-    counts = _vector(_count_tokens(lattice, scores), len(scores))
-    counts = np.where(scores > -math.inf, np.maximum(counts, 1e-9), 0.0)
-    with np.errstate(divide="ignore"):
-        return np.log(counts / counts.sum()), counts
+def maximize(pieces: DataFrame, race: Race) -> np.ndarray:
+    """One round: expected counts under the scores, then scores from the counts, which are returned."""
+    counts = np.maximum(expected_counts(pieces, race.lexicon()), 1e-9)
+    race.scores[race.alive] = np.log(counts / counts.sum())
+    return counts
 
 
-def log_likelihood(lattice: DataFrame, scores: np.ndarray) -> float:
+def log_likelihood(pieces: DataFrame, race: Race) -> float:
     """Log likelihood of the pieces under the scores."""
-    shared = lattice.sparkSession.sparkContext.broadcast(scores)
+    shared = pieces.sparkSession.sparkContext.broadcast(race.lexicon())
 
-    def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        scores = shared.value.tolist()
-        for rows in batches:
-            total = 0.0
-            for length, n, edges in _per_piece(rows, scores):
-                forward = [0.0] + [-math.inf] * length
-                for start, end, score, _ in edges:
-                    forward[end] = log_add(forward[end], forward[start] + score)
-                total += n * forward[length]
-            yield pd.DataFrame({"ll": [total]})
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, total = _column(batch, "n"), 0.0
+            for rows, points in by_length(batch.column("piece").to_pylist()):
+                total += float((n[rows] * path_scores(points, shared.value)).sum())
+            yield pa.RecordBatch.from_pydict({"ll": [total]})
 
-    return float(lattice.mapInPandas(add_up, "ll double").agg(F.sum("ll")).first()[0])
+    return float(pieces.select("piece", "n").mapInArrow(add_up, "ll double").agg(F.sum("ll")).first()[0])
 
 
-def _losses(token_lattice: DataFrame, scores: np.ndarray, used: np.ndarray) -> DataFrame:
-    """``(id, loss)`` of tokens longer than one character.
+def losses(tokens: DataFrame, race: Race, used: np.ndarray) -> np.ndarray:
+    """What dropping each token still in the race costs; 0 for characters, which are never dropped.
 
-    The loss of dropping a token is how often it is expected times what its best other
-    segmentation costs.
+    The loss is how often the token is expected times what its best other segmentation costs.
     """
-    shared = token_lattice.sparkSession.sparkContext.broadcast((scores, used))
-
-    def lose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        scores, used = shared.value
-        scores, used = scores.tolist(), used.tolist()
-        for rows in batches:
-            out = []
-            for own, (length, _, edges) in zip(rows["n"], _per_piece(rows, scores)):
-                if length > 1 and scores[own] > -math.inf:
-                    others = best_path(length, [e for e in edges if e[3] != own])
-                    other = sum(scores[t] for t in others)
-                    out.append((own, round(used[own] * (scores[own] - other), 9)))
-            yield pd.DataFrame(out, columns=["id", "loss"])
-
-    return token_lattice.mapInPandas(lose, "id long, loss double")
+    place = np.full(len(race.scores), -1, np.int32)
+    place[race.alive] = np.arange(len(race.alive), dtype=np.int32)
+    shared = tokens.sparkSession.sparkContext.broadcast((race.lexicon(), used, place))
+
+    def lose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lexicon, used, place = shared.value
+        for batch in batches:
+            own = place[_column(batch, "id")]
+            texts = [t if k >= 0 else "" for t, k in zip(batch.column("token").to_pylist(), own.tolist())]
+            out = np.zeros(batch.num_rows)
+            for rows, points in by_length(texts):
+                if points.shape[1] > 1:
+                    number = own[rows]
+                    other = best_scores_without(points, lexicon)
+                    out[rows] = np.round(used[number] * (lexicon["scores"][number] - other), 9)
+            yield pa.RecordBatch.from_arrays([pa.array(own[own >= 0]), pa.array(out[own >= 0])], names=["id", "loss"])
+
+    table = tokens.select("id", "token").mapInArrow(lose, "id int, loss double").toArrow()
+    shared.unpersist()
+    found = np.zeros(len(race.alive))
+    found[table["id"].to_numpy()] = table["loss"].to_numpy()
+    return found
+
+
+def prune(race: Race, lost: np.ndarray, room: int) -> None:
+    """Keep all characters and the ``room`` longer tokens with the greatest losses; ties go to the smaller token."""
+    single = race.lengths[race.alive] == 1
+    longer = np.flatnonzero(~single)
+    ranked = longer[np.argsort(-lost[longer], kind="stable")]
+    race.alive = race.alive[np.sort(np.concatenate((np.flatnonzero(single), ranked[: max(room, 0)])))]
 
 
 def train_unigram(
@@ -168,6 +201,7 @@ def train_unigram(
     em_rounds: int = 2,
     keep_ratio: float = 0.75,
     seed_size: int | None = None,
+    min_seed_count: int = MIN_SEED_COUNT,
 ) -> DataFrame:
     """Vocabulary ``(token, logprob)`` of at most ``budget`` tokens, from ``(piece, n)``.
 
@@ -175,45 +209,23 @@ def train_unigram(
     more tokens.
     """
     seed_size = SEED_FACTOR * budget if seed_size is None else seed_size
-    if seed_size > MAX_BROADCAST_ROWS:
-        raise ValueError(f"seed_size may be at most {MAX_BROADCAST_ROWS}")
-    counts = checkpoint(counts)
-    seeds = seed_vocab(counts, max_piece_length, seed_size)
+    counts = checkpoint(counts.where(F.length("piece") > 0))
+    seeds = seed_vocab(counts, max_piece_length, seed_size, min_seed_count)
     tokens = checkpoint(with_running_index(seeds, ["token"], "id"))
-    size = tokens.count()
-    if not fits_broadcast(tokens, 2 * MAX_BROADCAST_ROWS):
-        raise ValueError("the pieces hold too many different characters")
-    lattice = checkpoint(token_places(counts, tokens, max_piece_length))
-    own = tokens.select(F.col("token").alias("piece"), F.col("id").alias("n"))
-    token_lattice = checkpoint(token_places(own, tokens, max_piece_length))
-
-    start = tokens.select("id", "logprob", F.length("token").alias("length")).toPandas()
-    scores, single = np.full(size, -math.inf), np.zeros(size, dtype=bool)
-    scores[start["id"]] = start["logprob"]
-    single[start["id"]] = start["length"] == 1
-    alive = size
+    if not tokens.count():
+        return tokens.select("token", "logprob")
+    pieces = checkpoint(counts.repartition(task_count(counts, PIECES_PER_TASK)))
+    race = Race(tokens)
     while True:
         for _ in range(em_rounds):
-            scores, used = _maximize(lattice, scores)
+            used = maximize(pieces, race)
+        alive = len(race.alive)
         if alive <= budget:
             break
-        room = max(budget, int(alive * keep_ratio)) - int(single.sum())
-        losses = _losses(token_lattice, scores, used)
-        ranked = losses.join(tokens.select("id", "token"), "id")
-        ranked = ranked.withColumn("_less", -F.col("loss"))
-        kept = first_rows(ranked, max(room, 0), ["_less", "token"]).select("id").toPandas()
-        stay = single.copy()
-        stay[kept["id"].to_numpy(dtype=int)] = True
-        scores = np.where(stay, scores, -math.inf)
-        if int(stay.sum()) == alive:
+        room = max(budget, int(alive * keep_ratio)) - int((race.lengths[race.alive] == 1).sum())
+        prune(race, losses(tokens, race, used), room)
+        if len(race.alive) == alive:
             break
-        alive = int(stay.sum())
-    return _scored(tokens, scores)
-
-
-def _scored(tokens: DataFrame, scores: np.ndarray) -> DataFrame:
-    kept = np.flatnonzero(scores > -math.inf)
-    spark = tokens.sparkSession
-    table = pd.DataFrame({"id": kept, "logprob": np.round(scores[kept], 9)})
-    scored = spark.createDataFrame(table, "id long, logprob double")
+    kept = pa.table({"id": race.alive, "logprob": np.round(race.scores[race.alive], 9)})
+    scored = tokens.sparkSession.createDataFrame(kept)
     return tokens.select("token", "id").join(scored, "id").select("token", "logprob")
