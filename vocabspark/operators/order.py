@@ -75,7 +75,7 @@ def first_rows(
     counted = ranged.agg(F.count_if(before).alias("before"), F.count_if(same).alias("same")).first()
     quota = k - counted.before
     if quota == counted.same:
-        return df.where(before | same)
+        return df.where(_before(keys, last, or_same=True))
     tied = with_running_index(df.where(same).withColumn("_tail", _tail()), [*rest, "_tail"], "_pos")
     return df.where(before).unionByName(tied.where(F.col("_pos") < quota).drop("_pos", "_tail"))
 
@@ -89,10 +89,13 @@ def _same(keys: Sequence[str], last: Sequence) -> Column:
     return reduce(Column.__and__, [F.col(key).eqNullSafe(F.lit(value)) for key, value in zip(keys, last)])
 
 
-def _before(keys: Sequence[str], last: Sequence) -> Column:
-    """``keys < last`` in lexicographic order, nulls first; never null."""
+def _before(keys: Sequence[str], last: Sequence, or_same: bool = False) -> Column:
+    """``keys < last`` (or ``<=``) in lexicographic order, nulls first, never null; scans can push it down."""
     head, value = F.col(keys[0]), F.lit(last[0])
-    below = F.lit(False) if last[0] is None else head.isNull() | F.coalesce(head < value, F.lit(False))
+    null = head.isNull()
+    if len(keys) == 1 and or_same:
+        return null if last[0] is None else null | (head <= value)
+    below = F.lit(False) if last[0] is None else null | (head < value)
     if len(keys) == 1:
         return below
-    return below | (head.eqNullSafe(value) & _before(keys[1:], last[1:]))
+    return below | (head.eqNullSafe(value) & _before(keys[1:], last[1:], or_same))

@@ -265,12 +265,12 @@ SQL["bpe_pair_counts_filtered"] = ctes(byte_counts("c")) + pair_counts(
 
 
 def seeds(source: str, name: str) -> str:
-    """CTE of substring counts up to MERGE_LENGTH characters."""
+    """CTE of substring counts up to TOKEN_LENGTH characters."""
     return f"""{name} AS (
     SELECT token, CAST(sum(n) AS BIGINT) AS n FROM (
       SELECT substr(piece, i, k) AS token, n FROM (
         SELECT piece, n, k, unnest(range(1, length(piece) - k + 2)) AS i FROM (
-          SELECT piece, n, unnest(range(1, {q.MERGE_LENGTH} + 1)) AS k FROM {source}) WHERE k <= length(piece)))
+          SELECT piece, n, unnest(range(1, {q.TOKEN_LENGTH} + 1)) AS k FROM {source}) WHERE k <= length(piece)))
     GROUP BY token)"""
 
 
@@ -278,14 +278,14 @@ SQL["unigram_seed"] = ctes(byte_counts("c"), seeds("c", "s")) + " SELECT token,
 
 # --- two vocabularies ---------------------------------------------------------------------
 
-SIDES = {"base": "lang = 'en'", "plus": "lang <> 'en'"}
+SIDES = {"base": "lang = 'en'", "plus": "lang IS DISTINCT FROM 'en'", "every": "true"}
 
 
 def uvocab(side: str) -> str:
     return byte_counts(f"{side}_c", SIDES[side]) + f""",
     {side} AS MATERIALIZED (
       SELECT piece AS token, round(ln(n / (SELECT sum(n) FROM {side}_c)), 9) AS logprob
-      FROM {side}_c ORDER BY n DESC, piece LIMIT {q.SIDE_TOKENS})"""
+      FROM {side}_c)"""
 
 
 def merges(side: str) -> str:
@@ -293,7 +293,7 @@ def merges(side: str) -> str:
     {side}_m AS MATERIALIZED (
       SELECT CAST(row_number() OVER (ORDER BY n DESC, length(token), token) - 1 AS INT) AS rank,
         substr(token, 1, length(token) - 1) AS "left", substr(token, length(token), 1) AS "right", token
-      FROM {side}_s WHERE length(token) > 1 ORDER BY n DESC, length(token), token LIMIT {q.SIDE_MERGES})"""
+      FROM {side}_s WHERE length(token) > 1)"""
 
 
 def vocab(side: str) -> str:
@@ -306,21 +306,21 @@ def vocab(side: str) -> str:
         UNION ALL SELECT repeat(' ', k), -k, 'whitespace', 3 FROM range(2, {q.N_WHITE} + 1) t(k)))"""
 
 
-BASE_VOCAB = ctes(merges("base"), vocab("base"))
+WHOLE_VOCAB = ctes(merges("every"), vocab("every"))
 BOTH_MERGES = (merges("base"), merges("plus"))
 AT_ID = """(SELECT rank, "left", "right", rank + {offset} AS id FROM {m})"""
 
-SQL["assign_ids"] = BASE_VOCAB + " SELECT token, id, kind FROM base_v"
-SQL["vocab_counts"] = BASE_VOCAB + """
-SELECT n_vocab, n_added, n_no_merge, (SELECT count(*) FROM base_m) AS n_merges,
-  n_vocab = n_no_merge + (SELECT count(DISTINCT token) FROM base_m) AS adds_up
+SQL["assign_ids"] = WHOLE_VOCAB + " SELECT token, id, kind FROM every_v"
+SQL["vocab_counts"] = WHOLE_VOCAB + """
+SELECT n_vocab, n_added, n_no_merge, (SELECT count(*) FROM every_m) AS n_merges,
+  n_vocab = n_no_merge + (SELECT count(DISTINCT token) FROM every_m) AS adds_up
 FROM (SELECT count(*) AS n_vocab, count(*) FILTER (kind IN ('special', 'whitespace')) AS n_added,
-        count(*) FILTER (kind <> 'merge') AS n_no_merge FROM base_v)"""
+        count(*) FILTER (kind <> 'merge') AS n_no_merge FROM every_v)"""
 SQL["merge_misaligned"] = ctes(*BOTH_MERGES, vocab("base")) + f"""
 SELECT id, rank, "left", "right", token FROM {AT_ID.format(offset=q.OFFSET, m='plus_m')}
 JOIN base_v USING (id) WHERE "left" || "right" <> token"""
-SQL["merge_by_token"] = BASE_VOCAB + f"""
-SELECT token, id, rank, "left", "right" FROM {AT_ID.format(offset=q.OFFSET, m='base_m')} JOIN base_v USING (id)"""
+SQL["merge_by_token"] = WHOLE_VOCAB + f"""
+SELECT token, id, rank, "left", "right" FROM {AT_ID.format(offset=q.OFFSET, m='every_m')} JOIN every_v USING (id)"""
 UNION = """u AS MATERIALIZED (
   SELECT token, coalesce(b."left", p."left") AS "left", coalesce(b."right", p."right") AS "right",
     b.rank AS base_rank, p.rank AS plus_rank, CAST(length(token) AS INT) AS length
@@ -351,13 +351,13 @@ HIGHER = f"least(0, greatest(b.logprob, p.logprob) + {EPSILON})"
 SQL["union_unigram_mean"] = union_unigram(MEAN, 10) + " SELECT token, logprob FROM u"
 SQL["union_unigram_max"] = union_unigram(HIGHER) + " SELECT token, logprob FROM u"
 SQL["union_unigram_min"] = union_unigram("least(b.logprob, p.logprob)") + " SELECT token, logprob FROM u"
-SQL["top_by_score"] = union_unigram(MEAN, 10) + " SELECT token, logprob FROM u ORDER BY logprob DESC, token LIMIT 200"
+SQL["top_by_score"] = union_unigram(MEAN, 10) + " SELECT token, logprob FROM u ORDER BY logprob DESC, token LIMIT " + str(q.TOP_TOKENS)
 SQL["order_by_score"] = union_unigram(MEAN, 10) + """
 SELECT token, logprob, row_number() OVER (ORDER BY logprob DESC, token) - 1 AS pos FROM u"""
 SQL["order_by_length"] = union_unigram(MEAN, 10) + """
 SELECT token, logprob, row_number() OVER (ORDER BY length(token), logprob DESC, token) - 1 AS pos FROM u"""
-SQL["unigram_alp"] = ctes(uvocab("base")) + f"""
-SELECT count(*) AS n_tokens, round(sum(logprob) / {q.SIDE_TOKENS}, 6) AS alp FROM base"""
+SQL["unigram_alp"] = ctes(uvocab("every")) + f"""
+SELECT count(*) AS n_tokens, round(sum(logprob) / {q.VOCAB_SIZE}, 6) AS alp FROM every"""
 
 EXEMPLARS = r"""x AS MATERIALIZED (
   SELECT DISTINCT lang AS "set", ch AS token
@@ -401,13 +401,13 @@ def repaired(source: str, protect: str = "false") -> str:
           - (256 - count(*) FILTER (NOT ({other}))), 0) FROM {source}))"""
 
 
-BASE_FILLED = ctes(uvocab("base"), ESSENTIALS, filled("base"))
+WHOLE_FILLED = ctes(uvocab("every"), ESSENTIALS, filled("every"))
 SQL["essential_tokens"] = ctes(ESSENTIALS) + " SELECT token FROM e"
-SQL["add_essentials"] = BASE_FILLED + " SELECT token, logprob FROM f"
-SQL["trim_vocab"] = BASE_FILLED + ",\n" + trimmed("f", 450) + " SELECT token, logprob FROM t"
-SQL["trim_unigram_job"] = BASE_FILLED + ",\n" + trimmed("f", 450) + f"""
+SQL["add_essentials"] = WHOLE_FILLED + " SELECT token, logprob FROM f"
+SQL["trim_vocab"] = WHOLE_FILLED + ",\n" + trimmed("f", q.TRIM_TO) + " SELECT token, logprob FROM t"
+SQL["trim_unigram_job"] = WHOLE_FILLED + ",\n" + trimmed("f", q.TRIM_TO) + f"""
 SELECT token, logprob, row_number() OVER (ORDER BY logprob DESC, token) - 1 AS pos FROM ({rescored('t')})"""
-SQL["merge_unigram_job"] = union_unigram(HIGHER) + ",\n" + ESSENTIALS + ",\n" + trimmed("u", 600) + f"""
+SQL["merge_unigram_job"] = union_unigram(HIGHER) + ",\n" + ESSENTIALS + ",\n" + trimmed("u", q.MERGE_TO) + f"""
 SELECT token, logprob, row_number() OVER (ORDER BY logprob DESC, token) - 1 AS pos
 FROM ({repaired('t', 'token IN (SELECT token FROM e)')})"""
 SQL["intermediate_size"] = ctes(*BOTH_MERGES, vocab("base")) + f"""
@@ -416,25 +416,25 @@ SELECT *, {q.VOCAB_SIZE} - (internal_offset + added_offset) AS intermediate_size
     SELECT count(*) AS n_total, count(*) FILTER (kind NOT IN ('special', 'whitespace')) AS n_unadded,
       count(DISTINCT token) AS n_distinct
     FROM (SELECT token, kind FROM base_v UNION ALL SELECT token, 'merge' FROM plus_m)))"""
-SQL["floor_bytes"] = ctes(uvocab("base")) + f"""
+SQL["floor_bytes"] = ctes(uvocab("every")) + f"""
 SELECT token, round(CASE WHEN token IN (SELECT {byte_char('CAST(b AS INT)')} FROM range(256) t(b))
-  THEN (SELECT min(logprob) - {EPSILON} FROM base) ELSE logprob END, 9) AS logprob FROM base"""
-SQL["repair_bytes"] = ctes(uvocab("base")) + repaired("base")
-SQL["rescore_essentials"] = ctes(uvocab("plus"), ESSENTIALS, filled("plus")) + " " + rescored("f")
+  THEN (SELECT min(logprob) - {EPSILON} FROM every) ELSE logprob END, 9) AS logprob FROM every"""
+SQL["repair_bytes"] = ctes(uvocab("every")) + repaired("every")
+SQL["rescore_essentials"] = WHOLE_FILLED + " " + rescored("f")
 
 LISTED = ctes(uvocab("base"), uvocab("plus"), f"""listed AS (
   SELECT token, logprob, row_number() OVER (ORDER BY logprob DESC, token) - 1 AS pos FROM base
-  UNION ALL SELECT token, logprob, row_number() OVER (ORDER BY logprob DESC, token) - 1 + {q.SIDE_TOKENS} FROM plus)""")
+  UNION ALL SELECT token, logprob, row_number() OVER (ORDER BY logprob DESC, token) - 1 + (SELECT count(*) FROM base) FROM plus)""")
 SQL["duplicate_tokens"] = LISTED + " SELECT token, count(*) AS n FROM listed GROUP BY token HAVING count(*) > 1"
 SQL["dedupe_vocab"] = LISTED + " SELECT token, arg_max(logprob, pos) AS logprob FROM listed GROUP BY token"
 SQL["check_size"] = LISTED + f"""
-SELECT count(DISTINCT token) AS n, CAST({q.SIDE_TOKENS} AS BIGINT) AS target,
-  count(DISTINCT token) = {q.SIDE_TOKENS} AS matches FROM listed"""
-SQL["exemplar_coverage"] = ctes(byte_counts("base_c", SIDES["base"]), seeds("base_c", "s"), EXEMPLARS) + f"""
+SELECT count(DISTINCT token) AS n, CAST({q.VOCAB_SIZE} AS BIGINT) AS target,
+  count(DISTINCT token) = {q.VOCAB_SIZE} AS matches FROM listed"""
+SQL["exemplar_coverage"] = ctes(merges("every"), EXEMPLARS) + f"""
 SELECT "set", count(*) AS n_exemplars,
-  count(*) FILTER ({in_bytes('token')} IN (SELECT token FROM s)) AS n_covered FROM x GROUP BY "set" """
-SQL["set_unk"] = BASE_VOCAB + """
-SELECT kind, count(*) AS n, (SELECT min(id) FROM base_v WHERE token = '<|unk|>') AS unk_id FROM base_v GROUP BY kind"""
+  count(*) FILTER ({in_bytes('token')} IN (SELECT token FROM every_m)) AS n_covered FROM x GROUP BY "set" """
+SQL["set_unk"] = WHOLE_VOCAB + """
+SELECT kind, count(*) AS n, (SELECT min(id) FROM every_v WHERE token = '<|unk|>') AS unk_id FROM every_v GROUP BY kind"""
 
 # --- BPE training: one pair after another, unrolled -----------------------------------------
 

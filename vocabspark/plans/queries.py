@@ -32,10 +32,11 @@ QUERIES: dict[str, Query] = {}
 # Sizes used on both sides.
 MAX_LENGTH = 4096
 TOP_PIECES = 1000
-SIDE_TOKENS = 500
-SIDE_MERGES = 300
-MERGE_LENGTH = 4
-N_MERGES = 24
+TOKEN_LENGTH = 16
+TOP_TOKENS = 200
+TRIM_TO = 6000
+MERGE_TO = 8000
+N_MERGES = 200
 N_WHITE = 4
 N_BUFFER = 8
 VOCAB_SIZE = 1000
@@ -381,34 +382,46 @@ def bpe_pair_counts_filtered(spark, sf):
 
 @query
 def unigram_seed(spark, sf):
-    return unigram.unigram_seed(_byte_counts(texts(spark, sf)), MERGE_LENGTH)
+    return unigram.unigram_seed(_byte_counts(texts(spark, sf)), TOKEN_LENGTH)
 
 
-# --- two vocabularies, from the English and the other documents ----------------------------------
+# --- two vocabularies: base from the English documents, plus from all others ------------------------
 
 
-def _side(spark, sf, side: str) -> DataFrame:
-    english = F.col("lang") == "en"
-    return texts(spark, sf).where(english if side == "base" else ~english)
+@lru_cache(maxsize=8)
+def side_pieces(spark, sf) -> DataFrame:
+    """``(side, piece, n)``: the pieces of both sides from one scan, written once; no language is in ``plus``."""
+    side = F.when(F.col("lang") == "en", "base").otherwise("plus").alias("side")
+    docs = texts(spark, sf).select(side, "text")
+    return checkpoint(pt.byte_pieces(pt.count_pretokens(docs, ["byte_level"], ["side"])))
+
+
+def _pieces_of(spark, sf, side: str) -> DataFrame:
+    """The pieces of one side, or of ``all`` documents."""
+    pieces = side_pieces(spark, sf)
+    if side == "all":
+        return pieces.groupBy("piece").agg(F.sum("n").alias("n"))
+    return pieces.where(F.col("side") == side).select("piece", "n")
 
 
+@lru_cache(maxsize=8)
 def side_uvocab(spark, sf, side: str) -> DataFrame:
-    """The most frequent pieces of one side, scored by their share."""
-    counts = _byte_counts(_side(spark, sf, side))
+    """Every piece of a side, scored by its share."""
+    counts = _pieces_of(spark, sf, side)
     total = counts.agg(F.sum("n")).scalar()
-    top = counts.orderBy(F.desc("n"), "piece").limit(SIDE_TOKENS)
-    return top.select(F.col("piece").alias("token"), F.round(F.log(F.col("n") / total), 9).alias("logprob"))
+    scored = counts.select(F.col("piece").alias("token"), F.round(F.log(F.col("n") / total), 9).alias("logprob"))
+    return checkpoint(scored)
 
 
+@lru_cache(maxsize=8)
 def side_merges(spark, sf, side: str) -> DataFrame:
-    """A merge list of one side: frequent substrings, each made by adding its last character.
+    """A merge list of one side: every substring of its pieces, made by adding its last character.
 
     A prefix is at least as frequent as the whole and shorter, so it stands earlier.
     """
-    seeds = unigram.unigram_seed(_byte_counts(_side(spark, sf, side)), MERGE_LENGTH)
     length = F.length("token")
-    top = seeds.where(length > 1).orderBy(F.desc("n"), length, "token").limit(SIDE_MERGES)
-    ranked = with_running_index(top, [F.desc("n"), length, F.col("token")], "rank")
+    seeds = unigram.unigram_seed(_pieces_of(spark, sf, side), TOKEN_LENGTH).where(length > 1)
+    ranked = with_running_index(seeds, [F.desc("n"), length, F.col("token")], "rank")
     return ranked.select(
         F.col("rank").cast("int").alias("rank"),
         F.substring("token", F.lit(1), length - 1).alias("left"),
@@ -417,10 +430,11 @@ def side_merges(spark, sf, side: str) -> DataFrame:
     )
 
 
-def side_vocab(spark, merges: DataFrame) -> DataFrame:
+@lru_cache(maxsize=8)
+def side_vocab(spark, sf, side: str) -> DataFrame:
     alphabet = bytelevel.byte_alphabet(spark).select(F.col("ch").alias("token"))
     white = inv.whitespace_tokens(spark, N_WHITE)
-    return ids.assign_ids(inv.special_tokens(spark), alphabet, merges, white)
+    return ids.assign_ids(inv.special_tokens(spark), alphabet, side_merges(spark, sf, side), white)
 
 
 OFFSET = len(inv.SPECIAL_TOKENS) + 256
@@ -428,26 +442,23 @@ OFFSET = len(inv.SPECIAL_TOKENS) + 256
 
 @query
 def assign_ids(spark, sf):
-    return side_vocab(spark, side_merges(spark, sf, "base"))
+    return side_vocab(spark, sf, "all")
 
 
 @query
 def vocab_counts(spark, sf):
-    merges = side_merges(spark, sf, "base")
-    return vo.vocab_counts(side_vocab(spark, merges), merges)
+    return vo.vocab_counts(side_vocab(spark, sf, "all"), side_merges(spark, sf, "all"))
 
 
 @query
 def merge_misaligned(spark, sf):
     """The other side's merges against the base vocabulary, so that many differ."""
-    base = side_vocab(spark, side_merges(spark, sf, "base"))
-    return vo.merge_misaligned(base, side_merges(spark, sf, "plus"), OFFSET)
+    return vo.merge_misaligned(side_vocab(spark, sf, "base"), side_merges(spark, sf, "plus"), OFFSET)
 
 
 @query
 def merge_by_token(spark, sf):
-    merges = side_merges(spark, sf, "base")
-    return vo.merge_by_token(side_vocab(spark, merges), merges, OFFSET)
+    return vo.merge_by_token(side_vocab(spark, sf, "all"), side_merges(spark, sf, "all"), OFFSET)
 
 
 def _union(spark, sf) -> DataFrame:
@@ -466,9 +477,8 @@ def order_union(spark, sf):
 
 @query
 def reindex_bpe(spark, sf):
-    base, plus = side_merges(spark, sf, "base"), side_merges(spark, sf, "plus")
-    union = vo.order_union(vo.union_bpe(base, plus), OFFSET)
-    return vo.reindex_bpe(side_vocab(spark, base), union)
+    union = vo.order_union(_union(spark, sf), OFFSET)
+    return vo.reindex_bpe(side_vocab(spark, sf, "base"), union)
 
 
 @query
@@ -506,7 +516,7 @@ def union_unigram_min(spark, sf):
 
 @query
 def top_by_score(spark, sf):
-    return vo.top_by_score(_mean_union(spark, sf), 200)
+    return vo.top_by_score(_mean_union(spark, sf), TOP_TOKENS)
 
 
 @query
@@ -521,7 +531,7 @@ def order_by_length(spark, sf):
 
 @query
 def unigram_alp(spark, sf):
-    return evaluate.unigram_alp(side_uvocab(spark, sf, "base"), SIDE_TOKENS)
+    return evaluate.unigram_alp(side_uvocab(spark, sf, "all"), VOCAB_SIZE)
 
 
 def exemplars(spark, sf) -> DataFrame:
@@ -542,47 +552,47 @@ def essential_tokens(spark, sf):
 
 @query
 def add_essentials(spark, sf):
-    return vo.add_essentials(side_uvocab(spark, sf, "base"), _essentials(spark, sf))
+    return vo.add_essentials(side_uvocab(spark, sf, "all"), _essentials(spark, sf))
 
 
 @query
 def trim_vocab(spark, sf):
-    filled = vo.add_essentials(side_uvocab(spark, sf, "base"), _essentials(spark, sf))
-    return vo.trim_vocab(checkpoint(filled), _essentials(spark, sf), 450)
+    filled = vo.add_essentials(side_uvocab(spark, sf, "all"), _essentials(spark, sf))
+    return vo.trim_vocab(checkpoint(filled), _essentials(spark, sf), TRIM_TO)
 
 
 @query
 def trim_unigram_job(spark, sf):
-    return _rounded(trim_unigram(side_uvocab(spark, sf, "base"), _essentials(spark, sf), 450))
+    return _rounded(trim_unigram(side_uvocab(spark, sf, "all"), _essentials(spark, sf), TRIM_TO))
 
 
 @query
 def merge_unigram_job(spark, sf):
     base, plus = side_uvocab(spark, sf, "base"), side_uvocab(spark, sf, "plus")
-    return _rounded(merge_unigram(base, plus, _essentials(spark, sf), "max", 600))
+    return _rounded(merge_unigram(base, plus, _essentials(spark, sf), "max", MERGE_TO))
 
 
 @query
 def intermediate_size(spark, sf):
     """Sizes of a listing in which the two sides' merge tokens repeat."""
-    base = side_vocab(spark, side_merges(spark, sf, "base")).select("token", "kind")
+    base = side_vocab(spark, sf, "base").select("token", "kind")
     plus = side_merges(spark, sf, "plus").select("token", F.lit("merge").alias("kind"))
     return vo.intermediate_size(base.unionByName(plus), VOCAB_SIZE)
 
 
 @query
 def floor_bytes(spark, sf):
-    return _rounded(vo.floor_bytes(side_uvocab(spark, sf, "base")))
+    return _rounded(vo.floor_bytes(side_uvocab(spark, sf, "all")))
 
 
 @query
 def repair_bytes(spark, sf):
-    return _rounded(vo.repair_bytes(side_uvocab(spark, sf, "base")))
+    return _rounded(vo.repair_bytes(side_uvocab(spark, sf, "all")))
 
 
 @query
 def rescore_essentials(spark, sf):
-    filled = vo.add_essentials(side_uvocab(spark, sf, "plus"), _essentials(spark, sf))
+    filled = vo.add_essentials(side_uvocab(spark, sf, "all"), _essentials(spark, sf))
     return _rounded(vo.rescore_essentials(filled, _essentials(spark, sf)))
 
 
@@ -590,7 +600,7 @@ def _listed(spark, sf) -> DataFrame:
     """Both sides one after the other, so that shared tokens are listed twice."""
     base, plus = (side_uvocab(spark, sf, side) for side in ("base", "plus"))
     base = vo.order_vocab(base)
-    plus = vo.order_vocab(plus).withColumn("pos", F.col("pos") + SIDE_TOKENS)
+    plus = vo.order_vocab(plus).withColumn("pos", F.col("pos") + base.agg(F.count(F.lit(1))).scalar())
     return base.unionByName(plus)
 
 
@@ -607,18 +617,17 @@ def dedupe_vocab(spark, sf):
 @query
 def exemplar_coverage(spark, sf):
     in_bytes = exemplars(spark, sf).withColumn("token", bytelevel.to_byte_chars(F.col("token")))
-    seen = unigram.unigram_seed(_byte_counts(_side(spark, sf, "base")), MERGE_LENGTH)
-    return vo.exemplar_coverage(seen, in_bytes)
+    return vo.exemplar_coverage(side_merges(spark, sf, "all"), in_bytes)
 
 
 @query
 def check_size(spark, sf):
-    return vo.check_size(_listed(spark, sf), SIDE_TOKENS)
+    return vo.check_size(_listed(spark, sf), VOCAB_SIZE)
 
 
 @query
 def set_unk(spark, sf):
-    vocab = side_vocab(spark, side_merges(spark, sf, "base"))
+    vocab = side_vocab(spark, sf, "all")
     meta = vocab.groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
     return vo.set_unk(meta, vocab)
 
