@@ -140,7 +140,10 @@ def test_unknown_characters(spark, docs):
     )
     text = spark.createDataFrame([(1, "漢")], "doc_id long, text string")
     ids = en.encode(text, vocab).first().ids
-    assert len(ids) == 3 and ids[0] == -1
+    assert len(ids) == 3 and ids[0] is None
+    for rows_ in (None, 0):
+        back = en.decode(en.encode(text, vocab), vocab, max_broadcast_rows=rows_).first()
+        assert back.decoded == "\ufffd" * 3
 
 
 def test_vocab_roundtrip(vocab):

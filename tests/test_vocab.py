@@ -183,5 +183,3 @@ def test_usage_is_leftmost_then_longest(spark):
     assert used == {"    ": 1, "   ": 1, "  ": 0}
     special = inv.token_usage(corpus, inv.special_tokens(spark)).where("n > 0")
     assert rows(special) == [("<|sep|>", 1), ("<|s|>", 1)]
-    with pytest.raises(ValueError):
-        inv.token_list(spark.range(20_000).select(F.col("id").cast("string").alias("token")))

@@ -13,8 +13,6 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from vocabspark.functions.splits import MARK
-
 FORMS = ("NFC", "NFKC")
 ASCII_ONLY = r"^\p{ASCII}*\z"
 
@@ -41,21 +39,23 @@ def normalize(text: Column, form: str | None = "NFC") -> Column:
 @cache
 def _segment_normalizer(form: str):
     @F.pandas_udf("array<string>")
-    def normalize_batch(texts: pd.Series) -> pd.Series:
-        def one(segments):
-            return [s if s[:1] == MARK else unicodedata.normalize(form, s) for s in segments]
+    def normalize_batch(texts: pd.Series, fixed: pd.Series) -> pd.Series:
+        def one(segments, flags):
+            return [s if f else unicodedata.normalize(form, s) for s, f in zip(segments, flags)]
 
-        return texts.map(one, na_action="ignore")
+        return pd.Series([None if t is None else one(t, f) for t, f in zip(texts, fixed)])
 
     return normalize_batch
 
 
 def normalize_segments(segments: Column, whole: Column, form: str | None) -> Column:
-    """Normalize each string of an array but those that begin with the mark.
+    """Normalize the ``text`` of each segment ``(added, text)`` that is not an added token.
 
     ``whole`` is the text the segments come from; if it is pure ASCII nothing goes to Python.
     """
     if form is None:
         return segments
-    needs_work = ~whole.rlike(ASCII_ONLY)
-    return F.coalesce(_segment_normalizer(form)(F.when(needs_work, segments)), segments)
+    sent = F.when(~whole.rlike(ASCII_ONLY), segments)
+    done = _segment_normalizer(form)(sent["text"], sent["added"])
+    both = F.zip_with(sent["added"], done, lambda a, t: F.struct(a.alias("added"), t.alias("text")))
+    return F.coalesce(both, segments)

@@ -11,9 +11,6 @@ from pyspark.sql import functions as F
 
 from vocabspark.functions import patterns as P
 
-# A code point that marks boundaries while splitting; not a character of real text.
-MARK = "\ufdd0"
-
 
 def _matches(text: Column, pattern: str) -> Column:
     return F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(0))
@@ -24,13 +21,11 @@ def _non_empty(pieces: Column) -> Column:
 
 
 def split_isolated(text: Column, pattern: str) -> Column:
-    """Matches and the gaps between them, in order.
+    """Matches and the gaps between them, in order; ``pattern`` never matches the empty string.
 
-    The mark is put around each match, so a text that already holds the mark would be cut
-    there too; it is a permanently unassigned code point.
+    A gap is what stands where no match begins. The possessive loop takes it in one go, without a stack.
     """
-    marked = F.regexp_replace(text, f"({pattern})", f"{MARK}$1{MARK}")
-    return _non_empty(F.split(marked, MARK))
+    return _matches(text, f"(?s:(?:{pattern})|(?:(?!{pattern}).)++)")
 
 
 def split_whitespace(text: Column) -> Column:

@@ -9,9 +9,10 @@ whole: each distinct piece is joined with the tokens that stand in it.
 from __future__ import annotations
 
 import heapq
-import random
-from collections.abc import Sequence
+import itertools
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
+from hashlib import md5
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -19,16 +20,19 @@ from pyspark.sql import functions as F
 
 from vocabspark.functions.bytelevel import BYTE_TO_CHAR, CHAR_TO_BYTE, to_byte_chars
 from vocabspark.functions.normalize import normalize_segments
-from vocabspark.functions.patterns import any_of
-from vocabspark.functions.splits import MARK, apply_steps, split_isolated
-from vocabspark.operators.inventory import UNKNOWN_TOKEN, token_list
+from vocabspark.functions.splits import apply_steps
+from vocabspark.operators.inventory import UNKNOWN_TOKEN
 from vocabspark.operators.lattice import all_substrings, best_path, skew_join
+from vocabspark.operators.matching import segments
 from vocabspark.operators.pretokenize import SplitSpec, count_pieces
 from vocabspark.session import checkpoint, fits_broadcast
 
 PIECES_REMEMBERED = 200_000
 UNKNOWN_PENALTY = 10.0
 NOT_IN_MODEL = ("special", "whitespace")
+FALLBACK = "^<0x[0-9A-F]{2}>$"
+# What decoding shows for a piece of text that has no id.
+NO_ID_BYTES = "\ufffd".encode()
 
 _BYTE_TABLE = dict(enumerate(BYTE_TO_CHAR))
 
@@ -47,7 +51,7 @@ class Vocabulary:
 
     def added(self) -> DataFrame:
         """Tokens cut out of the text before anything else; fallback tokens stand for bytes."""
-        fallback = F.col("token").rlike("^<0x[0-9A-F]{2}>$") & F.lit(self.spec.byte_fallback)
+        fallback = F.col("token").rlike(FALLBACK) & F.lit(self.spec.byte_fallback)
         return self.tokens.where(F.col("kind").isin(*NOT_IN_MODEL) & ~fallback)
 
     def unknown_score(self) -> float:
@@ -92,11 +96,19 @@ def _lookup(tokens, ids, logprobs, rules, unknown: float) -> dict:
     }
 
 
-def merge_piece(symbols: list[str], ranks: dict, dropout: float = 0.0, rng=None) -> list[str]:
+def draws(key: str, dropout: float) -> Callable[[], bool]:
+    """Whether to skip, step by step: draw ``k`` is from the first 32 bits of ``md5(key:k)``.
+
+    A draw depends on nothing but its key and step, so any engine can repeat it.
+    """
+    steps, limit = itertools.count(), dropout * 2**32
+    return lambda: int.from_bytes(md5(f"{key}:{next(steps)}".encode()).digest()[:4], "big") < limit
+
+
+def merge_piece(symbols: list[str], ranks: dict, skip: Callable[[], bool] | None = None) -> list[str]:
     """Apply merge rules to one piece: lowest rank first, then leftmost.
 
-    With ``dropout`` a merge that comes up is skipped at random and tried again after the
-    next merge is made.
+    A merge that comes up when ``skip`` says so is left out and tried again after the next merge is made.
     """
     after = list(range(1, len(symbols) + 1))
     before = list(range(-1, len(symbols) - 1))
@@ -116,7 +128,7 @@ def merge_piece(symbols: list[str], ranks: dict, dropout: float = 0.0, rng=None)
         _, i, left, right = rule
         if symbols[i] != left or after[i] >= len(symbols) or symbols[after[i]] != right:
             continue
-        if dropout and rng.random() < dropout:
+        if skip is not None and skip():
             skipped.append(rule)
             continue
         gone = after[i]
@@ -132,64 +144,57 @@ def merge_piece(symbols: list[str], ranks: dict, dropout: float = 0.0, rng=None)
     return [s for s in symbols if s is not None]
 
 
-def _segment(piece: str, lexicon: dict, model: str, dropout: float, rng) -> list[str]:
+def _segment(piece: str, lexicon: dict, model: str, skip: Callable[[], bool] | None) -> list[str]:
     if model == "bpe":
-        return merge_piece(list(piece), lexicon["ranks"], dropout, rng)
+        return merge_piece(list(piece), lexicon["ranks"], skip)
     return best_path(piece, lexicon["scores"], lexicon["longest"], lexicon["unknown"])
 
 
 def _piece_ids(
-    piece: str, lexicon: dict, added: dict, vocab_model: str, fallback: bool,
-    dropout: float = 0.0, rng=None,
-) -> list[int]:
-    """Ids of one piece; ``added`` also holds the unknown and the fallback tokens."""
-    if piece[:1] == MARK and piece[1:] in added:
-        return [added[piece[1:]]]
+    piece: str, lexicon: dict, fixed: dict, model: str, fallback: bool, skip: Callable[[], bool] | None = None
+) -> list[int | None]:
+    """Ids of one piece; ``fixed`` holds the unknown and the fallback tokens.
+
+    What no token covers is the unknown token, or no id where there is none.
+    """
     if not fallback:
         piece = piece.encode().decode("latin-1").translate(_BYTE_TABLE)
-    ids = []
-    for token in _segment(piece, lexicon, vocab_model, dropout, rng):
+    ids: list[int | None] = []
+    for token in _segment(piece, lexicon, model, skip):
         found = lexicon["ids"].get(token)
         if found is not None:
             ids.append(found)
         elif fallback:
-            ids.extend(added[f"<0x{b:02X}>"] for b in token.encode())
+            ids.extend(fixed[f"<0x{b:02X}>"] for b in token.encode())
         else:
-            ids.append(added.get(UNKNOWN_TOKEN, -1))
+            ids.append(fixed.get(UNKNOWN_TOKEN))
     return ids
 
 
 def text_pieces(key: str, vocab: Vocabulary) -> Column:
-    """Pieces of the text as the vocabulary's inference steps cut it.
+    """Pieces ``(added, text)`` of the text as the vocabulary's inference steps cut it.
 
-    Added tokens are cut out first, before normalization, and carry the mark in front.
+    Added tokens are cut out first, before normalization, and stay whole.
     """
-    text, added = F.col(key), token_list(vocab.added())
-    steps, form = vocab.spec.inference(), vocab.spec.normal_form
-    if not added:
-        return apply_steps(_only(normalize_segments(F.array(text), text, form)), steps)
-    pattern = any_of(added)
-    marked = F.transform(
-        split_isolated(text, pattern),
-        lambda s: F.when(s.isin(added), F.concat(F.lit(MARK), s)).otherwise(s),
-    )
-    segments = F.when(text.rlike(pattern), marked).otherwise(F.array(text))
-    return F.flatten(
-        F.transform(
-            normalize_segments(segments, text, form),
-            lambda s: F.when(s.startswith(MARK), F.array(s)).otherwise(apply_steps(s, steps)),
+    text, steps, form = F.col(key), vocab.spec.inference(), vocab.spec.normal_form
+
+    def cut(segment: Column) -> Column:
+        plain = F.transform(
+            apply_steps(segment["text"], steps), lambda p: F.struct(F.lit(False).alias("added"), p.alias("text"))
         )
-    )
+        return F.when(segment["added"], F.array(segment)).otherwise(plain)
+
+    return F.flatten(F.transform(normalize_segments(segments(text, vocab.added()), text, form), cut))
 
 
-def _only(segments: Column) -> Column:
-    return F.get(segments, F.lit(0))
+def _ids_of(tokens: DataFrame) -> dict[str, int]:
+    return {row.token: row.id for row in tokens.select("token", "id").collect()}
 
 
-def _added_ids(vocab: Vocabulary) -> dict[str, int]:
-    added = vocab.tokens.where(F.col("kind").isin(*NOT_IN_MODEL))
-    token_list(added)
-    return {row.token: row.id for row in added.select("token", "id").collect()}
+def _fixed_ids(vocab: Vocabulary) -> dict[str, int]:
+    """Ids of the unknown token and of the 256 fallback tokens."""
+    fixed = (F.col("token") == UNKNOWN_TOKEN) | F.col("token").rlike(FALLBACK)
+    return _ids_of(vocab.tokens.where(F.col("kind").isin(*NOT_IN_MODEL) & fixed))
 
 
 def encode(
@@ -211,12 +216,17 @@ def encode(
         raise ValueError("dropout applies to BPE only")
     if fits_broadcast(vocab.tokens, max_broadcast_rows):
         pieces = df.withColumn("_pieces", text_pieces(key, vocab))
-        row_seed = F.xxhash64(*[F.col(c) for c in ids], F.lit(seed)) if dropout else F.lit(0)
         encoder = _broadcast_encoder(vocab, dropout)
-        return pieces.withColumn("ids", encoder("_pieces", row_seed)).drop("_pieces")
+        drawn = _row_key(ids, seed) if dropout else F.lit("")
+        return pieces.withColumn("ids", encoder("_pieces.text", "_pieces.added", drawn)).drop("_pieces")
     return _encode_by_join(df, vocab, key, list(ids), dropout, seed)
 
 
+def _row_key(ids: Sequence[str], seed: int) -> Column:
+    """What a row's dropout draws start from."""
+    return F.concat_ws(":", F.lit(str(seed)), *[F.col(c).cast("string") for c in ids])
+
+
 def _with_row(df: DataFrame) -> DataFrame:
     """Adds ``_row``, a number of its own for each row, written out before it is used twice."""
     return checkpoint(df.withColumn("_row", F.monotonically_increasing_id()))
@@ -226,30 +236,37 @@ def _broadcast_encoder(vocab: Vocabulary, dropout: float):
     rows = vocab.lexicon().toPandas()
     columns = (rows[c] for c in ("token", "id", "logprob", "rules"))
     lexicon = _lookup(*columns, vocab.unknown_score())
-    shared = vocab.tokens.sparkSession.sparkContext.broadcast((lexicon, _added_ids(vocab)))
+    added = _ids_of(vocab.added())
+    shared = vocab.tokens.sparkSession.sparkContext.broadcast((lexicon, added, _fixed_ids(vocab)))
     model, fallback = vocab.model, vocab.spec.byte_fallback
 
     @F.pandas_udf("array<int>")
-    def encode_batch(texts: pd.Series, seeds: pd.Series) -> pd.Series:
-        lexicon, added = shared.value
+    def encode_batch(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        lexicon, added, fixed = shared.value
         seen: dict[str, list[int]] = {}
 
-        def one(pieces, row_seed):
+        def plain(piece: str) -> list[int]:
+            known = seen.get(piece)
+            if known is None:
+                known = _piece_ids(piece, lexicon, fixed, model, fallback)
+                if len(seen) < PIECES_REMEMBERED:
+                    seen[piece] = known
+            return known
+
+        def one(pieces, flags, row_key) -> list[int]:
             out = []
-            for pos, piece in enumerate(pieces):
-                if dropout:
-                    rng = random.Random(f"{row_seed}:{pos}")
-                    out += _piece_ids(piece, lexicon, added, model, fallback, dropout, rng)
-                    continue
-                known = seen.get(piece)
-                if known is None:
-                    known = _piece_ids(piece, lexicon, added, model, fallback)
-                    if len(seen) < PIECES_REMEMBERED:
-                        seen[piece] = known
-                out += known
+            for pos, (piece, is_added) in enumerate(zip(pieces, flags)):
+                if is_added:
+                    out.append(added[piece])
+                elif dropout:
+                    skip = draws(f"{row_key}:{pos}", dropout)
+                    out += _piece_ids(piece, lexicon, fixed, model, fallback, skip)
+                else:
+                    out += plain(piece)
             return out
 
-        return pd.Series([None if p is None else one(p, s) for p, s in zip(texts, seeds)])
+        for texts, flags, keys in batches:
+            yield pd.Series([None if p is None else one(p, f, k) for p, f, k in zip(texts, flags, keys)])
 
     # The result is fixed by the input. Without this mark, the optimizer repeats the whole
     # function in the filters it derives from an explode of the ids.
@@ -263,7 +280,7 @@ def encode_pieces(
     by: Sequence[str] = (),
     max_broadcast_rows: int | None = None,
 ) -> DataFrame:
-    """``(by..., piece, n, ids)``: each distinct piece per group, counted and encoded once.
+    """``(by..., piece, added, n, ids)``: each distinct piece per group, counted and encoded once.
 
     Enough for every report that adds up over tokens, and far less work than encoding whole
     texts: pieces are cut and counted natively, before anything is shuffled or sent to Python.
@@ -271,9 +288,11 @@ def encode_pieces(
     counts = count_pieces(df.select(*by, F.explode(text_pieces(key, vocab)).alias("piece")), by)
     if fits_broadcast(vocab.tokens, max_broadcast_rows):
         encoder = _broadcast_encoder(vocab, 0.0)
-        return counts.withColumn("ids", encoder(F.array("piece"), F.lit(0)))
-    done = _encode_distinct(counts.select("piece").distinct(), vocab)
-    return counts.join(done.withColumnRenamed("piece_ids", "ids"), "piece")
+        done = counts.withColumn("ids", encoder(F.array("piece.text"), F.array("piece.added"), F.lit("")))
+    else:
+        distinct = _encode_distinct(counts.select("piece").distinct(), vocab)
+        done = skew_join(counts, distinct.withColumnRenamed("piece_ids", "ids"), "piece", F.struct(*by, "piece"))
+    return done.select(*by, F.col("piece.text").alias("piece"), F.col("piece.added").alias("added"), "n", "ids")
 
 
 def _local_lexicons(distinct: DataFrame, vocab: Vocabulary) -> DataFrame:
@@ -283,7 +302,8 @@ def _local_lexicons(distinct: DataFrame, vocab: Vocabulary) -> DataFrame:
     """
     lexicon = vocab.lexicon()
     longest = lexicon.agg(F.max(F.length("token"))).first()[0] or 1
-    in_model = F.col("piece") if vocab.spec.byte_fallback else to_byte_chars(F.col("piece"))
+    text = F.col("piece.text")
+    in_model = text if vocab.spec.byte_fallback else to_byte_chars(text)
     numbered = _with_row(distinct)
     parts = all_substrings(numbered, in_model, longest, "_row").distinct()
     rows = F.collect_list(F.struct("token", "id", "logprob", "rules"))
@@ -292,28 +312,36 @@ def _local_lexicons(distinct: DataFrame, vocab: Vocabulary) -> DataFrame:
 
 
 def _local_encoder(vocab: Vocabulary, dropout: float):
-    """Function from a piece, its local lexicon and a seed to ids."""
-    model, fallback, added = vocab.model, vocab.spec.byte_fallback, _added_ids(vocab)
+    """Function from a piece, its local lexicon and the key of its draws to ids."""
+    model, fallback, fixed = vocab.model, vocab.spec.byte_fallback, _fixed_ids(vocab)
     unknown = vocab.unknown_score()
 
     @F.pandas_udf("array<int>")
-    def encode_batch(pieces: pd.Series, locals_: pd.Series, seeds: pd.Series) -> pd.Series:
-        def one(piece, rows, row_seed):
+    def encode_batch(pieces: pd.Series, locals_: pd.Series, keys: pd.Series) -> pd.Series:
+        def one(piece, rows, key):
             rows = [] if rows is None else list(rows)
             columns = ([r[c] for r in rows] for c in ("token", "id", "logprob", "rules"))
-            rng = random.Random(row_seed) if dropout else None
             lexicon = _lookup(*columns, unknown)
-            return _piece_ids(piece, lexicon, added, model, fallback, dropout, rng)
+            skip = draws(key, dropout) if dropout else None
+            return _piece_ids(piece, lexicon, fixed, model, fallback, skip)
 
-        return pd.Series([one(*row) for row in zip(pieces, locals_, seeds)])
+        return pd.Series([one(*row) for row in zip(pieces, locals_, keys)])
 
     return encode_batch.asNondeterministic()
 
 
+def _added_pieces(distinct: DataFrame, vocab: Vocabulary) -> DataFrame:
+    """``(piece, piece_ids)`` of the pieces that are added tokens."""
+    ids = vocab.added().select(F.col("token").alias("_token"), F.array("id").alias("piece_ids"))
+    of = distinct.where("piece.added").join(ids, F.col("piece.text") == F.col("_token"))
+    return of.select("piece", "piece_ids")
+
+
 def _encode_distinct(distinct: DataFrame, vocab: Vocabulary) -> DataFrame:
     """``(piece, piece_ids)`` with a vocabulary that is too large to send to the tasks."""
-    ids = _local_encoder(vocab, 0.0)("piece", "local", F.lit(""))
-    return _local_lexicons(distinct, vocab).select("piece", ids.alias("piece_ids"))
+    ids = _local_encoder(vocab, 0.0)("piece.text", "local", F.lit(""))
+    model = _local_lexicons(distinct.where("not piece.added"), vocab).select("piece", ids.alias("piece_ids"))
+    return model.unionByName(_added_pieces(distinct, vocab))
 
 
 def _encode_by_join(
@@ -324,14 +352,17 @@ def _encode_by_join(
     Dropout draws differ from place to place, so there every piece is encoded where it stands.
     """
     df = _with_row(df)
-    seeds = F.xxhash64(*[F.col(c) for c in ids], F.lit(seed)).alias("row_seed")
-    exploded = df.select("_row", seeds, F.posexplode(text_pieces(key, vocab)).alias("pos", "piece"))
+    cut = F.posexplode(text_pieces(key, vocab)).alias("pos", "piece")
+    exploded = df.select("_row", _row_key(ids, seed).alias("row_key"), cut)
     distinct, place = exploded.select("piece").distinct(), F.struct("_row", "pos")
     if dropout:
-        drawn = F.concat_ws(":", "row_seed", "pos")
-        joined = skew_join(exploded, _local_lexicons(distinct, vocab), "piece", place)
-        encoder = _local_encoder(vocab, dropout)
-        encoded = joined.withColumn("piece_ids", encoder("piece", "local", drawn))
+        key_of = F.concat_ws(":", "row_key", "pos")
+        found = _local_lexicons(distinct.where("not piece.added"), vocab)
+        joined = skew_join(exploded.where("not piece.added"), found, "piece", place)
+        drawn = joined.withColumn("piece_ids", _local_encoder(vocab, dropout)("piece.text", "local", key_of))
+        whole = skew_join(exploded.where("piece.added"), _added_pieces(distinct, vocab), "piece", place)
+        columns = ["_row", "pos", "piece_ids"]
+        encoded = drawn.select(columns).unionByName(whole.select(columns))
     else:
         encoded = skew_join(exploded, _encode_distinct(distinct, vocab), "piece", place)
     in_order = F.array_sort(F.collect_list(F.struct("pos", "piece_ids")))
@@ -361,7 +392,7 @@ def decode(
     """Add ``decoded``, the text of ``ids``.
 
     The bytes of all tokens are put together first: a character may be cut by a token edge.
-    What is not valid UTF-8 then becomes U+FFFD.
+    What is not valid UTF-8 then becomes U+FFFD, and so does a missing or foreign id.
     """
     if not fits_broadcast(vocab.tokens, max_broadcast_rows):
         return _decode_by_join(df, vocab)
@@ -374,7 +405,7 @@ def decode(
     def decode_batch(texts: pd.Series) -> pd.Series:
         table = shared.value
         return texts.map(
-            lambda t: b"".join([table.get(i, b"") for i in t]).decode("utf-8", "replace"),
+            lambda t: b"".join([table.get(i, NO_ID_BYTES) for i in t]).decode("utf-8", "replace"),
             na_action="ignore",
         )
 
@@ -394,9 +425,12 @@ def token_bytes(vocab: Vocabulary) -> DataFrame:
 
 def _decode_by_join(df: DataFrame, vocab: Vocabulary) -> DataFrame:
     df = _with_row(df)
-    parts = df.select("_row", F.posexplode("ids").alias("pos", "id"))
-    table = token_bytes(vocab).select("id", F.hex("bytes").alias("hex"))
-    joined = skew_join(parts, table, "id", F.struct("_row", "pos"))
+    name = F.coalesce(F.col("id").cast("string"), F.lit("")).alias("name")
+    parts = df.select("_row", F.posexplode("ids").alias("pos", "id")).select("_row", "pos", name)
+    table = token_bytes(vocab).select(name, F.hex("bytes").alias("hex"))
+    foreign = parts.select("name").distinct().join(table, "name", "left_anti")
+    table = table.unionByName(foreign.select("name", F.lit(NO_ID_BYTES.hex()).alias("hex")))
+    joined = skew_join(parts, table, "name", F.struct("_row", "pos"))
     in_order = F.array_sort(F.collect_list(F.struct("pos", "hex")))
     hexed = F.array_join(F.transform(in_order, lambda p: p["hex"]), "")
     text = F.make_valid_utf8(F.unhex(hexed).cast("string")).alias("decoded")

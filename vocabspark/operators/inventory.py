@@ -7,8 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vocabspark.functions.patterns import any_of
-from vocabspark.session import fits_broadcast
+from vocabspark.operators.matching import segments
 
 # --- fixed values ---------------------------------------------------------------------
 SPECIAL_TOKENS = """
@@ -139,8 +138,7 @@ def assign_roles(added: DataFrame, roles: dict[str, str] = ROLES) -> DataFrame:
 def token_usage(corpus: DataFrame, inventory: DataFrame, key: str = "text") -> DataFrame:
     """How often each inventory token stands in the corpus: leftmost, then longest.
 
-    The inventory becomes one pattern, so the corpus is scanned once and only counts are
-    shuffled. Tokens that never occur keep a row with 0.
+    The corpus is scanned once and only counts are shuffled. Tokens that never occur keep a row with 0.
     """
     found = corpus.select(F.explode(find_tokens(F.col(key), inventory)).alias("token"))
     counts = found.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
@@ -149,14 +147,7 @@ def token_usage(corpus: DataFrame, inventory: DataFrame, key: str = "text") -> D
 
 def find_tokens(text: Column, inventory: DataFrame) -> Column:
     """Array of the inventory tokens that stand in the text."""
-    return F.regexp_extract_all(text, F.lit(f"({any_of(token_list(inventory))})"), F.lit(0))
-
-
-def token_list(inventory: DataFrame, max_rows: int = 10_000) -> list[str]:
-    """Tokens of an inventory on the driver, behind a check of its size."""
-    if not fits_broadcast(inventory, max_rows):
-        raise ValueError(f"an inventory of added tokens may hold at most {max_rows} rows")
-    return [row.token for row in inventory.select("token").collect()]
+    return F.filter(segments(text, inventory), lambda s: s["added"])["text"]
 
 
 def char_usage(corpus: DataFrame, by: Sequence[str] = (), key: str = "text") -> DataFrame:
