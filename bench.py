@@ -28,8 +28,12 @@ NAMES = [
     "merge_unigram_job",
     "reindex_bpe",
     "train_bpe",
+    "train_bpe_1000_merges",
+    "train_bpe_10000_merges",
+    "train_unigram",
     "bpe_vocabulary",
     "encode_bpe",
+    "encode_unigram",
     "decode",
     "token_frequency",
     "fallback_portion",
@@ -41,6 +45,8 @@ def run(spark, name: str) -> float:
     start = time.perf_counter()
     if name == "bpe_vocabulary":
         q.bpe_vocabulary(spark, SF_DIR).tokens.count()
+    elif name.endswith("_merges"):
+        q.bpe_merges(spark, SF_DIR, int(name.split("_")[2])).count()
     else:
         q.QUERIES[name](spark, SF_DIR).write.format("noop").mode("overwrite").save()
     return round(time.perf_counter() - start, 3)

@@ -1,3 +1,5 @@
+import json
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -190,10 +192,33 @@ def test_artifact_loads_again(docs, vocab, tmp_path):
     assert made.meta.first().unk_id == unk
 
 
-def test_json_export_loads_again(docs, vocab, tmp_path):
-    path = tmp_path / "vocab.json"
-    path.write_text(vsrc.vocab_json(vsrc.make_artifact(vocab)).first().json)
-    again = vsrc.read_vocab_json(docs.sparkSession, str(path), vocab.spec)
+@pytest.fixture(scope="module")
+def fallback(docs):
+    return train_vocabulary(docs.where("doc_id >= 0"), options(vocab_size=700, spec=SplitSpec(byte_fallback=True)))
+
+
+def test_json_keeps_flags_and_fallback_tokens(docs, fallback, tmp_path):
+    spark, made = docs.sparkSession, vsrc.make_artifact(fallback)
+    vsrc.write_vocab_json(made, str(tmp_path / "parts"))
+    text = "".join(p.read_text() for p in sorted((tmp_path / "parts").glob("part-*")))
+    whole = json.loads(text)["model"]
+    assert whole["byte_fallback"] and whole["unk_id"] == made.meta.first().unk_id and whole["type"] == "bpe"
+    (tmp_path / "vocab.json").write_text(text)
+    for again in (vsrc.read_vocab_json_parts(spark, str(tmp_path / "parts")), vsrc.read_vocab_json(spark, str(tmp_path / "vocab.json"))):
+        assert again.spec.byte_fallback
+        assert rows(again.tokens.select("token", "id", "kind")) == rows(fallback.tokens.select("token", "id", "kind"))
+        assert vsrc.make_artifact(again).added.where("not special and token like '<0x%'").count() == 256
+
+
+@pytest.mark.parametrize("in_parts", [False, True])
+def test_json_export_loads_again(docs, vocab, tmp_path, in_parts):
+    path, made = tmp_path / "vocab.json", vsrc.make_artifact(vocab)
+    if in_parts:
+        vsrc.write_vocab_json(made, str(path))
+        again = vsrc.read_vocab_json_parts(docs.sparkSession, str(path), vocab.spec)
+    else:
+        path.write_text(vsrc.vocab_json(made).first().json)
+        again = vsrc.read_vocab_json(docs.sparkSession, str(path), vocab.spec)
     assert again.model == vocab.model
     assert rows(again.added().select("token", "id")) == rows(vocab.added().select("token", "id"))
     if vocab.model == "bpe":

@@ -333,6 +333,13 @@ SQL["order_union"] = ctes(*BOTH_MERGES, UNION, ORDERED) + " SELECT * FROM o"
 SQL["reindex_bpe"] = ctes(*BOTH_MERGES, vocab("base"), UNION, ORDERED) + """
 SELECT token, id, kind FROM base_v WHERE token NOT IN (SELECT token FROM o)
 UNION ALL SELECT token, id, 'merge' FROM o"""
+SQL["merge_bpe_job"] = ctes(*BOTH_MERGES, vocab("base"), UNION, ORDERED, f"""
+  fixed AS (SELECT token, id, kind FROM base_v WHERE kind NOT IN ('merge', 'whitespace')),
+  first AS MATERIALIZED (SELECT token, id FROM o WHERE id < {q.OFFSET + q.MERGE_TO})""") + f"""
+SELECT token, id, kind FROM fixed WHERE token NOT IN (SELECT token FROM first)
+UNION ALL SELECT token, id, 'merge' FROM first
+UNION ALL SELECT token, CAST({q.OFFSET} + (SELECT count(*) FROM first) + row_number() OVER (ORDER BY id) - 1 AS INT), kind
+FROM base_v WHERE kind = 'whitespace'"""
 TARGET_MERGES = q.VOCAB_SIZE - 256 - q.N_WHITE - q.N_BUFFER
 SQL["budget_deficit"] = ctes(*BOTH_MERGES, UNION) + f"""
 SELECT CAST({TARGET_MERGES} AS BIGINT) AS target_merges, count(*) AS n_union,
@@ -439,16 +446,19 @@ SELECT kind, count(*) AS n, (SELECT min(id) FROM every_v WHERE token = '<|unk|>'
 # --- BPE training: one pair after another, unrolled -----------------------------------------
 
 
-def bpe_chain(n_merges: int) -> str:
+TRAIN_STEPS = ("scripts", "punctuation", "digits", "byte_level")
+
+
+def bpe_chain(n_merges: int, names=TRAIN_STEPS, symbols_of=in_bytes("piece")) -> str:
     """CTEs ``w0 .. wN`` (words as wrapped symbols) and ``p1 .. pN`` (the pair merged next)."""
-    text = steps("text", ["scripts", "punctuation", "digits", "byte_level"])
+    text = steps("text", list(names))
     parts = [f"""doc_pieces AS MATERIALIZED (
       SELECT doc_id, lang, i, pieces[i] AS piece FROM (
         SELECT doc_id, lang, pieces, unnest(range(1, len(pieces) + 1)) AS i
         FROM (SELECT doc_id, lang, {text} AS pieces FROM documents)))""",
         "counted AS (SELECT piece, count(*) AS n FROM doc_pieces GROUP BY piece)",
         f"""w0 AS MATERIALIZED (
-      SELECT piece, regexp_replace({in_bytes('piece')}, '(.)', chr(2) || '\\1' || chr(3), 'g') AS s, n
+      SELECT piece, regexp_replace({symbols_of}, '(?s)(.)', chr(2) || '\\1' || chr(3), 'g') AS s, n
       FROM counted)"""]
     for i in range(1, n_merges + 1):
         pairs = pair_counts(symbols("s"), f"w{i - 1}", "length(l) + length(r) <= 16")
@@ -477,6 +487,18 @@ trained AS MATERIALIZED (
     UNION ALL SELECT token, 0, 'special', 0 FROM ({BUFFER.format(n=q.N_BUFFER)})
     UNION ALL SELECT {byte_char('CAST(b AS INT)')}, 0, 'alphabet', 1 FROM range(256) t(b)
     UNION ALL SELECT token, rank, 'merge', 2 FROM learned))"""
+SQL["train_bpe_fallback"] = bpe_chain(q.N_MERGES, (*TRAIN_STEPS[:3], "word_with_space"), "piece") + f""",
+learned AS ({' UNION ALL '.join(f'SELECT l || r AS token, {i} AS rank FROM p{i}' for i in range(1, q.N_MERGES + 1))})
+SELECT token, CAST(row_number() OVER (ORDER BY section, rank, token) - 1 AS INT) AS id, kind, special,
+  CASE WHEN section = 2 THEN CAST(rank - 1 AS INT) END AS rank FROM (
+    SELECT token, 0 AS rank, 'special' AS kind, 0 AS section, true AS special FROM {SPECIALS}
+    UNION ALL SELECT token, 0, 'special', 0, true FROM ({BUFFER.format(n=q.N_BUFFER)})
+    UNION ALL SELECT printf('<0x%02X>', b), 0, 'special', 0, false FROM range(256) t(b)
+    UNION ALL SELECT DISTINCT unnest(string_split(piece, '')), 0, 'alphabet', 1, NULL FROM counted
+    UNION ALL SELECT token, rank, 'merge', 2, NULL FROM learned)"""
+SQL["vocab_json"] = TRAINED + """
+SELECT t.token, id, kind, CAST(l.rank - 1 AS INT) AS rank FROM trained t LEFT JOIN learned l USING (token)"""
+SQL["read_named_table"] = "SELECT text FROM documents"
 SQL["encode_bpe"] = TRAINED + f"""
 SELECT doc_id, string_agg(CAST(id AS VARCHAR), ' ' ORDER BY i, k) AS ids FROM (
   SELECT doc_id, i, k, s[k] AS token FROM (

@@ -20,7 +20,7 @@ from vocabspark.operators import inventory as inv
 from vocabspark.operators import pretokenize as pt
 from vocabspark.operators import vocab as vo
 from vocabspark.operators.order import with_running_index
-from vocabspark.plans.merge import merge_unigram, trim_unigram
+from vocabspark.plans.merge import merge_bpe, merge_unigram, trim_unigram
 from vocabspark.plans.train import TrainOptions, train_vocabulary
 from vocabspark.session import checkpoint, scratch_path, spread
 from vocabspark.sources import corpus as src
@@ -110,6 +110,13 @@ def read_mixed_directory(spark, sf):
     return src.read_corpus(spark, folder)
 
 
+@query
+def read_named_table(spark, sf):
+    """A corpus kept as a named table, by name."""
+    documents(spark, sf).createOrReplaceTempView("vocabspark_corpus")
+    return src.read_corpus_table(spark, "vocabspark_corpus")
+
+
 @query
 def read_exemplars(spark, sf):
     words = texts(spark, sf).select(F.explode(splits.split_whitespace(F.col("text"))).alias("value"))
@@ -481,6 +488,15 @@ def reindex_bpe(spark, sf):
     return vo.reindex_bpe(side_vocab(spark, sf, "base"), union)
 
 
+@query
+def merge_bpe_job(spark, sf):
+    """The whole merge of two BPE vocabularies: the first merges of the union, ids and whitespace numbered anew."""
+    base, plus = (
+        encode.Vocabulary(side_vocab(spark, sf, side), side_merges(spark, sf, side)) for side in ("base", "plus")
+    )
+    return merge_bpe(base, plus, MERGE_TO).tokens
+
+
 @query
 def budget_deficit(spark, sf):
     return vo.budget_deficit(_union(spark, sf), vo.merge_budget(VOCAB_SIZE, N_WHITE, N_BUFFER))
@@ -656,12 +672,41 @@ def unigram_vocabulary(spark, sf) -> encode.Vocabulary:
     return train_vocabulary(texts(spark, sf), opts)
 
 
-@query
-def train_bpe(spark, sf):
+def bpe_merges(spark, sf, n_merges: int) -> DataFrame:
     counts = pt.byte_pieces(
         pt.count_pretokens(texts(spark, sf), SPLIT_SPEC.train(), normal_form="NFC")
     )
-    return bpe.train_bpe(counts, N_MERGES)
+    return bpe.train_bpe(counts, n_merges)
+
+
+@query
+def train_bpe(spark, sf):
+    return bpe_merges(spark, sf, N_MERGES)
+
+
+@query
+def train_bpe_fallback(spark, sf):
+    """Training over characters, with the 256 byte tokens outside the model."""
+    spec = pt.SplitSpec(isolate_camelcase=False, byte_fallback=True)
+    fixed = len(inv.SPECIAL_TOKENS) + N_BUFFER + 256
+    chars = inv.char_usage(texts(spark, sf)).where(F.col("ch") != "").count()
+    opts = TrainOptions(vocab_size=fixed + chars + N_MERGES, n_buffer=N_BUFFER, max_sentence_length=0, spec=spec)
+    vocab = train_vocabulary(texts(spark, sf), opts)
+    made = vsrc.make_artifact(vocab)
+    rules = vocab.merges.select("token", "rank")
+    return made.tokens.join(made.added.select("token", "special"), "token", "left").join(rules, "token", "left").select(
+        "token", "id", "kind", "special", "rank"
+    )
+
+
+@query
+def component_mode(spark, sf):
+    """Unigram training without any added token."""
+    opts = TrainOptions(
+        model="unigram", vocab_size=UNIGRAM_SIZE, max_token_length=8, max_sentence_length=0, component_mode=True, spec=SPLIT_SPEC
+    )
+    tokens = train_vocabulary(texts(spark, sf), opts).tokens
+    return tokens.select("token", "id", "kind", F.round("logprob", 6).alias("logprob"))
 
 
 @query
@@ -741,6 +786,15 @@ def vocab_artifact(spark, sf):
     return made.tokens.join(made.added.select("token", "special"), "token", "left")
 
 
+@query
+def vocab_json(spark, sf):
+    """Write the trained vocabulary as a JSON document in parts and read it back."""
+    path = scratch_path(spark, "vocab-json")
+    vsrc.write_vocab_json(vsrc.make_artifact(bpe_vocabulary(spark, sf)), path)
+    back = vsrc.read_vocab_json_parts(spark, path)
+    return back.tokens.join(back.merges.select("token", "rank"), "token", "left").select("token", "id", "kind", "rank")
+
+
 @query
 def invertibility(spark, sf):
     return evaluate.invertibility(_encoded(spark, sf), bpe_vocabulary(spark, sf), ["lang"])
