@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vocabspark.llm.tables import by_chunk, stored
+from vocabspark.llm.tables import by_chunk, fields_of, stored
 from vocabspark.llm.words import NOT_ALNUM, list_column, signed, words_of
 
 # Words of all benchmark items together; they are gathered and broadcast (8 bytes each, and 4 for
@@ -129,10 +129,11 @@ def find(index: DataFrame, queries: Queries, slop: int = 0) -> DataFrame:
         frequency[term] = n
     frequency[-1] = np.iinfo(np.int64).max  # places beyond a short window come last
     rarest_first = np.argsort(frequency[queries.windows], axis=1, kind="stable").astype(np.int16)
-    sent = index.sparkSession.sparkContext.broadcast((queries, rarest_first))
+    sent = index.sparkSession.sparkContext.broadcast((fields_of(queries), rarest_first))
 
     def answer(batches):
-        queries, rarest_first = sent.value
+        fields, rarest_first = sent.value
+        queries = Queries(*fields)
         for batch in batches:
             for r in range(batch.num_rows):
                 row = {c: batch.column(c)[r].values.to_numpy(zero_copy_only=False) for c in batch.schema.names}

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vocabspark.llm.tables import by_chunk, stored
+from vocabspark.llm.tables import by_chunk, fields_of, stored
 from vocabspark.llm.words import Words, chunks, mix, signed, words_of
 
 # Counts up to this one are discounted.
@@ -183,10 +183,10 @@ def build_lexicon(training: DataFrame) -> tuple[Lexicon, DataFrame | None]:
 def _hot_pairs(training: DataFrame, lexicon: Lexicon) -> np.ndarray:
     """Training counts of pairs of the hottest symbols, as a square; gathered, its size is fixed."""
     side = int(lexicon.hot.max()) + 1 if len(lexicon.hot) else 0
-    sent = training.sparkSession.sparkContext.broadcast(lexicon)
+    sent = training.sparkSession.sparkContext.broadcast(fields_of(lexicon))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon = sent.value
+        lexicon = Lexicon(*sent.value)
         square = np.zeros(side * side, np.int64)
         for batch in batches:
             for part in chunks(batch, "text"):
@@ -313,14 +313,15 @@ def score(docs: DataFrame, learns: Column, id: str = "doc_id", text: str = "text
     training = rows.where("learns").select("text")
     lexicon, others = build_lexicon(training)
     square = _hot_pairs(training, lexicon)
-    sent = spark.sparkContext.broadcast((lexicon, square))
+    sent = spark.sparkContext.broadcast((fields_of(lexicon), square))
 
     kind = docs.schema[id].dataType.simpleString()
     asking = others is not None
 
     def own(part: pa.RecordBatch) -> pa.RecordBatch:
         """What a row's text and the common tables settle."""
-        lexicon, square = sent.value
+        fields, square = sent.value
+        lexicon = Lexicon(*fields)
         found = words_of(part.column("text"))
         symbols = _symbols(found, lexicon)
         context, after, owner = _pairs(symbols, found.bounds, lexicon)
@@ -353,7 +354,7 @@ def score(docs: DataFrame, learns: Column, id: str = "doc_id", text: str = "text
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Occurrences by bucket; rare words, in order, by their hashes."""
-        lexicon, _ = sent.value
+        lexicon = Lexicon(*sent.value[0])
         for batch in batches:
             for part in chunks(batch, "text"):
                 keys = part.column("key").to_numpy()
@@ -393,7 +394,7 @@ def score(docs: DataFrame, learns: Column, id: str = "doc_id", text: str = "text
         dealt = dealt.unionByName(told, allowMissingColumns=True)
 
     def settle(table: pa.Table) -> pa.Table:
-        lexicon, _ = sent.value
+        lexicon = Lexicon(*sent.value[0])
 
         lengths = np.concatenate([c.fill_null([]).value_lengths().to_numpy() for c in table["key"].chunks])
         learns = np.repeat(table["learns"].to_numpy(), lengths)

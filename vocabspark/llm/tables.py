@@ -41,3 +41,8 @@ def input_bytes(df: DataFrame, column: str) -> int:
 def parts_for(amount: int, each: int) -> int:
     """Partitions for an amount of work at ``each`` units a task; grows with the input."""
     return max(1, -(-amount // each))
+
+
+def fields_of(made: object) -> tuple:
+    """The fields of a dataclass instance, for a broadcast: it then needs no class of this package on the executors."""
+    return tuple(vars(made).values())

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vocabspark.llm.tables import by_chunk
+from vocabspark.llm.tables import by_chunk, fields_of
 from vocabspark.llm.words import NOT_ALNUM, Words, chunks, mix, text_buffer, words_of
 
 # Labelled rows of each class that are fitted on, and the most bytes one of them may have.
@@ -247,11 +247,11 @@ def score(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text")
     with a null or repeated id are scored like any other; other columns are not read; an empty table
     gives an empty table.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = docs.sparkSession.sparkContext.broadcast(fields_of(model))
 
     def one(part: pa.RecordBatch) -> pa.RecordBatch:
         column = part.column("text")
-        scores, found, p = _scores(column, sent.value)
+        scores, found, p = _scores(column, Model(*sent.value))
         spans: list[list] = [[] for _ in range(part.num_rows)]
         hot = np.flatnonzero(p > 0.5)
         if len(hot):
@@ -273,11 +273,11 @@ def score(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text")
 
 def accepted(docs: DataFrame, model: Model, reject_from: float, text: str = "text") -> DataFrame:
     """The rows, with all their columns, that score below ``reject_from``; narrow."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = docs.sparkSession.sparkContext.broadcast(fields_of(model))
     at = docs.columns.index(text)
 
     def one(part: pa.RecordBatch) -> pa.RecordBatch:
-        scores, _, _ = _scores(part.column(at), sent.value)
+        scores, _, _ = _scores(part.column(at), Model(*sent.value))
         return part.filter(pa.array(scores < reject_from))
 
     return docs.mapInArrow(by_chunk(one, text), docs.schema)
