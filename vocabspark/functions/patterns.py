@@ -18,34 +18,42 @@ PUNCT = r"!-/:-@\[-`{-~\p{P}"
 # Runs of at least this many whitespace characters are dropped.
 LONG_SPACE = 17
 
+# Between a lower-case and an upper-case ASCII letter.
+CAMEL_BOUNDARY = r"(?<=[a-z])(?=[A-Z])"
+
 # Unicode scripts that form a class of their own. Han, Hiragana and Katakana form one
 # class together; Common and Inherited are treated apart.
-SCRIPTS = """
-Latin Greek Cyrillic Armenian Hebrew Arabic Syriac Thaana Devanagari Bengali Gurmukhi
-Gujarati Oriya Tamil Telugu Kannada Malayalam Sinhala Thai Lao Tibetan Myanmar Georgian
-Hangul Ethiopic Cherokee Canadian_Aboriginal Ogham Runic Khmer Mongolian Bopomofo Yi
-Old_Italic Gothic Deseret Tagalog Hanunoo Buhid Tagbanwa Limbu Tai_Le Linear_B Ugaritic
-Shavian Osmanya Cypriot Braille Buginese Coptic New_Tai_Lue Glagolitic Tifinagh
-Syloti_Nagri Old_Persian Kharoshthi Balinese Cuneiform Phoenician Phags_Pa Nko Sundanese
-Batak Lepcha Ol_Chiki Vai Saurashtra Kayah_Li Rejang Lycian Carian Lydian Cham Tai_Tham
-Tai_Viet Avestan Egyptian_Hieroglyphs Samaritan Mandaic Lisu Bamum Javanese Meetei_Mayek
-Imperial_Aramaic Old_South_Arabian Inscriptional_Parthian Inscriptional_Pahlavi
-Old_Turkic Brahmi Kaithi Meroitic_Hieroglyphs Meroitic_Cursive Sora_Sompeng Chakma
-Sharada Takri Miao Caucasian_Albanian Bassa_Vah Duployan Elbasan Grantha Pahawh_Hmong
-Khojki Linear_A Mahajani Manichaean Mende_Kikakui Modi Mro Old_North_Arabian Nabataean
-Palmyrene Pau_Cin_Hau Old_Permic Psalter_Pahlavi Siddham Khudawadi Tirhuta Warang_Citi
-Ahom Anatolian_Hieroglyphs Hatran Multani Old_Hungarian Adlam Bhaiksuki Marchen Newa
-Osage Tangut Masaram_Gondi Nushu Soyombo Zanabazar_Square Hanifi_Rohingya Old_Sogdian
-Sogdian Dogra Gunjala_Gondi Makasar Medefaidrin Elymaic Nandinagari
-Nyiakeng_Puachue_Hmong Wancho Yezidi Chorasmian Dives_Akuru Khitan_Small_Script
-""".split()
+SCRIPTS = [
+    "Latin", "Greek", "Cyrillic", "Armenian", "Hebrew", "Arabic", "Syriac", "Thaana",
+    "Devanagari", "Bengali", "Gurmukhi", "Gujarati", "Oriya", "Tamil", "Telugu", "Kannada",
+    "Malayalam", "Sinhala", "Thai", "Lao", "Tibetan", "Myanmar", "Georgian", "Hangul",
+    "Ethiopic", "Cherokee", "Canadian_Aboriginal", "Ogham", "Runic", "Khmer", "Mongolian",
+    "Bopomofo", "Yi", "Old_Italic", "Gothic", "Deseret", "Tagalog", "Hanunoo", "Buhid",
+    "Tagbanwa", "Limbu", "Tai_Le", "Linear_B", "Ugaritic", "Shavian", "Osmanya", "Cypriot",
+    "Braille", "Buginese", "Coptic", "New_Tai_Lue", "Glagolitic", "Tifinagh", "Syloti_Nagri",
+    "Old_Persian", "Kharoshthi", "Balinese", "Cuneiform", "Phoenician", "Phags_Pa", "Nko",
+    "Sundanese", "Batak", "Lepcha", "Ol_Chiki", "Vai", "Saurashtra", "Kayah_Li", "Rejang",
+    "Lycian", "Carian", "Lydian", "Cham", "Tai_Tham", "Tai_Viet", "Avestan",
+    "Egyptian_Hieroglyphs", "Samaritan", "Mandaic", "Lisu", "Bamum", "Javanese", "Meetei_Mayek",
+    "Imperial_Aramaic", "Old_South_Arabian", "Inscriptional_Parthian", "Inscriptional_Pahlavi",
+    "Old_Turkic", "Brahmi", "Kaithi", "Meroitic_Hieroglyphs", "Meroitic_Cursive",
+    "Sora_Sompeng", "Chakma", "Sharada", "Takri", "Miao", "Caucasian_Albanian", "Bassa_Vah",
+    "Duployan", "Elbasan", "Grantha", "Pahawh_Hmong", "Khojki", "Linear_A", "Mahajani",
+    "Manichaean", "Mende_Kikakui", "Modi", "Mro", "Old_North_Arabian", "Nabataean", "Palmyrene",
+    "Pau_Cin_Hau", "Old_Permic", "Psalter_Pahlavi", "Siddham", "Khudawadi", "Tirhuta",
+    "Warang_Citi", "Ahom", "Anatolian_Hieroglyphs", "Hatran", "Multani", "Old_Hungarian",
+    "Adlam", "Bhaiksuki", "Marchen", "Newa", "Osage", "Tangut", "Masaram_Gondi", "Nushu",
+    "Soyombo", "Zanabazar_Square", "Hanifi_Rohingya", "Old_Sogdian", "Sogdian", "Dogra",
+    "Gunjala_Gondi", "Makasar", "Medefaidrin", "Elymaic", "Nandinagari",
+    "Nyiakeng_Puachue_Hmong", "Wancho", "Yezidi", "Chorasmian", "Dives_Akuru",
+    "Khitan_Small_Script",
+]
 # ----------------------------------------------------------------------------
 
 WORDS_AND_SYMBOLS = rf"[{WORD}]+|[^{WS}{WORD}]+"
 PUNCT_ISOLATED = rf"[{PUNCT}]|[^{PUNCT}]+"
 DIGIT_ISOLATED = r"\p{N}|\P{N}+"
 LONG_SPACES = rf"[{WS}]{{{LONG_SPACE},}}"
-CAMEL_BOUNDARY = r"(?<=[a-z])(?=[A-Z])"
 WORD_WITH_SPACE = rf"([{WORD}]+|[{WS}]+[{WORD}]+)"
 NOT_BLANK = rf"[^{WS}]"
 

@@ -10,16 +10,16 @@ from pyspark.sql import functions as F
 from vocabspark.operators.matching import segments
 
 # --- fixed values ---------------------------------------------------------------------
-SPECIAL_TOKENS = """
-<|sep|> <|s|> <|/s|> <|pad|> <|bos|> <|eos|> <|endoftext|>
-<|fim_prefix|> <|fim_suffix|> <|fim_middle|> <|translate|>
-<|startofprompt|> <|endofprompt|> <|user|> <|assistant|> <|system|>
-<|meta|> <|meta_start|> <|meta_end|> <|mask|> <|mask1|>
-<|cls|> <|cls_vision|> <|cls_audio|>
-<|tel_start|> <|tel_end|> <|rrn_start|> <|rrn_end|> <|url_start|> <|url_end|>
-<|email_start|> <|email_end|> <|crd_start|> <|crd_end|> <|acc_start|> <|acc_end|>
-<|name_start|> <|name_end|> <|org_start|> <|org_end|> <|sos|> <|unk|>
-""".split()
+SPECIAL_TOKENS = [
+    "<|sep|>", "<|s|>", "<|/s|>", "<|pad|>", "<|bos|>", "<|eos|>", "<|endoftext|>",
+    "<|fim_prefix|>", "<|fim_suffix|>", "<|fim_middle|>", "<|translate|>", "<|startofprompt|>",
+    "<|endofprompt|>", "<|user|>", "<|assistant|>", "<|system|>", "<|meta|>", "<|meta_start|>",
+    "<|meta_end|>", "<|mask|>", "<|mask1|>", "<|cls|>", "<|cls_vision|>", "<|cls_audio|>",
+    "<|tel_start|>", "<|tel_end|>", "<|rrn_start|>", "<|rrn_end|>", "<|url_start|>",
+    "<|url_end|>", "<|email_start|>", "<|email_end|>", "<|crd_start|>", "<|crd_end|>",
+    "<|acc_start|>", "<|acc_end|>", "<|name_start|>", "<|name_end|>", "<|org_start|>",
+    "<|org_end|>", "<|sos|>", "<|unk|>",
+]
 UNKNOWN_TOKEN = "<|unk|>"
 FIXED_WHITESPACE = [2, 4, 8, 16]
 ROLES = {
