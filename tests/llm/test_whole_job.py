@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -55,6 +56,9 @@ def test_katz_scores_whatever_the_table_holds(spark, monkeypatch, words):
     assert [got[i] for i in range(len(texts))] == pytest.approx(want, rel=1e-9)
 
 
+PROSE = " ".join(["some words of an article that go on for long enough to be prose"] * 3)
+
+
 @pytest.mark.parametrize(
     "page, text",
     [
@@ -68,8 +72,63 @@ def test_katz_scores_whatever_the_table_holds(spark, monkeypatch, words):
         ("<div><p>post of some words</p><div class='ad x'>buy</div><ul class=menu><li>m</ul></div>", "post of some words"),
         ("<div class=header><p>most of it is here</p><nav>menu</nav><div class=share>s</div></div>", "most of it is here"),
         ("<article><p>so <math><mi>x</mi><mo>=</mo><mn>1</mn><mspace/><annotation>x=1</annotation></math> holds</p></article>", "so x=1 holds"),
+        (f"<div class=a><p>{PROSE}</p></div><div class=b><p>{PROSE[:90]}</p></div><div><a href=x>one</a> <a href=y>two</a></div>", f"{PROSE}\n{PROSE[:90].strip()}"),
+        (f"<article><p>{PROSE}</p><div id=comments><p>{PROSE}</p></div></article><section id=comments><p>nice</p></section>", PROSE),
+        (f"<div class=cookie-banner>c</div><div class=site-header>s</div><p>{PROSE}</p><ul class='comment-list'><li>{PROSE}</ul>", PROSE),
+        (f"<article><div class=entry-header><h1>Title</h1></div><p>{PROSE}</p><div class=post-share>s</div></article>", f"Title\n{PROSE}"),
+        ("<article><p><a href=x>only links</a></p></article>", "only links"),
+        ("<!-- a --!><p>one</p><!--><p>two</p>", "one\ntwo"),
+        ("<article><p>fill in <label>the label</label> now</p></article>", "fill in the label now"),
         ("<article><svg><path d='m'/><text>label</text></svg><p><object>shape</object> <noscript>plain</noscript></p></article>", "label\nshape plain"),
     ],
 )
 def test_html_keeps_what_only_sounds_like_a_menu(page, text):
     assert html_main.Page(f"<html><body>{page}</body></html>").text(None) == text
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<i>" * 60_000 + "</b>" * 60_000, "<p><div>" + "<i>" * 60_000 + "<h1></h1>" * 40_000, "<div>" * 60_000, "<li>" * 100_000, "<a b='" * 60_000],
+)
+def test_html_of_hostile_pages_in_linear_time(page):
+    begun = time.process_time()
+    html_main.Page(page).text(None)
+    assert time.process_time() - begun < 10
+
+
+def _shop_page(rnd, host, n):
+    """A page with known article text: sibling containers on some hosts, menus by name, tag or links on all."""
+    words = "river stone makes quiet paths along the old green valley where people walk in spring and autumn".split()
+    blocks = [" ".join(rnd.choice(words) for _ in range(rnd.randrange(25, 60))) for _ in range(rnd.randrange(2, 6))]
+    shown = [f"<p>{b.replace('the', 't&#104;e', 1)}</p>" for b in blocks]
+    half = len(blocks) // 2
+    body = {
+        0: f"<article>{''.join(shown)}</article>",
+        1: f"<div class='part{n}'>{''.join(shown[:half])}</div><div class=rest>{''.join(shown[half:])}</div>",
+        2: f"<main><div class=story-{n}>{''.join(shown)}</div><div class=newsletter-form>join us</div></main>",
+    }[host % 3]
+    menu = "<ul>" + "".join(f"<li><a href=/{i}>{rnd.choice(words)}</a></li>" for i in range(8)) + "</ul>"
+    page = f"<html><head><title>t</title></head><body><nav>{menu}</nav><div class=site-header>shop</div><div>{menu}</div>{body}"
+    return f"{page}<div class=cookie-banner>we use cookies</div><div id=comments><p>{' '.join(words * 3)}</p></div></body></html>", "\n".join(blocks)
+
+
+@pytest.mark.parametrize("sent", [50_000, 0])
+def test_html_of_pages_with_known_text(spark, monkeypatch, sent):
+    """Every block of every page, by winners that are sent and by winners that are joined; other columns change nothing."""
+    monkeypatch.setattr(html_main, "MAX_SENT_HOSTS", sent)
+    rnd = random.Random(8)
+    made = [(n, n % 7, *_shop_page(rnd, n % 7, n)) for n in range(140)]
+    rows = [(n, f"https://h{host}.example/{n}", page, "x", "y") for n, host, page, _ in made]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, host string, path string")
+    got = {r.page_id: r.text for r in html_main.extract(pages).collect()}
+    assert got == {n: text for n, _, _, text in made}
+
+
+def test_html_by_the_votes_of_a_host(spark):
+    """A page whose own best container is a long notice without a name: the host's other pages tell its article."""
+    prose = "few words of news"
+    usual = f"<html><body><div class=news><p>{prose} {prose}</p></div><div class=box>b</div></body></html>"
+    odd = f"<html><body><div class=news><p>{prose}</p></div><div class=box>{'<a href=x>offers</a> today only ' * 2}</div></body></html>"
+    assert html_main.Page(odd).text(None) != prose
+    pages = spark.createDataFrame([(i, "http://n.example/", usual if i else odd) for i in range(5)], "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in html_main.extract(pages).collect()}[0] == prose
