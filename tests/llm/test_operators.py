@@ -326,12 +326,27 @@ def test_bpe_round_trip(docs, rows, empty, ranks):
 
 def test_bpe_tree_on_hard_pieces(ranks):
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    encoder = bpe_tree.Encoder(ranks, public_tokenizers.PATTERN)
+    encoder = bpe_tree.Encoder(ranks, public_tokenizers.PATTERN, bpe_tree.mergeable(ranks))
     rnd = random.Random(6)
     for size in (1, 33, 200, 2000):
         for letters in ("a", "ab", "thinger", "éa", "漢字語", "= -", "\n \t"):
             text = "".join(rnd.choice(letters) for _ in range(size))
-            assert encoder.encode(text).tolist() == library.encode_ordinary(text)
+            assert encoder.encode([text])[0].tolist() == library.encode_ordinary(text)
+
+
+def test_bpe_leaves_side_by_side(ranks):
+    """Many matches of a chunk at once, forgetting in between, and a vocabulary without mergeable pairs."""
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    encoder = bpe_tree.Encoder(ranks, public_tokenizers.PATTERN, bpe_tree.mergeable(ranks))
+    rnd = random.Random(7)
+    for _ in range(3):
+        texts = ["".join(rnd.choice("aabeht \n\té漢0x😀") for _ in range(rnd.randrange(300))) for _ in range(400)] + [None, ""]
+        assert [ids.tolist() for ids in encoder.encode(texts)] == [library.encode_ordinary(t or "") for t in texts]
+        encoder.pieces |= {str(i): [0] for i in range(bpe_tree.REMEMBERED)}  # the next chunk finds it full
+    plain = {bytes([b]): b for b in range(256)}
+    alone = bpe_tree.Encoder(plain, public_tokenizers.PATTERN, bpe_tree.mergeable(plain))
+    assert bytes(alone.encode(["hé, 12"])[0].tolist()) == "hé, 12".encode()
+    assert alone.encode([]) == []
 
 
 def test_pii(docs, rows, empty):

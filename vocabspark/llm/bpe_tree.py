@@ -15,7 +15,8 @@ from __future__ import annotations
 
 import base64
 import heapq
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,10 @@ from vocabspark.llm.words import list_column
 # Pieces of up to so many bytes are leaves of the tree.
 LEAF_BYTES = 32
 # Encodings of pieces and tests of token pairs that a task remembers; then it forgets them all.
-REMEMBERED = 600_000
+REMEMBERED = 250_000
+# Tokens that are decoded at once.
+DECODED_TOKENS = 1 << 18
+_NEVER = np.iinfo(np.int32).max
 
 
 def read_ranks(spark: SparkSession, path: str) -> dict[bytes, int]:
@@ -101,15 +105,113 @@ def _merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[bytes]:
     return out
 
 
+def gathered(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of ``flat`` that ``which`` names, one after another, and where each begins and the last ends."""
+    wide = sizes[which]
+    at = np.append(0, np.cumsum(wide))
+    return flat[np.repeat(starts[which] - at[:-1], wide) + np.arange(at[-1])], at
+
+
+def mergeable(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of tokens whose concatenation is a token of at most a leaf's length, sorted, and that token."""
+    found = {}
+    for token, rank in ranks.items():
+        if len(token) <= LEAF_BYTES:
+            for i in range(1, len(token)):
+                left, right = ranks.get(token[:i]), ranks.get(token[i:])
+                if left is not None and right is not None:
+                    found[left << 32 | right] = rank
+    keys = np.fromiter(found, np.int64, len(found))
+    order = np.argsort(keys)
+    return keys[order], np.fromiter(found.values(), np.int32, len(found))[order]
+
+
 class Encoder:
-    """Encodes and decodes with one vocabulary; lives in a task."""
+    """Encodes with one vocabulary; lives in a task. ``merges`` are the vocabulary's mergeable pairs."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
+    def __init__(self, ranks: dict[bytes, int], pattern: str, merges: tuple[np.ndarray, np.ndarray]) -> None:
         self.ranks = ranks
-        self.tokens = {rank: token for token, rank in ranks.items()}
         self.cut = regex.compile(pattern)
         self.pieces: dict[str, list[int]] = {}
         self.pairs: dict[tuple[bytes, bytes], bool] = {}
+        self.keys, self.merged = merges
+        self.alphabet = np.array([ranks.get(bytes([b]), -1) for b in range(256)], np.int32)
+        every = np.arange(256)
+        self.first = self.rank_of(self.alphabet[np.repeat(every, 256)], self.alphabet[np.tile(every, 256)])
+        self.passing: list[str] = []  # long pieces, remembered for one chunk only
+
+    def rank_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks of concatenations of tokens; the highest number where they are no token."""
+        if not len(self.keys):
+            return np.full(len(left), _NEVER, np.int32)
+        wanted = left.astype(np.int64) << 32 | right
+        at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+        return np.where(self.keys[at] == wanted, self.merged[at], _NEVER)
+
+    def leaves(self, texts: list[str], raws: list[bytes]) -> None:
+        """Encodes many leaves side by side: in each round every unfinished one does its next merge.
+
+        A merge shortens a leaf by one token, so leaves of one width stay together, and those of the next
+        width join them.
+        """
+        sizes = np.fromiter(map(len, raws), np.int64, len(raws))
+        data = np.frombuffer(b"".join(raws), np.uint8)
+        starts = np.cumsum(sizes) - sizes
+        order = np.argsort(-sizes, kind="stable")
+        widths = sizes[order]
+        who, tokens, ranks = np.zeros(0, np.int64), None, None
+        for width in range(int(widths[0]) if len(widths) else 0, 0, -1):
+            fresh = order[np.searchsorted(-widths, -width, "left") : np.searchsorted(-widths, -width, "right")]
+            if len(fresh):
+                raw = data[starts[fresh][:, None] + np.arange(width)]
+                begun = self.first[raw[:, :-1].astype(np.int64) << 8 | raw[:, 1:]]
+                own = self.alphabet[raw]
+                tokens = own if tokens is None else np.concatenate([tokens, own])
+                ranks = begun if ranks is None else np.concatenate([ranks, begun])
+                who = np.concatenate([who, fresh])
+            if not len(who):
+                tokens = ranks = None
+                continue
+            at = ranks.argmin(1) if width > 1 else np.zeros(len(who), np.int64)
+            best = ranks[np.arange(len(who)), at] if width > 1 else np.full(len(who), _NEVER, np.int32)
+            done = best == _NEVER
+            for i, ids in zip(who[done].tolist(), tokens[done].tolist()):
+                self.pieces[texts[i]] = ids
+            more = ~done
+            who, at, best, tokens, ranks = who[more], at[more], best[more], tokens[more], ranks[more]
+            rows = np.arange(len(who))
+            tokens[rows, at] = best
+            place = np.arange(width - 1)
+            tokens = np.take_along_axis(tokens, place + (place > at[:, None]), 1)
+            place = place[: width - 2] if width > 1 else place
+            ranks = np.take_along_axis(ranks, place + (place >= at[:, None]), 1)
+            for shift in (0, 1):
+                side = at - shift
+                has = rows[(side >= 0) & (side < width - 2)]
+                ranks[has, side[has]] = self.rank_of(tokens[has, side[has]], tokens[has, side[has] + 1])
+
+    def learn(self, wanted: Iterable[str]) -> None:
+        """Remembers the ids of all different matches of a chunk; a match that is a token is that token."""
+        for text in self.passing:
+            self.pieces.pop(text, None)
+        wanted = set(wanted)
+        new = wanted.difference(self.pieces)
+        if len(self.pieces) + len(new) > REMEMBERED:
+            self.pieces.clear()
+            new = wanted
+        self.passing = [text for text in new if len(text) > 4 * LEAF_BYTES]
+        texts, raws = [], []
+        for text in new:
+            raw = text.encode()
+            whole = self.ranks.get(raw)
+            if whole is not None:
+                self.pieces[text] = [whole]
+            elif len(raw) <= LEAF_BYTES:
+                texts.append(text)
+                raws.append(raw)
+            else:
+                self.pieces[text] = [self.ranks[t] for t in self.reduce(raw)]
+        self.leaves(texts, raws)
 
     def settled(self, left: bytes, right: bytes) -> bool:
         """Whether two neighbouring tokens are the encoding of their concatenation."""
@@ -139,28 +241,18 @@ class Encoder:
         half = len(piece) // 2
         return self.join(self.reduce(piece[:half]), self.reduce(piece[half:]))
 
-    def piece(self, text: str) -> list[int]:
-        """Ids of one match of the pattern; a match that is a token is that token."""
-        ids = self.pieces.get(text)
-        if ids is None:
-            raw = text.encode()
-            whole = self.ranks.get(raw)
-            ids = [whole] if whole is not None else [self.ranks[t] for t in self.reduce(raw)]
-            if len(text) <= 4 * LEAF_BYTES:
-                if len(self.pieces) >= REMEMBERED:
-                    self.pieces.clear()
-                self.pieces[text] = ids
-        return ids
-
-    def encode(self, text: str) -> np.ndarray:
-        ids: list[int] = []
-        known = self.pieces.get
-        for piece in self.cut.findall(text):
-            ids += known(piece) or self.piece(piece)
-        return np.array(ids, np.int32)
-
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
+    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Ids of each text of a chunk; each different match is looked up once."""
+        found = [self.cut.findall(text) if text else [] for text in texts]
+        counts = np.fromiter(map(len, found), np.int64, len(found))
+        every = pa.array(chain.from_iterable(found), pa.large_string(), size=int(counts.sum())).dictionary_encode()
+        different = every.dictionary.to_pylist()
+        self.learn(different)
+        known = [self.pieces[text] for text in different]
+        sizes = np.fromiter(map(len, known), np.int64, len(known))
+        ids, at = gathered(np.fromiter(chain.from_iterable(known), np.int32), np.cumsum(sizes) - sizes, sizes, every.indices.to_numpy())
+        at = at[np.append(0, np.cumsum(counts))].tolist()
+        return [ids[a:b] for a, b in zip(at, at[1:])]
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -170,13 +262,13 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id: str = "do
     other columns are not read; an empty table gives an empty table. Every byte must have a rank. Every
     match of the pattern is encoded on its own, so the pattern must match every character.
     """
-    sent = docs.sparkSession.sparkContext.broadcast((ranks, pattern))
+    sent = docs.sparkSession.sparkContext.broadcast((ranks, pattern, mergeable(ranks)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(*sent.value)
 
         def one(part: pa.RecordBatch) -> pa.RecordBatch:
-            ids = [encoder.encode(t) if t else np.zeros(0, np.int32) for t in part.column("text").to_pylist()]
+            ids = encoder.encode(part.column("text").to_pylist())
             return pa.record_batch({"id": part.column("id"), "ids": list_column(ids, pa.int32())})
 
         yield from by_chunk(one, "text")(batches)
@@ -195,20 +287,35 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int], ids: str = "ids", name:
     sent = encoded.sparkSession.sparkContext.broadcast(ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = [None] * (max(sent.value.values(), default=-1) + 1)
-        for token, rank in sent.value.items():
-            tokens[rank] = token
+        top = max(sent.value.values(), default=-1) + 1
+        known = np.zeros(top, bool)
+        known[list(sent.value.values())] = True
+        sizes, starts = np.zeros(top, np.int64), np.zeros(top, np.int64)
+        ranks = np.fromiter(sent.value.values(), np.int64, len(sent.value))
+        sizes[ranks] = np.fromiter(map(len, sent.value), np.int64, len(ranks))
+        starts[ranks] = np.cumsum(sizes[ranks]) - sizes[ranks]
+        letters = np.frombuffer(b"".join(sent.value), np.uint8)
+
+        def joined(tokens: np.ndarray) -> bytes:
+            return gathered(letters, starts, sizes, tokens)[0].tobytes()
+
         for batch in batches:
             column = batch.column(ids)
             if not isinstance(column, pa.ListArray):
                 column = column.cast(pa.list_(pa.int32()))
             for start in range(0, batch.num_rows, 256):
                 part, own = batch.slice(start, 256), column.slice(start, 256)
-                flat = own.flatten().to_pylist()
-                if flat and min(flat) < 0:
-                    raise ValueError(f"unknown id {min(flat)}")
-                ends = np.cumsum(pa.compute.fill_null(own.value_lengths(), 0).to_numpy()).tolist()
-                raw = [b"".join([tokens[i] for i in flat[a:b]]) for a, b in zip([0, *ends], ends)]
+                flat = own.flatten()
+                if flat.null_count:
+                    raise ValueError("an id is null")
+                flat = flat.to_numpy()
+                strange = flat[(flat < 0) | (flat >= top) | ~known[np.clip(flat, 0, top - 1)]] if top else flat
+                if len(strange):
+                    raise ValueError(f"unknown id {strange[0]}")
+                whole = b"".join([joined(flat[i : i + DECODED_TOKENS]) for i in range(0, len(flat), DECODED_TOKENS)])
+                ends = np.cumsum(pa.compute.fill_null(own.value_lengths(), 0).to_numpy())
+                at = [0, *np.append(0, np.cumsum(sizes[flat]))[ends].tolist()]
+                raw = [whole[a:b] for a, b in zip(at, at[1:])]
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array(raw, pa.binary())], names=[*part.schema.names, name]
                 )
