@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vocabspark.llm.tables import by_chunk, fields_of, stored
+from vocabspark.llm.tables import by_chunk, fields_of, limit_batches, stored
 from vocabspark.llm.words import Words, chunks, mix, signed, words_of
 
 # Counts up to this one are discounted.
@@ -43,8 +43,6 @@ TABLE_WORDS = 1 << 20
 HOT_WORDS = 1024
 # Occurrences a partition is meant to hold: some 130 bytes each while it is counted.
 BUCKET_TOKENS = 1_000_000
-# Bytes of an Arrow batch, set on the session.
-BATCH_BYTES = 8 << 20
 _HELD = 2 << 20
 # Packed rows whose parts are added up at once.
 _ROWS = 64
@@ -309,7 +307,7 @@ def score(docs: DataFrame, learns: Column, id: str = "doc_id", text: str = "text
     )
     spark = docs.sparkSession
     # Packed rows are large: without a limit in bytes a task's whole share would be one batch.
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    limit_batches(spark)
     training = rows.where("learns").select("text")
     lexicon, others = build_lexicon(training)
     square = _hot_pairs(training, lexicon)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from vocabspark.llm import bpe_tree, decontaminate, html_main, katz, merkle, ngram_join, paragraph_dedup, pii
 from vocabspark.llm import suffix_dedup, toxicity, vector_codes, warc, winnow
+from vocabspark.llm.tables import limit_batches
 from vocabspark.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +26,7 @@ def query(fn: Query) -> Query:
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    limit_batches(spark)
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 

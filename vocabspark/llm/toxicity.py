@@ -27,6 +27,8 @@ from vocabspark.llm.words import NOT_ALNUM, Words, chunks, mix, text_buffer, wor
 # Labelled rows of each class that are fitted on, and the most bytes one of them may have.
 SAMPLE_ROWS = 1500
 SAMPLE_BYTES = 20_000
+# Bytes of text whose tokens a task holds at once: some 100 bytes for each token.
+CHUNK_BYTES = 512 << 10
 # Weights of the field: hashed features.
 TABLE_BITS = 20
 KINDS = 8
@@ -62,33 +64,42 @@ def chains(column: pa.Array) -> Chains:
     found = words_of(column, NOT_ALNUM)
     n = len(found.hashes)
     if not n:
-        return Chains(np.zeros((KINDS, 0), np.int64), found, np.zeros(1, np.int64))
+        return Chains(np.zeros((KINDS, 0), np.int32), found, np.zeros(1, np.int64))
     lines = np.flatnonzero(data == 0x0A)
     line = np.searchsorted(lines, found.starts) + found.docs()
     bounds = np.flatnonzero(np.append(True, line[1:] != line[:-1]))
     bounds = np.append(bounds, n)
     folded = np.arange(256, dtype=np.uint64)
     folded[0x41:0x5B] += np.uint64(32)
-    kinds = [found.hashes]
+    table = np.empty((KINDS, n), np.int32)
+    rows = iter(range(KINDS))
+
+    def put(values: np.ndarray) -> None:
+        """Places in the table of the next kind of feature."""
+        at = next(rows)
+        salt = np.uint64(0xA24BAED4963EE407 * (at + 1) & (2**64 - 1))
+        table[at] = mix(values ^ salt) >> np.uint64(64 - TABLE_BITS)
+
+    put(found.hashes)
     length = found.ends - found.starts
     head = np.zeros(n, np.uint64)
     for j in range(6):
         at = np.minimum(found.starts + j, len(data) - 1)
         head = head * np.uint64(257) + np.where(j < length, folded[data[at]] + np.uint64(1), np.uint64(0))
         if j >= 2:
-            kinds.append(head.copy())
+            put(head)
     tail = np.zeros(n, np.uint64)
     for j in range(3):
         tail = tail * np.uint64(257) + np.where(j < length, folded[data[np.maximum(found.ends - 1 - j, 0)]], np.uint64(0))
-    kinds.append(tail)
-    before, after = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
-    before[1:], after[:-1] = found.hashes[:-1], found.hashes[1:]
-    before[bounds[:-1]] = 1
-    after[bounds[1:] - 1] = 2
-    kinds += [before, after]
-    salt = [np.uint64(0xA24BAED4963EE407 * (i + 1) & (2**64 - 1)) for i in range(KINDS)]
-    table = [(mix(x ^ s) >> np.uint64(64 - TABLE_BITS)).astype(np.int64) for x, s in zip(kinds, salt)]
-    return Chains(np.stack(table), found, bounds)
+    put(tail)
+    beside = np.zeros(n, np.uint64)
+    beside[1:] = found.hashes[:-1]
+    beside[bounds[:-1]] = 1
+    put(beside)
+    beside[:-1] = found.hashes[1:]
+    beside[bounds[1:] - 1] = 2
+    put(beside)
+    return Chains(table, found, bounds)
 
 
 def _by_length(bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -147,13 +158,21 @@ def marginals(emission: np.ndarray, moves: np.ndarray, bounds: np.ndarray) -> tu
     return toxic, expected, log_z
 
 
+def emissions(features: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Score of toxic over other of each token: the sum of its features' weights, added kind by kind."""
+    total = np.zeros(features.shape[1])
+    for row in features:
+        total += weights[row]
+    return total
+
+
 def _marked(one: Chains, doc: np.ndarray, toxic: np.ndarray) -> np.ndarray:
     """Labels of tokens from labels of documents: the word and its first four to six bytes tell."""
     size = 1 << TABLE_BITS
     marked = np.zeros(len(doc), bool)
     n_toxic, n_other = max(1, int(toxic.sum())), max(1, int((~toxic).sum()))
     for kind in (0, 2, 3, 4):
-        pair = np.unique(one.features[kind] * len(toxic) + doc)
+        pair = np.unique(one.features[kind].astype(np.int64) * len(toxic) + doc)
         place, owner = pair // len(toxic), pair % len(toxic)
         with_it = np.bincount(place[toxic[owner]], minlength=size)
         without = np.bincount(place[~toxic[owner]], minlength=size)
@@ -180,18 +199,17 @@ def fit(texts: list[str], toxic: list[bool]) -> Model:
     seen_moves = np.bincount(pair, minlength=4).reshape(2, 2).astype(float)
     weights, moves = np.zeros(1 << TABLE_BITS), np.zeros((2, 2))
     past, past_moves = np.full(len(weights), 1e-8), np.full((2, 2), 1e-8)
-    flat = one.features.ravel()
     count = len(gold)
     for _ in range(EPOCHS):
-        emission = weights[one.features].sum(0)
-        p, expected, _ = marginals(emission, moves, one.bounds)
-        change = np.bincount(flat, np.tile(gold - p, KINDS), len(weights)) / count - PENALTY * weights / KINDS
+        p, expected, _ = marginals(emissions(one.features, weights), moves, one.bounds)
+        missed = gold - p
+        change = sum(np.bincount(row, missed, len(weights)) for row in one.features) / count - PENALTY * weights / KINDS
         past += change**2
         weights += RATE * change / np.sqrt(past)
         change = (seen_moves - expected) / count
         past_moves += change**2
         moves += RATE * change / np.sqrt(past_moves)
-    p, _, _ = marginals(weights[one.features].sum(0), moves, one.bounds)
+    p, _, _ = marginals(emissions(one.features, weights), moves, one.bounds)
     model.weights, model.moves = weights.astype(np.float32), moves
     x = _summary(p, one.words.bounds)
     y = label.astype(float)
@@ -226,15 +244,14 @@ def learn(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
     drawn = F.xxhash64("id")
     chosen = known.where("toxic > 0").orderBy(drawn, "id").limit(rows).unionByName(known.where("toxic <= 0").orderBy(drawn, "id").limit(rows))
     texts = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text")).where(F.octet_length("text") <= SAMPLE_BYTES)
-    sample = texts.join(F.broadcast(chosen), "id").select("id", "text", "toxic").toArrow().to_pylist()
-    sample.sort(key=lambda r: (r["id"], r["text"]))
-    return fit([r["text"] for r in sample], [r["toxic"] > 0 for r in sample])
+    sample = texts.join(F.broadcast(chosen), "id").select("id", "text", "toxic").toArrow()
+    sample = sample.sort_by([("id", "ascending"), ("text", "ascending")])
+    return fit(sample["text"].to_pylist(), [toxic > 0 for toxic in sample["toxic"].to_pylist()])
 
 
 def _scores(column: pa.Array, model: Model) -> tuple[np.ndarray, Chains, np.ndarray]:
     one = chains(column)
-    emission = model.weights[one.features].sum(0, dtype=np.float64)
-    p, _, _ = marginals(emission, model.moves, one.bounds)
+    p, _, _ = marginals(emissions(one.features, model.weights), model.moves, one.bounds)
     score = 1 / (1 + np.exp(-np.clip(_summary(p, one.words.bounds) @ model.curve, -700, 700)))
     return score, one, p
 
@@ -268,16 +285,25 @@ def score(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text")
     rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
     kind = docs.schema[id].dataType.simpleString()
     schema = f"id {kind}, score double, spans array<struct<start:int,end:int,p:double>>"
-    return rows.mapInArrow(by_chunk(one, "text"), schema).withColumnRenamed("id", id)
+    return rows.mapInArrow(by_chunk(one, "text", CHUNK_BYTES), schema).withColumnRenamed("id", id)
 
 
 def accepted(docs: DataFrame, model: Model, reject_from: float, text: str = "text") -> DataFrame:
-    """The rows, with all their columns, that score below ``reject_from``; narrow."""
-    sent = docs.sparkSession.sparkContext.broadcast(fields_of(model))
-    at = docs.columns.index(text)
+    """The rows, with all their columns, that score below ``reject_from``; narrow.
 
-    def one(part: pa.RecordBatch) -> pa.RecordBatch:
-        scores, _, _ = _scores(part.column(at), Model(*sent.value))
-        return part.filter(pa.array(scores < reject_from))
+    Only the text goes to Python; the other columns stay where they are. A null or empty text has the
+    score that the curve gives to none; rows that repeat go or stay alike; an empty table gives an empty table.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast(fields_of(model))
 
-    return docs.mapInArrow(by_chunk(one, text), docs.schema)
+    @F.arrow_udf("double")
+    def scored(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        model = Model(*sent.value)
+        for column in columns:
+            batch = pa.record_batch({"text": column})
+            parts = [_scores(part.column("text"), model)[0] for part in chunks(batch, "text", CHUNK_BYTES)]
+            yield pa.array(np.concatenate(parts) if parts else np.zeros(0), pa.float64())
+            del batch, column, parts
+            pa.default_memory_pool().release_unused()
+
+    return docs.where(scored(F.col(text)) < reject_from)
