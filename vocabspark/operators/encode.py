@@ -14,7 +14,10 @@ from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 from hashlib import md5
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,12 +25,16 @@ from vocabspark.functions.bytelevel import BYTE_TO_CHAR, CHAR_TO_BYTE, to_byte_c
 from vocabspark.functions.normalize import normalize_segments
 from vocabspark.functions.splits import apply_steps
 from vocabspark.operators.inventory import UNKNOWN_TOKEN
-from vocabspark.operators.lattice import all_substrings, best_path, skew_join
+from vocabspark.operators.lattice import best_path, skew_join, substrings, windows
 from vocabspark.operators.matching import segments
+from vocabspark.operators.packs import dictionary, flat_numbers, gathered, list_array, packed, sizes_of, stretches, unpacked
 from vocabspark.operators.pretokenize import SplitSpec, count_pieces
 from vocabspark.session import checkpoint, fits_broadcast
 
 PIECES_REMEMBERED = 200_000
+# Different pieces that are joined together with their tokens, and their substrings in one row.
+PACKED_PIECES = 4_000
+PACKED_TOKENS = 200_000
 UNKNOWN_PENALTY = 10.0
 NOT_IN_MODEL = ("special", "whitespace")
 FALLBACK = "^<0x[0-9A-F]{2}>$"
@@ -157,10 +164,18 @@ def _piece_ids(
 
     What no token covers is the unknown token, or no id where there is none.
     """
+    return _ids_and_steps(piece, lexicon, fixed, model, fallback, skip)[0]
+
+
+def _ids_and_steps(
+    piece: str, lexicon: dict, fixed: dict, model: str, fallback: bool, skip: Callable[[], bool] | None = None
+) -> tuple[list[int | None], int]:
+    """Ids of one piece, and how many merges made them."""
     if not fallback:
         piece = piece.encode().decode("latin-1").translate(_BYTE_TABLE)
     ids: list[int | None] = []
-    for token in _segment(piece, lexicon, model, skip):
+    tokens = _segment(piece, lexicon, model, skip)
+    for token in tokens:
         found = lexicon["ids"].get(token)
         if found is not None:
             ids.append(found)
@@ -168,7 +183,7 @@ def _piece_ids(
             ids.extend(fixed[f"<0x{b:02X}>"] for b in token.encode())
         else:
             ids.append(fixed.get(UNKNOWN_TOKEN))
-    return ids
+    return ids, len(piece) - len(tokens)
 
 
 def text_pieces(key: str, vocab: Vocabulary) -> Column:
@@ -240,33 +255,58 @@ def _broadcast_encoder(vocab: Vocabulary, dropout: float):
     shared = vocab.tokens.sparkSession.sparkContext.broadcast((lexicon, added, _fixed_ids(vocab)))
     model, fallback = vocab.model, vocab.spec.byte_fallback
 
-    @F.pandas_udf("array<int>")
-    def encode_batch(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<int>")
+    def encode_batch(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         lexicon, added, fixed = shared.value
-        seen: dict[str, list[int]] = {}
+        seen: dict[str, tuple[list[int | None], int]] = {}
 
-        def plain(piece: str) -> list[int]:
+        def plain(piece: str) -> tuple[list[int | None], int]:
             known = seen.get(piece)
             if known is None:
-                known = _piece_ids(piece, lexicon, fixed, model, fallback)
+                known = _ids_and_steps(piece, lexicon, fixed, model, fallback)
                 if len(seen) < PIECES_REMEMBERED:
                     seen[piece] = known
             return known
 
-        def one(pieces, flags, row_key) -> list[int]:
-            out = []
-            for pos, (piece, is_added) in enumerate(zip(pieces, flags)):
-                if is_added:
-                    out.append(added[piece])
-                elif dropout:
-                    skip = draws(f"{row_key}:{pos}", dropout)
-                    out += _piece_ids(piece, lexicon, fixed, model, fallback, skip)
-                else:
-                    out += plain(piece)
-            return out
+        def drawn(pieces: list[tuple], codes: np.ndarray, sizes: np.ndarray, keys: list[str]) -> tuple[list, list[int]]:
+            """A piece none of whose merges is skipped is the plain one: only the others are merged again."""
+            out, counts = [], []
+            ends = np.cumsum(sizes).tolist()
+            for key, start, end in zip(keys, [0, *ends], ends):
+                before = len(out)
+                for pos, code in enumerate(codes[start:end].tolist()):
+                    ids, steps, piece = pieces[code]
+                    skip = draws(f"{key}:{pos}", dropout)
+                    if any(skip() for _ in range(steps)):
+                        ids = _piece_ids(piece, lexicon, fixed, model, fallback, draws(f"{key}:{pos}", dropout))
+                    out += ids
+                counts.append(len(out) - before)
+            return out, counts
+
+        def some(texts: pa.Array, flags: pa.Array, keys: pa.Array) -> pa.Array:
+            """Each different piece is encoded once; a piece that is an added token has no merges."""
+            sizes = sizes_of(texts)
+            marks = flags.flatten().to_numpy(zero_copy_only=False)
+            codes, words = dictionary(texts.flatten())
+            codes = codes * 2 + marks
+            used = np.zeros(2 * len(words), bool)
+            used[codes] = True
+            pieces = [
+                ([added[words[c >> 1]]], 0, "") if c & 1 else (*plain(words[c >> 1]), words[c >> 1])
+                for c in np.flatnonzero(used).tolist()
+            ]
+            codes = (np.cumsum(used) - 1)[codes]
+            if dropout:
+                out, counts = drawn(pieces, codes, sizes, keys.to_pylist())
+                return list_array(pa.array(out, pa.int32()), np.array(counts, np.int64), texts)
+            widths = np.fromiter((len(ids) for ids, *_ in pieces), np.int64, len(pieces))
+            ids = pa.array(itertools.chain.from_iterable(ids for ids, *_ in pieces), pa.int32())
+            place, at = gathered(np.cumsum(widths) - widths, widths, codes)
+            return list_array(ids.take(pa.array(place)), np.diff(at[np.append(0, np.cumsum(sizes))]), texts)
 
         for texts, flags, keys in batches:
-            yield pd.Series([None if p is None else one(p, f, k) for p, f, k in zip(texts, flags, keys)])
+            parts = [some(*(c.slice(a, b - a) for c in (texts, flags, keys))) for a, b in stretches(texts)]
+            yield pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
 
     # The result is fixed by the input. Without this mark, the optimizer repeats the whole
     # function in the filters it derives from an explode of the ids.
@@ -305,10 +345,12 @@ def _local_lexicons(distinct: DataFrame, vocab: Vocabulary) -> DataFrame:
     text = F.col("piece.text")
     in_model = text if vocab.spec.byte_fallback else to_byte_chars(text)
     numbered = _with_row(distinct)
-    parts = all_substrings(numbered, in_model, longest, "_row").distinct()
+    cut = numbered.select("_row", F.explode(windows(in_model, longest - 1)["text"]).alias("_text"))
+    # A token may come twice where two windows of one piece hold it; looking it up twice changes nothing.
+    parts = cut.select("_row", F.explode(F.array_distinct(substrings(F.col("_text"), longest))).alias("token"))
     rows = F.collect_list(F.struct("token", "id", "logprob", "rules"))
     found = skew_join(parts, lexicon, "token", F.col("_row")).groupBy("_row").agg(rows.alias("local"))
-    return numbered.join(found, "_row", "left").drop("_row")
+    return numbered.join(found.hint("merge"), "_row", "left").drop("_row")
 
 
 def _local_encoder(vocab: Vocabulary, dropout: float):
@@ -337,10 +379,71 @@ def _added_pieces(distinct: DataFrame, vocab: Vocabulary) -> DataFrame:
     return of.select("piece", "piece_ids")
 
 
+def _substring_packs(pieces: DataFrame, longest: int) -> DataFrame:
+    """``(_pack, pieces, tokens)`` from ``(text, shown)``: some texts, and the different substrings of what shows them.
+
+    Substrings beyond a bound go to further rows of the pack, without texts. Written out: packs are parts of batches.
+    """
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 33
+
+        def row(texts: list[str] | None, tokens: set[str]) -> pa.RecordBatch:
+            strings = pa.list_(pa.string())
+            columns = [pa.array([number]), pa.array([texts], strings), pa.array([list(tokens)], strings)]
+            return pa.RecordBatch.from_arrays(columns, names=["_pack", "pieces", "tokens"])
+
+        for batch in batches:
+            texts, shown = batch.column("text").to_pylist(), batch.column("shown").to_pylist()
+            for at in range(0, len(texts), PACKED_PIECES):
+                tokens: set[str] = set()
+                for piece in shown[at : at + PACKED_PIECES]:
+                    for i in range(len(piece)):
+                        tokens.update(piece[i:j] for j in range(i + 1, min(i + longest, len(piece)) + 1))
+                        if len(tokens) > PACKED_TOKENS:
+                            yield row(None, tokens)
+                            tokens = set()
+                yield row(texts[at : at + PACKED_PIECES], tokens)
+                number += 1
+
+    return checkpoint(pieces.mapInArrow(pack, "_pack bigint, pieces array<string>, tokens array<string>"))
+
+
+def _pack_encoder(vocab: Vocabulary):
+    """Function from some pieces and the lexicon of their substrings to the ids of each."""
+    model, fallback, fixed = vocab.model, vocab.spec.byte_fallback, _fixed_ids(vocab)
+    unknown = vocab.unknown_score()
+
+    @F.pandas_udf("array<array<int>>")
+    def encode_batch(packs: pd.Series, locals_: pd.Series) -> pd.Series:
+        def one(pieces, rows):
+            rows = [] if rows is None else list(rows)
+            lexicon = _lookup(*([r[c] for r in rows] for c in ("token", "id", "logprob", "rules")), unknown)
+            return [_piece_ids(piece, lexicon, fixed, model, fallback) for piece in pieces]
+
+        return pd.Series([one(*row) for row in zip(packs, locals_)])
+
+    return encode_batch.asNondeterministic()
+
+
 def _encode_distinct(distinct: DataFrame, vocab: Vocabulary) -> DataFrame:
-    """``(piece, piece_ids)`` with a vocabulary that is too large to send to the tasks."""
-    ids = _local_encoder(vocab, 0.0)("piece.text", "local", F.lit(""))
-    model = _local_lexicons(distinct.where("not piece.added"), vocab).select("piece", ids.alias("piece_ids"))
+    """``(piece, piece_ids)`` with a vocabulary that is too large to send to the tasks.
+
+    Each pack of pieces is joined with the tokens that stand in any of them: a common token once, not for every piece.
+    """
+    lexicon = vocab.lexicon()
+    longest = lexicon.agg(F.max(F.length("token"))).first()[0] or 1
+    text = F.col("piece.text")
+    shown = text if vocab.spec.byte_fallback else to_byte_chars(text)
+    plain = distinct.where("not piece.added").select(text.alias("text"), shown.alias("shown"))
+    packs = _substring_packs(plain, longest)
+    rows = F.collect_list(F.struct("token", "id", "logprob", "rules"))
+    parts = packs.select("_pack", F.explode("tokens").alias("token"))
+    found = skew_join(parts, lexicon, "token", F.col("_pack")).groupBy("_pack").agg(rows.alias("local"))
+    whole = packs.where("pieces is not null").select("_pack", "pieces").join(found.hint("merge"), "_pack", "left")
+    done = whole.select("pieces", _pack_encoder(vocab)("pieces", "local").alias("ids"))
+    each = done.select(F.inline(F.arrays_zip("pieces", "ids"))).toDF("text", "piece_ids")
+    model = each.select(F.struct(F.lit(False).alias("added"), "text").alias("piece"), "piece_ids")
     return model.unionByName(_added_pieces(distinct, vocab))
 
 
@@ -352,25 +455,31 @@ def _encode_by_join(
     Dropout draws differ from place to place, so there every piece is encoded where it stands.
     """
     df = _with_row(df)
+    if not dropout:
+        flag = F.transform(text_pieces(key, vocab), lambda p: F.concat(p["added"].cast("int").cast("string"), p["text"]))
+        packs = packed(df, flag)
+        piece = F.struct(F.col("key").startswith("1").alias("added"), F.expr("substring(key, 2)").alias("text"))
+        distinct = packs.keys().select("key").distinct().select(piece.alias("piece"))
+        coded = F.concat(F.col("piece.added").cast("int").cast("string"), "piece.text").alias("key")
+        values = _encode_distinct(distinct, vocab).select(coded, "piece_ids")
+        found = unpacked(packs, values, "piece_ids", F.flatten).withColumnRenamed("piece_ids", "ids")
+        return df.join(found.hint("merge"), "_row", "left").drop("_row")
     cut = F.posexplode(text_pieces(key, vocab)).alias("pos", "piece")
     exploded = df.select("_row", _row_key(ids, seed).alias("row_key"), cut)
     distinct, place = exploded.select("piece").distinct(), F.struct("_row", "pos")
-    if dropout:
-        key_of = F.concat_ws(":", "row_key", "pos")
-        found = _local_lexicons(distinct.where("not piece.added"), vocab)
-        joined = skew_join(exploded.where("not piece.added"), found, "piece", place)
-        drawn = joined.withColumn("piece_ids", _local_encoder(vocab, dropout)("piece.text", "local", key_of))
-        whole = skew_join(exploded.where("piece.added"), _added_pieces(distinct, vocab), "piece", place)
-        columns = ["_row", "pos", "piece_ids"]
-        encoded = drawn.select(columns).unionByName(whole.select(columns))
-    else:
-        encoded = skew_join(exploded, _encode_distinct(distinct, vocab), "piece", place)
+    key_of = F.concat_ws(":", "row_key", "pos")
+    found = _local_lexicons(distinct.where("not piece.added"), vocab)
+    joined = skew_join(exploded.where("not piece.added"), found, "piece", place)
+    drawn = joined.withColumn("piece_ids", _local_encoder(vocab, dropout)("piece.text", "local", key_of))
+    whole = skew_join(exploded.where("piece.added"), _added_pieces(distinct, vocab), "piece", place)
+    columns = ["_row", "pos", "piece_ids"]
+    encoded = drawn.select(columns).unionByName(whole.select(columns))
     in_order = F.array_sort(F.collect_list(F.struct("pos", "piece_ids")))
     grouped = encoded.groupBy("_row").agg(
         F.flatten(F.transform(in_order, lambda p: p["piece_ids"])).alias("ids")
     )
     empty = F.array().cast("array<int>")
-    whole = df.join(grouped, "_row", "left").drop("_row")
+    whole = df.join(grouped.hint("merge"), "_row", "left").drop("_row")
     return whole.withColumn("ids", F.when(F.col(key).isNotNull(), F.coalesce("ids", empty)))
 
 
@@ -401,13 +510,28 @@ def decode(
     table = {r.id: _token_bytes(r.token, r.kind, fallback) for r in rows}
     shared = df.sparkSession.sparkContext.broadcast(table)
 
-    @F.pandas_udf("string")
-    def decode_batch(texts: pd.Series) -> pd.Series:
-        table = shared.value
-        return texts.map(
-            lambda t: b"".join([table.get(i, NO_ID_BYTES) for i in t]).decode("utf-8", "replace"),
-            na_action="ignore",
-        )
+    @F.arrow_udf("string")
+    def decode_batch(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        known = sorted((i, raw) for i, raw in shared.value.items() if i is not None)
+        keys = np.array([i for i, _ in known], np.int64)
+        raws = [*(raw for _, raw in known), NO_ID_BYTES]
+        letters = np.frombuffer(b"".join(raws), np.uint8)
+        widths = np.fromiter(map(len, raws), np.int64, len(raws))
+        starts = np.cumsum(widths) - widths
+
+        def some(lists: pa.Array) -> list[str]:
+            ids, null = flat_numbers(lists)
+            at = np.searchsorted(keys, ids)
+            at = np.where(~null & (np.append(keys, 0)[at] == ids), at, len(keys))
+            place, ends = gathered(starts, widths, at)
+            whole = letters[place].tobytes()
+            ends = ends[np.append(0, np.cumsum(sizes_of(lists)))].tolist()
+            return [whole[a:b].decode("utf-8", "replace") for a, b in zip(ends, ends[1:])]
+
+        for lists in batches:
+            texts = [text for a, b in stretches(lists) for text in some(lists.slice(a, b - a))]
+            null = lists.is_null().to_numpy(zero_copy_only=False)
+            yield pa.array(texts, pa.string(), mask=null)
 
     return df.withColumn("decoded", decode_batch("ids"))
 
@@ -425,17 +549,14 @@ def token_bytes(vocab: Vocabulary) -> DataFrame:
 
 def _decode_by_join(df: DataFrame, vocab: Vocabulary) -> DataFrame:
     df = _with_row(df)
-    name = F.coalesce(F.col("id").cast("string"), F.lit("")).alias("name")
-    parts = df.select("_row", F.posexplode("ids").alias("pos", "id")).select("_row", "pos", name)
+    name = F.coalesce(F.col("id").cast("string"), F.lit("")).alias("key")
+    packs = packed(df, F.transform("ids", lambda i: F.coalesce(i.cast("string"), F.lit(""))))
     table = token_bytes(vocab).select(name, F.hex("bytes").alias("hex"))
-    foreign = parts.select("name").distinct().join(table, "name", "left_anti")
-    table = table.unionByName(foreign.select("name", F.lit(NO_ID_BYTES.hex()).alias("hex")))
-    joined = skew_join(parts, table, "name", F.struct("_row", "pos"))
-    in_order = F.array_sort(F.collect_list(F.struct("pos", "hex")))
-    hexed = F.array_join(F.transform(in_order, lambda p: p["hex"]), "")
-    text = F.make_valid_utf8(F.unhex(hexed).cast("string")).alias("decoded")
-    whole = df.join(joined.groupBy("_row").agg(text), "_row", "left").drop("_row")
-    return whole.withColumn("decoded", F.when(F.col("ids").isNotNull(), F.coalesce("decoded", F.lit(""))))
+    foreign = packs.keys().select("key").distinct().join(table, "key", "left_anti")
+    table = table.unionByName(foreign.select("key", F.lit(NO_ID_BYTES.hex()).alias("hex")))
+    found = unpacked(packs, table, "hex", lambda parts: F.array_join(parts, ""))
+    text = F.make_valid_utf8(F.unhex("hex").cast("string")).alias("decoded")
+    return df.join(found.select("_row", text).hint("merge"), "_row", "left").drop("_row")
 
 
 def vocab_roundtrip(vocab: Vocabulary) -> DataFrame:

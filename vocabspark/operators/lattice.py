@@ -54,7 +54,8 @@ def skew_join(many: DataFrame, table: DataFrame, key: str, spread: Column) -> Da
     A key with more rows than an average task is cut into as many slices as it has average
     tasks, and its table row is repeated for each slice. There are at most as many hot keys,
     and at most twice as many slices, as shuffle partitions, so the list of them is small
-    whatever the data. ``spread`` decides the slice of a row.
+    whatever the data. ``spread`` decides the slice of a row. The table is never broadcast: a few compressed megabytes
+    of a shuffle may hold rows that fill the driver.
     """
     tasks = int(many.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counts = many.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
@@ -66,7 +67,7 @@ def skew_join(many: DataFrame, table: DataFrame, key: str, spread: Column) -> Da
     left = many.join(hot, key, "left").withColumn("_slice", slice_of_row).drop("_slices")
     every_slice = F.explode(F.sequence(F.lit(0), number - 1))
     right = table.join(hot, key, "left").withColumn("_slice", every_slice).drop("_slices")
-    return left.join(right, [key, "_slice"]).drop("_slice")
+    return left.join(right.hint("merge"), [key, "_slice"]).drop("_slice")
 
 
 # --- tokens in pieces, inside tasks -------------------------------------------------------------------

@@ -22,7 +22,7 @@ from vocabspark.operators import vocab as vo
 from vocabspark.operators.order import with_running_index
 from vocabspark.plans.merge import merge_bpe, merge_unigram, trim_unigram
 from vocabspark.plans.train import TrainOptions, train_vocabulary
-from vocabspark.session import checkpoint, scratch_path, spread
+from vocabspark.session import checkpoint, limit_batches, scratch_path, spread
 from vocabspark.sources import corpus as src
 from vocabspark.sources import vocab as vsrc
 
@@ -59,6 +59,7 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
 
 def texts(spark: SparkSession, sf: str) -> DataFrame:
     """Documents for text work: a single input file is spread over all cores."""
+    limit_batches(spark)
     return spread(documents(spark, sf).select("doc_id", "text", "lang"))
 
 
