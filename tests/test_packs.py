@@ -64,3 +64,17 @@ def test_dropout_by_stretches(spark, monkeypatch):
     got = {r.doc_id: r.ids for r in en.encode(docs.coalesce(1), vocab, dropout=0.4, seed=7).collect()}
     assert got == {0: None, **want}
     assert len({tuple(x) for x in want.values()}) == 8
+
+
+def test_decoding_by_join_sends_a_pack_its_different_ids_once(spark, monkeypatch):
+    tokens = spark.createDataFrame([("a", 0, "alphabet"), ("ê°", 1, "merge"), ("¤", 2, "alphabet")], "token string, id int, kind string")
+    vocab = en.Vocabulary(tokens, spark.createDataFrame([], "rank int, left string, right string, token string"))
+    lists = [(1, [0, 1, 2] * 500), (1, [None, 9, 1]), (None, []), (2, None)]
+    docs = spark.createDataFrame(lists, "doc_id long, ids array<int>").coalesce(1)
+    joined, join = [], pk.skew_join
+    monkeypatch.setattr(pk, "skew_join", lambda many, *rest: joined.append(many.count()) or join(many, *rest))
+    want = [(1, "a갤" * 500), (1, "�" * 3), (None, ""), (2, None)]
+    for bound in (None, 0):
+        got = rows(en.decode(docs, vocab, max_broadcast_rows=bound).select("doc_id", "decoded"))
+        assert got == sorted(want, key=repr)
+    assert joined == [5]
