@@ -55,6 +55,30 @@ def test_paths_against_all_paths(monkeypatch, window):
     assert total == pytest.approx(want)
 
 
+def test_short_pieces_as_probabilities_equal_logarithms(monkeypatch):
+    """Also pieces too unlikely to be summed as probabilities, and pieces without a path."""
+    scores = SCORES | {"d": -300.0}
+    texts = ["abcabc", "ddd", "dab", "cabd", "xbc", "ddab", "a" * 64, "c" * 65]
+    found, totals = lexicon(scores), []
+    for short in (64, 0):
+        monkeypatch.setattr(la, "SHORT", short)
+        totals.append(np.zeros(len(scores)))
+        for rows, points in la.by_length(texts):
+            la.add_expected_counts(points, (rows + 1).astype(float), found, totals[-1])
+    assert totals[0] == pytest.approx(totals[1], rel=1e-12) and totals[0][-1] == pytest.approx(6 + 3 + 4 + 12)
+
+
+def test_tokens_found_by_slots_equal_all_substrings():
+    """Also where keys share the first bits of their hashes."""
+    tokens = sorted({"".join(p) for n in (1, 2, 3) for p in itertools.product("abc", repeat=n)} - {"b", "cab"})
+    found = lexicon(dict.fromkeys(tokens, -1.0))
+    crowded = found | {"slots": (np.zeros(2, np.int32), np.ones(2, bool), np.uint64(63))}
+    (_, points), = la.by_length(["abcabcbba"])
+    for lex in (found, crowded):
+        got = {("abcabcbba"[s : s + n], int(k)) for n, (_, starts, numbers) in enumerate(la.places(points, lex), 1) for s, k in zip(starts, numbers)}
+        assert got == {(t, k) for k, t in enumerate(tokens) if t in "abcabcbba"}
+
+
 def test_best_scores_without_the_token_itself():
     texts = ["ab", "bc", "abc"]
     for rows, points in la.by_length(texts):

@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 WINDOW = 16_384
 # Characters of a text whose substrings are made in one row.
 WINDOW_CHARS = 4096
+# Characters of a piece whose paths are summed as probabilities, and the probability below which they are not.
+SHORT, LEAST_CHANCE = 64, 1e-200
 
 
 def windows(piece: Column, overlap: int, width: int = WINDOW_CHARS) -> Column:
@@ -42,10 +44,19 @@ def substrings(text: Column, max_length: int, starts: int = WINDOW_CHARS) -> Col
     return F.coalesce(F.flatten(F.transform(begins, from_start)), F.array())
 
 
-def all_substrings(pieces: DataFrame, piece: Column, max_length: int, *columns: str) -> DataFrame:
-    """``(columns..., token)``: one row per substring of up to ``max_length`` characters, for pieces of any length."""
-    cut = pieces.select(*columns, F.explode(windows(piece, max_length - 1)["text"]).alias("_text"))
-    return cut.select(*columns, F.explode(substrings(F.col("_text"), max_length)).alias("token"))
+def counted_substrings(pieces: DataFrame, piece: Column, max_length: int, n: str) -> DataFrame:
+    """``(token, n)``: every substring of up to ``max_length`` characters, with the sum of ``n`` over its places.
+
+    What begins at each character is cut to ``max_length`` and summed first. Many pieces share these tails, so that the
+    prefixes of the different tails are far fewer rows than the substrings of all pieces.
+    """
+    cut = pieces.select(n, F.explode(windows(piece, max_length - 1)["text"]).alias("_text"))
+    begins = F.sequence(F.lit(1), F.least(F.length("_text"), F.lit(WINDOW_CHARS)))
+    tails = F.transform(begins, lambda at: F.substring(F.col("_text"), at, F.lit(max_length)))
+    summed = cut.select(n, F.explode(tails).alias("_tail")).groupBy("_tail").agg(F.sum(n).alias(n))
+    sizes = F.sequence(F.lit(1), F.length("_tail"))
+    each = F.transform(sizes, lambda size: F.substring(F.col("_tail"), F.lit(1), size))
+    return summed.select(n, F.explode(each).alias("token")).groupBy("token").agg(F.sum(n).alias(n))
 
 
 def skew_join(many: DataFrame, table: DataFrame, key: str, spread: Column) -> DataFrame:
@@ -107,13 +118,42 @@ def by_length(texts: list[str], most: int = WINDOW) -> Iterator[tuple[np.ndarray
         yield rows, np.frombuffer(joined, np.uint32).reshape(many, size)
 
 
+def _slots(lexicon: dict) -> tuple[np.ndarray, np.ndarray, np.uint64]:
+    """By the first bits of a hash: the place of a key that begins so, and whether more keys do; and how many bits are not first.
+
+    Made once a lexicon, with sixteen slots a key or more, so that few keys share one and need a search.
+    """
+    if "slots" not in lexicon:
+        keys = lexicon["keys"]
+        width = max(len(keys), 1).bit_length() + 4
+        shift = np.uint64(64 - width)
+        first = (keys >> shift).view(np.int64)
+        place = np.zeros(1 << width, np.int32)
+        place[first] = np.arange(len(keys))
+        shared = np.zeros(1 << width, bool)
+        shared[first[1:][np.diff(first) == 0]] = True
+        lexicon["slots"] = place, shared, shift
+    return lexicon["slots"]
+
+
+def places(points: np.ndarray, lexicon: dict) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Rows, starts and numbers of the tokens of 1, 2, ... characters that stand in texts of one length."""
+    keys, numbers = lexicon["keys"], lexicon["numbers"]
+    place, shared, shift = _slots(lexicon)
+    for own in hashes(points, lexicon["longest"], lexicon["salt"]):
+        first = (own >> shift).view(np.int64)
+        at = place[first]
+        search = shared[first]
+        at[search] = np.minimum(np.searchsorted(keys, own[search]), len(keys) - 1)
+        same = keys[at] == own
+        yield *np.nonzero(same), numbers[at[same]]
+
+
 def lookup(points: np.ndarray, lexicon: dict) -> np.ndarray:
     """Number of the token of each length at each start; -1 where there is none."""
-    keys, longest = lexicon["keys"], lexicon["longest"]
-    out = np.full((*points.shape, longest), -1, np.int32)
-    for length, own in enumerate(hashes(points, longest, lexicon["salt"]), start=1):
-        at = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
-        out[:, : own.shape[1], length - 1] = np.where(keys[at] == own, lexicon["numbers"][at], -1)
+    out = np.full((*points.shape, lexicon["longest"]), -1, np.int32)
+    for size, (rows, starts, numbers) in enumerate(places(points, lexicon)):
+        out[rows, starts, size] = numbers
     return out
 
 
@@ -180,7 +220,43 @@ def best_scores_without(points: np.ndarray, lexicon: dict) -> np.ndarray:
 
 
 def add_expected_counts(points: np.ndarray, n: np.ndarray, lexicon: dict, total: np.ndarray) -> None:
-    """Add to ``total``, by token number, how often each token is expected in pieces that occur ``n`` times."""
+    """Add to ``total``, by token number, how often each token is expected in pieces that occur ``n`` times.
+
+    Short pieces are summed as probabilities; those too unlikely for that, and long ones, as logarithms.
+    """
+    if points.shape[1] <= min(SHORT, WINDOW):
+        left = _add_short(points, n, lexicon, total)
+        points, n = points[left], n[left]
+    if len(points):
+        _add_by_logs(points, n, lexicon, total)
+
+
+def _add_short(points: np.ndarray, n: np.ndarray, lexicon: dict, total: np.ndarray) -> np.ndarray:
+    """Adds the pieces that have a path of a probability far from the smallest number; whether each is left."""
+    many, size = points.shape
+    chances = np.exp(lexicon["scores"])
+    found = [(rows, starts, numbers, chances[numbers]) for rows, starts, numbers in places(points, lexicon)]
+    edges = []
+    for length, (rows, starts, _, chance) in enumerate(found, start=1):
+        edges.append(np.zeros((size - length + 1, many)))
+        edges[-1][starts, rows] = chance
+    forward, backward = np.zeros((size + 1, many)), np.zeros((size + 1, many))
+    forward[0] = backward[size] = 1.0
+    for end in range(1, size + 1):
+        for length in range(1, min(len(edges), end) + 1):
+            forward[end] += forward[end - length] * edges[length - 1][end - length]
+    for begin in range(size - 1, -1, -1):
+        for length in range(1, min(len(edges), size - begin) + 1):
+            backward[begin] += edges[length - 1][begin] * backward[begin + length]
+    whole = forward[size]
+    left = ~(whole > LEAST_CHANCE)
+    weight = np.where(left, 0.0, n / np.where(left, 1.0, whole))
+    for length, (rows, starts, numbers, chance) in enumerate(found, start=1):
+        np.add.at(total, numbers, forward[starts, rows] * chance * backward[starts + length, rows] * weight[rows])
+    return left
+
+
+def _add_by_logs(points: np.ndarray, n: np.ndarray, lexicon: dict, total: np.ndarray) -> None:
     size, longest = points.shape[1], lexicon["longest"]
     each = _windows(points, lexicon)
     forward = _forward(points.shape, each, longest, _log_sum)

@@ -18,9 +18,9 @@ from pyspark.sql import functions as F
 
 from vocabspark.operators.lattice import (
     add_expected_counts,
-    all_substrings,
     best_scores_without,
     by_length,
+    counted_substrings,
     hashes,
     path_scores,
 )
@@ -35,8 +35,7 @@ MIN_SEED_COUNT = 2
 
 def unigram_seed(counts: DataFrame, max_length: int = 16) -> DataFrame:
     """``(token, n)``: every substring up to ``max_length``, weighted by its pieces' counts."""
-    each = all_substrings(counts, F.col("piece"), max_length, "n")
-    return each.groupBy("token").agg(F.sum("n").alias("n"))
+    return counted_substrings(counts, F.col("piece"), max_length, "n")
 
 
 def seed_vocab(
@@ -214,7 +213,9 @@ def train_unigram(
     tokens = checkpoint(with_running_index(seeds, ["token"], "id"))
     if not tokens.count():
         return tokens.select("token", "logprob")
-    pieces = checkpoint(counts.repartition(task_count(counts, PIECES_PER_TASK)))
+    # In the order of their lengths, so that a batch holds many pieces of one length.
+    pieces = counts.repartition(task_count(counts, PIECES_PER_TASK)).sortWithinPartitions(F.length("piece"))
+    pieces = checkpoint(pieces)
     race = Race(tokens)
     while True:
         for _ in range(em_rounds):
