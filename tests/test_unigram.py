@@ -55,6 +55,29 @@ def test_paths_against_all_paths(monkeypatch, window):
     assert total == pytest.approx(want)
 
 
+def test_seed_counts_of_batches_equal_those_of_all(spark):
+    """Prefixes that cross the borders of batches and partitions, characters of any plane, NUL and pieces that repeat."""
+    rnd = random.Random(5)
+    pieces = ["".join(rnd.choices("ab\0\u00e9\U0001f600", k=rnd.randint(0, 9))) for _ in range(400)]
+    want = {}
+    for n, piece in enumerate(pieces):
+        for i in range(len(piece)):
+            for j in range(i + 1, min(i + 4, len(piece)) + 1):
+                want[piece[i:j]] = want.get(piece[i:j], 0) + n
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    try:
+        for size in ("1", "7", "10000"):
+            spark.conf.set(key, size)
+            counts = spark.createDataFrame(list(enumerate(pieces)), "n long, piece string")
+            got = un.unigram_seed(counts, 4)
+            assert sorted((r.token, r.n) for r in got.collect()) == sorted(want.items())
+            # Prefixes of a batch are summed in its task: only those at its borders are grouped again.
+            assert "border" in got._jdf.queryExecution().toString()
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_short_pieces_as_probabilities_equal_logarithms(monkeypatch):
     """Also pieces too unlikely to be summed as probabilities, and pieces without a path."""
     scores = SCORES | {"d": -300.0}

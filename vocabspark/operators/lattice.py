@@ -11,9 +11,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vocabspark.session import checkpoint
+
 # Positions of a piece, or of pieces of one length together, that are looked up at once.
 WINDOW = 16_384
 # Characters of a text whose substrings are made in one row.
@@ -47,16 +51,44 @@ def substrings(text: Column, max_length: int, starts: int = WINDOW_CHARS) -> Col
 def counted_substrings(pieces: DataFrame, piece: Column, max_length: int, n: str) -> DataFrame:
     """``(token, n)``: every substring of up to ``max_length`` characters, with the sum of ``n`` over its places.
 
-    What begins at each character is cut to ``max_length`` and summed first. Many pieces share these tails, so that the
-    prefixes of the different tails are far fewer rows than the substrings of all pieces.
+    What begins at each character is cut to ``max_length`` and summed first, since many pieces share these tails. In the
+    order of the tails, those with one prefix stand together: each task sums its own, and only prefixes at the border of
+    a batch, ``2 * max_length`` a batch, are shuffled again. Written out, since both kinds are read from it.
     """
     cut = pieces.select(n, F.explode(windows(piece, max_length - 1)["text"]).alias("_text"))
     begins = F.sequence(F.lit(1), F.least(F.length("_text"), F.lit(WINDOW_CHARS)))
     tails = F.transform(begins, lambda at: F.substring(F.col("_text"), at, F.lit(max_length)))
-    summed = cut.select(n, F.explode(tails).alias("_tail")).groupBy("_tail").agg(F.sum(n).alias(n))
-    sizes = F.sequence(F.lit(1), F.length("_tail"))
-    each = F.transform(sizes, lambda size: F.substring(F.col("_tail"), F.lit(1), size))
-    return summed.select(n, F.explode(each).alias("token")).groupBy("token").agg(F.sum(n).alias(n))
+    summed = cut.select(n, F.explode(tails).alias("tail")).groupBy("tail").agg(F.sum(n).cast("long").alias("n"))
+    ranged = summed.repartitionByRange("tail").sortWithinPartitions("tail")
+    found = checkpoint(ranged.mapInArrow(_prefix_sums(max_length), "token string, n long, border boolean"))
+    border = found.where("border").groupBy("token").agg(F.sum("n").alias("n"))
+    return found.where("not border").select("token", F.col("n").alias(n)).unionByName(border.select("token", F.col("n").alias(n)))
+
+
+def _prefix_sums(longest: int):
+    """Sorted ``(tail, n)`` to the prefixes of each batch, and whether the batches beside it may have one too."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tails, n = batch.column("tail"), batch.column("n").to_numpy()
+            texts = tails.to_pylist()
+            sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+            points = np.full((len(texts), longest), -1, np.int32)
+            points[np.arange(longest) < sizes[:, None]] = np.frombuffer("".join(texts).encode("utf-32-le"), np.int32)
+            new = np.ones(points.shape, bool)
+            new[1:] = np.logical_or.accumulate(points[1:] != points[:-1], axis=1)
+            for size in range(1, longest + 1):
+                held = sizes >= size
+                begins = np.flatnonzero(held & new[:, size - 1])
+                if len(begins):
+                    # Tails between two prefixes that are shorter than this do not count.
+                    sums = np.add.reduceat(np.where(held, n, 0), begins)
+                    border = np.zeros(len(begins), bool)
+                    border[[0, -1]] = True
+                    tokens = pc.utf8_slice_codeunits(tails.take(pa.array(begins)), 0, size)
+                    yield pa.RecordBatch.from_arrays([tokens, pa.array(sums), pa.array(border)], names=["token", "n", "border"])
+
+    return run
 
 
 def skew_join(many: DataFrame, table: DataFrame, key: str, spread: Column) -> DataFrame:
