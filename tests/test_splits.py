@@ -1,3 +1,6 @@
+import itertools
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -113,3 +116,23 @@ def test_count_pretokens(spark):
     df = spark.createDataFrame([("a a b",), ("a",)], "text string")
     got = {r.piece: r.n for r in pt.count_pretokens(df, ["byte_level"]).collect()}
     assert got == {"a": 2, " a": 1, " b": 1}
+
+
+@pytest.mark.parametrize("steps", splits.JOINT)
+def test_joint_steps_give_the_pieces_of_single_steps(spark, steps):
+    """All short texts of characters of every kind, and random longer ones, in one pass and step by step."""
+    kinds = "aé1٣½ .,'$_«€́　\n\x1c\x85\U0001f600​漢"
+    texts = ["".join(t) for n in range(4) for t in itertools.product(kinds, repeat=n)]
+    rnd = random.Random(3)
+    texts += ["".join(rnd.choices(kinds + "    '''streveldm", k=rnd.randint(4, 40))) for _ in range(5000)]
+    df = spark.createDataFrame([(t,) for t in [*texts, None]], "text string")
+    single = splits.STEPS[steps[0]](F.col("text"))
+    for name in steps[1:]:
+        single = F.flatten(F.transform(single, splits.STEPS[name]))
+    both = df.select("text", single.alias("single"), splits.apply_steps(F.col("text"), list(steps)).alias("joint"))
+    assert both.where(~F.col("single").eqNullSafe(F.col("joint"))).limit(5).collect() == []
+
+
+def test_steps_that_follow_each_other_are_one_pass():
+    steps = pt.SplitSpec(isolate_camelcase=False).train()
+    assert len(splits._passes(steps)) == 2 and len(splits._passes(pt.SplitSpec(remove_longspace=True).train())) == 5

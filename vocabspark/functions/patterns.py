@@ -67,6 +67,14 @@ BYTE_LEVEL = (
 )
 
 
+# Punctuation, then digits, each on its own; and the byte-level pieces of what is left, where a piece ends before both.
+PUNCT_AND_DIGITS = rf"[{PUNCT}\p{{N}}]|[^{PUNCT}\p{{N}}]+"
+PUNCT_DIGITS_BYTE_LEVEL = (
+    rf" ?\p{{L}}+|[{PUNCT}\p{{N}}]| ?[^{WS}\p{{L}}\p{{N}}{PUNCT}]+"
+    rf"|[{WS}]+(?![^{WS}\p{{N}}{PUNCT}])|[{WS}]+"
+)
+
+
 def script_runs() -> str:
     """Pattern for one run of a single script class.
 

@@ -6,6 +6,8 @@ give back the text when their pieces are joined.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -80,11 +82,38 @@ STEPS = {
 }
 
 
+# Steps that follow each other and their joint pattern, which gives the same pieces in one pass; the longest first.
+JOINT = {
+    ("punctuation", "digits", "byte_level"): P.PUNCT_DIGITS_BYTE_LEVEL,
+    ("punctuation", "digits"): P.PUNCT_AND_DIGITS,
+}
+
+
+def _pass_of(pattern: str) -> Callable[[Column], Column]:
+    return lambda text: _matches(text, pattern)
+
+
+def _passes(steps: list[str]) -> list[Callable[[Column], Column]]:
+    """The functions of the steps, one for those that have a joint pattern."""
+    passes, at = [], 0
+    while at < len(steps):
+        for names, pattern in JOINT.items():
+            if tuple(steps[at : at + len(names)]) == names:
+                passes.append(_pass_of(pattern))
+                at += len(names)
+                break
+        else:
+            passes.append(STEPS[steps[at]])
+            at += 1
+    return passes
+
+
 def apply_steps(text: Column, steps: list[str]) -> Column:
     """Run the named steps one after another over the pieces of the step before."""
     if not steps:
         return F.array(text)
-    pieces = STEPS[steps[0]](text)
-    for name in steps[1:]:
-        pieces = F.flatten(F.transform(pieces, STEPS[name]))
+    first, *others = _passes(steps)
+    pieces = first(text)
+    for step in others:
+        pieces = F.flatten(F.transform(pieces, step))
     return pieces
