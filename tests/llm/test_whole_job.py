@@ -132,3 +132,11 @@ def test_html_by_the_votes_of_a_host(spark):
     assert html_main.Page(odd).text(None) != prose
     pages = spark.createDataFrame([(i, "http://n.example/", usual if i else odd) for i in range(5)], "page_id long, url string, html string")
     assert {r.page_id: r.text for r in html_main.extract(pages).collect()}[0] == prose
+
+
+def test_katz_sums_of_a_task_meet_before_the_exchange():
+    """Parts of one document from several buckets leave a task as one sum."""
+    parts = [(np.array([5, -9, 7]), np.array([1, 0, 2]), np.array([-1.0, 0, -0.5]), np.array([-3.0, -1, -2]))] * 4
+    rows = katz._summed(parts, 3).to_pylist()
+    flat = {k: (n, b, t) for r in rows for k, n, b, t in zip(r["key"], r["known"], r["base"], r["total"])}
+    assert sum(len(r["key"]) for r in rows) == 3 and flat == {5: (4, -4.0, -12.0), -9: (0, 0.0, -4.0), 7: (8, -2.0, -8.0)}

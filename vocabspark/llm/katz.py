@@ -279,6 +279,19 @@ def _packed(table: pa.Table, target: np.ndarray) -> pa.Table:
     return pa.table(data)
 
 
+def _summed(parts: list[tuple[np.ndarray, ...]], buckets: int) -> pa.RecordBatch:
+    """Parts ``(key, known, base, total)`` of many buckets added up by key: one row of arrays for each target."""
+    key, *values = (np.concatenate(c) for c in zip(*parts))
+    names, which = np.unique(key, return_inverse=True)
+    target = (mix(names.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(target, kind="stable")
+    targets, starts = np.unique(target[order], return_index=True)
+    ends = pa.array(np.append(starts, len(order)).astype(np.int32))
+    known, base, total = (np.bincount(which, v, len(names))[order] for v in values)
+    lists = {"key": names[order], "known": known.astype(np.int64), "base": base, "total": total}
+    return pa.record_batch({"target": targets, **{c: pa.ListArray.from_arrays(ends, pa.array(v)) for c, v in lists.items()}})
+
+
 def _freed(table: pa.Table) -> pa.Table:
     """The same table; what the worker no longer uses goes back to the system before the next group."""
     pa.default_memory_pool().release_unused()
@@ -519,18 +532,25 @@ def _combined(settled: DataFrame, found: DataFrame, lexicon: Lexicon, square: np
             names = [c for c in batch.schema.names if c not in (*_PARTS, "seen", "unseen", "lost", "context", "asked", "asking")]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(total)], names=[*names, "total"])
 
+    buckets = lexicon.buckets
+
     def worth(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """One sum for each key, where its parts stand: the exchange carries no parts."""
+        """One sum for each key and task, where the parts stand: the exchange carries no parts, nor a sum a bucket."""
+        held, size = [], 0
         for batch in batches:
             for start in range(0, batch.num_rows, _ROWS):
                 rows = batch.slice(start, _ROWS)
                 columns = {c: rows.column(c).flatten().to_numpy() for c in _SUMS}
                 total = whole(columns, rows.column("lost").flatten().to_numpy(), rows.column("lost_sizes").flatten().to_numpy())
                 total = total + weights(rows.column("far").flatten().to_numpy(), rows.column("far_sizes").flatten().to_numpy())
-                ends = pa.array(np.append(0, np.cumsum(rows.column("key").value_lengths().to_numpy())).astype(np.int32))
-                values = {"key": rows.column("key").flatten(), "known": columns["known"], "base": columns["base"], "total": total}
-                lists = {c: pa.ListArray.from_arrays(ends, pa.array(v)) for c, v in values.items()}
-                yield pa.record_batch({"target": rows.column("target"), **lists})
+                # Copies: a view would hold the whole batch until the sums are made.
+                held.append((rows.column("key").flatten().to_numpy().copy(), columns["known"].copy(), columns["base"].copy(), total))
+                size += len(total)
+                if size > _HELD:
+                    yield _summed(held, buckets)
+                    held, size = [], 0
+        if held:
+            yield _summed(held, buckets)
 
     def add(table: pa.Table) -> pa.Table:
         names, which = np.unique(_flat(table, "key"), return_inverse=True)
