@@ -6,10 +6,11 @@ import time
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from vocabspark.llm import html_main, katz, pii
+from vocabspark.llm import html_main, katz, pii, suffix_dedup
 
 
 def test_ip_after_a_very_long_run_of_digits(spark):
@@ -140,3 +141,27 @@ def test_katz_sums_of_a_task_meet_before_the_exchange():
     rows = katz._summed(parts, 3).to_pylist()
     flat = {k: (n, b, t) for r in rows for k, n, b, t in zip(r["key"], r["known"], r["base"], r["total"])}
     assert sum(len(r["key"]) for r in rows) == 3 and flat == {5: (4, -4.0, -12.0), -9: (0, 0.0, -4.0), 7: (8, -2.0, -8.0)}
+
+
+def _crowd(docs: int) -> pa.Table:
+    """Pieces of a crowded signature: one passage, in documents of their own words before and after."""
+    passage = b"the very same passage that a large part of the corpus holds in the middle of its texts"
+    pieces = [b"%06d own words" % (7919 * n % 1000000) + passage + b"other %06d" % (104729 * n % 1000000) for n in range(docs)]
+    whole = {"shard": [0] * docs, "doc": list(range(docs)), "mark": list(range(docs)), "start": [10] * docs, "crowded": [True] * docs, "piece": pieces}
+    return pa.table(whole)
+
+
+def test_crowded_strings_leave_a_shard_once():
+    """However many documents of a shard hold a string, other shards meet its first place alone."""
+    told = suffix_dedup._shard(_crowd(40), 50).to_pylist()
+    strings = [s for r in told for s in r["strings"] or []]
+    assert strings and len(strings) == len(set(strings)) and len(told) <= 2 * 40
+    assert {r["doc"] for r in told for s in r["strings"] or [] if b"same passage that a large part of the corpus holds" in s} == {0}
+
+
+def test_pieces_hold_the_strings_that_took_their_anchors():
+    """Every string took one anchor, which lies inside it: pieces are no longer than the strings of their anchors."""
+    data = np.frombuffer(random.Random(4).randbytes(3000), np.uint8)
+    at, _, _, opens, closes = suffix_dedup.anchors(data, np.array([0, 1000, 3000]))
+    assert (closes - opens + 1).sum() == 3000 - 2 * 49
+    assert (at >= closes).all() and (at + suffix_dedup.GRAM <= opens + 50).all()
