@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vocabspark.llm.tables import by_chunk, fields_of, limit_batches, stored
+from vocabspark.llm.tables import by_chunk, fields_of, freed, limit_batches, stored, tidied
 from vocabspark.llm.words import Words, chunks, mix, signed, words_of
 
 # Counts up to this one are discounted.
@@ -145,7 +145,7 @@ def _word_counts(rows: DataFrame) -> DataFrame:
         if held:
             yield counted()
 
-    return rows.mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return rows.mapInArrow(tidied(count), "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def build_lexicon(training: DataFrame) -> tuple[Lexicon, DataFrame | None]:
@@ -198,7 +198,7 @@ def _hot_pairs(training: DataFrame, lexicon: Lexicon) -> np.ndarray:
 
     square = np.zeros(side * side, np.int64)
     if side:
-        table = training.mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
+        table = training.mapInArrow(tidied(count), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
         square[table["pair"].to_numpy()] = table["n"].to_numpy()
     return square.reshape(side, side)
 
@@ -292,12 +292,6 @@ def _summed(parts: list[tuple[np.ndarray, ...]], buckets: int) -> pa.RecordBatch
     return pa.record_batch({"target": targets, **{c: pa.ListArray.from_arrays(ends, pa.array(v)) for c, v in lists.items()}})
 
 
-def _freed(table: pa.Table) -> pa.Table:
-    """The same table; what the worker no longer uses goes back to the system before the next group."""
-    pa.default_memory_pool().release_unused()
-    return table
-
-
 def _flat(table: pa.Table, name: str) -> np.ndarray:
     """The lists of all rows one after another; null is empty."""
     return np.concatenate([c.flatten().to_numpy() for c in table[name].chunks])
@@ -394,7 +388,7 @@ def score(docs: DataFrame, learns: Column, id: str = "doc_id", text: str = "text
                 yield pa.record_batch({"bucket": names // 2, "learns": names % 2 == 1, **columns, "word": none, "n": none})
 
     dealt = rows.select("key", "learns", "text").mapInArrow(
-        deal,
+        tidied(deal),
         "bucket long, learns boolean, context array<int>, after array<int>, key array<long>, context_word array<long>, "
         "after_word array<long>, word array<long>, n array<long>",
     )
@@ -404,7 +398,7 @@ def score(docs: DataFrame, learns: Column, id: str = "doc_id", text: str = "text
         told = told.select("bucket", F.lit(False).alias("learns"), F.col("told.word").alias("word"), F.col("told.n").alias("n"))
         dealt = dealt.unionByName(told, allowMissingColumns=True)
 
-    def settle(table: pa.Table) -> pa.Table:
+    def evaluated(table: pa.Table) -> pa.Table:
         lexicon = Lexicon(*sent.value[0])
 
         lengths = np.concatenate([c.fill_null([]).value_lengths().to_numpy() for c in table["key"].chunks])
@@ -461,7 +455,10 @@ def score(docs: DataFrame, learns: Column, id: str = "doc_id", text: str = "text
         told = {c: np.append(own[c][~rare], own[c][rare].sum()) for c in (*_PARTS, "seen", "unseen")}
         by_context = _table(None, pa.array(np.append(own["context"][~rare], lexicon.rare).astype(np.int32)), told)
         by_context = by_context.append_column("far", pa.nulls(by_context.num_rows, pa.list_(pa.float64())))
-        return _freed(pa.concat_tables([_packed(each, target), _packed(by_context, np.full(by_context.num_rows, -1))]))
+        return pa.concat_tables([_packed(each, target), _packed(by_context, np.full(by_context.num_rows, -1))])
+
+    def settle(table: pa.Table) -> pa.Table:
+        return freed(evaluated(table))
 
     found = stored(dealt.groupBy("bucket").applyInArrow(settle, _PACKED), "sums")
     return _combined(settled, found, lexicon, square, id)
@@ -552,17 +549,20 @@ def _combined(settled: DataFrame, found: DataFrame, lexicon: Lexicon, square: np
         if held:
             yield _summed(held, buckets)
 
-    def add(table: pa.Table) -> pa.Table:
+    def added(table: pa.Table) -> pa.Table:
         names, which = np.unique(_flat(table, "key"), return_inverse=True)
 
         def summed(name: str) -> np.ndarray:
             return np.bincount(which, _flat(table, name), len(names))
 
-        return _freed(pa.table({"key": names, "k": summed("known").astype(np.int64), "b": summed("base"), "t": summed("total")}))
+        return pa.table({"key": names, "k": summed("known").astype(np.int64), "b": summed("base"), "t": summed("total")})
+
+    def add(table: pa.Table) -> pa.Table:
+        return freed(added(table))
 
     kind = settled.schema["id"].dataType.simpleString()
-    base = settled.mapInArrow(finish, f"key long, known long, base double, id {kind}, learns boolean, n_tokens long, total double")
-    valued = found.where("target >= 0").mapInArrow(worth, "target long, key array<long>, known array<long>, base array<double>, total array<double>")
+    base = settled.mapInArrow(tidied(finish), f"key long, known long, base double, id {kind}, learns boolean, n_tokens long, total double")
+    valued = found.where("target >= 0").mapInArrow(tidied(worth), "target long, key array<long>, known array<long>, base array<double>, total array<double>")
     more = valued.groupBy("target").applyInArrow(add, "key long, k long, b double, t double")
     # Equal rows share a key, and each has added its occurrences to the key's sums.
     equal = settled.groupBy("key").agg(F.count("*").alias("equal"))
