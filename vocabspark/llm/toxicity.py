@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vocabspark.llm.tables import by_chunk, fields_of
+from vocabspark.llm.tables import by_chunk, fields_of, freed, tidy
 from vocabspark.llm.words import NOT_ALNUM, Words, chunks, mix, text_buffer, words_of
 
 # Labelled rows of each class that are fitted on, and the most bytes one of them may have.
@@ -246,7 +246,7 @@ def learn(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
     texts = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text")).where(F.octet_length("text") <= SAMPLE_BYTES)
     sample = texts.join(F.broadcast(chosen), "id").select("id", "text", "toxic").toArrow()
     sample = sample.sort_by([("id", "ascending"), ("text", "ascending")])
-    return fit(sample["text"].to_pylist(), [toxic > 0 for toxic in sample["toxic"].to_pylist()])
+    return freed(fit(sample["text"].to_pylist(), [toxic > 0 for toxic in sample["toxic"].to_pylist()]))
 
 
 def _scores(column: pa.Array, model: Model) -> tuple[np.ndarray, Chains, np.ndarray]:
@@ -305,5 +305,6 @@ def accepted(docs: DataFrame, model: Model, reject_from: float, text: str = "tex
             yield pa.array(np.concatenate(parts) if parts else np.zeros(0), pa.float64())
             del batch, column, parts
             pa.default_memory_pool().release_unused()
+        tidy()
 
     return docs.where(scored(F.col(text)) < reject_from)
