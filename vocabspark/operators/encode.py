@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from vocabspark.functions.bytelevel import BYTE_TO_CHAR, CHAR_TO_BYTE, to_byte_chars
 from vocabspark.functions.normalize import normalize_segments
 from vocabspark.functions.splits import apply_steps
+from vocabspark.operators.dropout import Draws, Merges
 from vocabspark.operators.inventory import UNKNOWN_TOKEN
 from vocabspark.operators.lattice import best_path, skew_join, substrings, windows
 from vocabspark.operators.matching import segments
@@ -151,6 +152,21 @@ def merge_piece(symbols: list[str], ranks: dict, skip: Callable[[], bool] | None
     return [s for s in symbols if s is not None]
 
 
+def to_byte_text(piece: str) -> str:
+    """The bytes of a piece, a character of the byte alphabet each."""
+    return piece.encode().decode("latin-1").translate(_BYTE_TABLE)
+
+
+def token_ids(token: str, lexicon: dict, fixed: dict, fallback: bool) -> list[int | None]:
+    """The id of a token, or those of what stands for it where the vocabulary has none."""
+    found = lexicon["ids"].get(token)
+    if found is not None:
+        return [found]
+    if fallback:
+        return [fixed[f"<0x{b:02X}>"] for b in token.encode()]
+    return [fixed.get(UNKNOWN_TOKEN)]
+
+
 def _segment(piece: str, lexicon: dict, model: str, skip: Callable[[], bool] | None) -> list[str]:
     if model == "bpe":
         return merge_piece(list(piece), lexicon["ranks"], skip)
@@ -172,17 +188,15 @@ def _ids_and_steps(
 ) -> tuple[list[int | None], int]:
     """Ids of one piece, and how many merges made them."""
     if not fallback:
-        piece = piece.encode().decode("latin-1").translate(_BYTE_TABLE)
+        piece = to_byte_text(piece)
     ids: list[int | None] = []
     tokens = _segment(piece, lexicon, model, skip)
     for token in tokens:
         found = lexicon["ids"].get(token)
         if found is not None:
             ids.append(found)
-        elif fallback:
-            ids.extend(fixed[f"<0x{b:02X}>"] for b in token.encode())
         else:
-            ids.append(fixed.get(UNKNOWN_TOKEN))
+            ids += token_ids(token, lexicon, fixed, fallback)
     return ids, len(piece) - len(tokens)
 
 
@@ -259,29 +273,69 @@ def _broadcast_encoder(vocab: Vocabulary, dropout: float):
     def encode_batch(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         lexicon, added, fixed = shared.value
         seen: dict[str, tuple[list[int | None], int]] = {}
-
-        def plain(piece: str) -> tuple[list[int | None], int]:
-            known = seen.get(piece)
-            if known is None:
-                known = _ids_and_steps(piece, lexicon, fixed, model, fallback)
+        rules = Merges(lexicon["ranks"]) if model == "bpe" else None
+
+        def plain(pieces: list[str]) -> list[tuple[list[int | None], int]]:
+            """Ids of different pieces without dropout, and how many merges made them."""
+            found = [seen.get(piece) for piece in pieces]
+            new = [k for k, known in enumerate(found) if known is None]
+            if rules is None:
+                made = [_ids_and_steps(pieces[k], lexicon, fixed, model, fallback) for k in new]
+            else:
+                shown = [pieces[k] if fallback else to_byte_text(pieces[k]) for k in new]
+                counts, entries, names = rules.pieces(
+                    shown, np.arange(len(shown)), None, lambda k: merge_piece(list(shown[k]), lexicon["ranks"])
+                )
+                ids = [token_ids(name, lexicon, fixed, fallback) for name in names]
+                ends, entries = np.cumsum(counts).tolist(), entries.tolist()
+                made = [
+                    ([i for e in entries[start:end] for i in ids[e]], len(text) - (end - start))
+                    for text, start, end in zip(shown, [0, *ends], ends)
+                ]
+            for k, known in zip(new, made):
+                found[k] = known
                 if len(seen) < PIECES_REMEMBERED:
-                    seen[piece] = known
-            return known
-
-        def drawn(pieces: list[tuple], codes: np.ndarray, sizes: np.ndarray, keys: list[str]) -> tuple[list, list[int]]:
-            """A piece none of whose merges is skipped is the plain one: only the others are merged again."""
-            out, counts = [], []
-            ends = np.cumsum(sizes).tolist()
-            for key, start, end in zip(keys, [0, *ends], ends):
-                before = len(out)
-                for pos, code in enumerate(codes[start:end].tolist()):
-                    ids, steps, piece = pieces[code]
-                    skip = draws(f"{key}:{pos}", dropout)
-                    if any(skip() for _ in range(steps)):
-                        ids = _piece_ids(piece, lexicon, fixed, model, fallback, draws(f"{key}:{pos}", dropout))
-                    out += ids
-                counts.append(len(out) - before)
-            return out, counts
+                    seen[pieces[k]] = known
+            return found
+
+        def redrawn(pieces: list[tuple], codes: np.ndarray, bounds: np.ndarray, keys: list[str]) -> tuple[np.ndarray, list[tuple], np.ndarray]:
+            """A piece none of whose merges is skipped is the plain one: only the others are merged again.
+
+            Gives back the entries that stand at all places, one after another: pieces, or symbols of what was merged
+            again; the entries beyond ``pieces``; and where the entries of each place begin and the last end.
+            """
+            chances = Draws(keys, dropout)
+            row = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+            pos = np.arange(len(codes)) - bounds[row]
+            steps = np.fromiter((n for _, n, _ in pieces), np.int64, len(pieces))[codes]
+            first = np.cumsum(steps) - steps
+            of = np.repeat(np.arange(len(codes)), steps)
+            drawn = chances.skip(row[of], pos[of], np.arange(len(of)) - first[of])
+            again = np.unique(of[drawn])
+
+            def skip(items: np.ndarray, step: int) -> np.ndarray:
+                at = again[items]
+                known = step < steps[at]
+                out = np.zeros(len(at), bool)
+                out[known] = drawn[first[at[known]] + step]
+                at = at[~known]
+                out[~known] = chances.skip(row[at], pos[at], np.full(len(at), step))
+                return out
+
+            def alone(item: int) -> list[str]:
+                at = again[item]
+                return merge_piece(list(shown[which[item]]), lexicon["ranks"], draws(f"{keys[row[at]]}:{pos[at]}", dropout))
+
+            different, which = np.unique(codes[again], return_inverse=True)
+            texts = [pieces[c][2] for c in different.tolist()]
+            shown = texts if fallback else list(map(to_byte_text, texts))
+            sizes, symbols, names = rules.pieces(shown, which, skip, alone)
+            counts = np.ones(len(codes), np.int64)
+            counts[again] = sizes
+            place = np.append(0, np.cumsum(counts))
+            entries = np.repeat(codes, counts)
+            entries[gathered(place[:-1], counts, again)[0]] = symbols + len(pieces)
+            return entries, [(token_ids(name, lexicon, fixed, fallback),) for name in names], place
 
         def some(texts: pa.Array, flags: pa.Array, keys: pa.Array) -> pa.Array:
             """Each different piece is encoded once; a piece that is an added token has no merges."""
@@ -291,18 +345,18 @@ def _broadcast_encoder(vocab: Vocabulary, dropout: float):
             codes = codes * 2 + marks
             used = np.zeros(2 * len(words), bool)
             used[codes] = True
-            pieces = [
-                ([added[words[c >> 1]]], 0, "") if c & 1 else (*plain(words[c >> 1]), words[c >> 1])
-                for c in np.flatnonzero(used).tolist()
-            ]
+            present = np.flatnonzero(used).tolist()
+            found = iter(plain([words[c >> 1] for c in present if not c & 1]))
+            pieces = [([added[words[c >> 1]]], 0, "") if c & 1 else (*next(found), words[c >> 1]) for c in present]
             codes = (np.cumsum(used) - 1)[codes]
+            bounds = np.append(0, np.cumsum(sizes))
             if dropout:
-                out, counts = drawn(pieces, codes, sizes, keys.to_pylist())
-                return list_array(pa.array(out, pa.int32()), np.array(counts, np.int64), texts)
+                codes, more, at = redrawn(pieces, codes, bounds, keys.to_pylist())
+                pieces, bounds = pieces + more, at[bounds]
             widths = np.fromiter((len(ids) for ids, *_ in pieces), np.int64, len(pieces))
             ids = pa.array(itertools.chain.from_iterable(ids for ids, *_ in pieces), pa.int32())
             place, at = gathered(np.cumsum(widths) - widths, widths, codes)
-            return list_array(ids.take(pa.array(place)), np.diff(at[np.append(0, np.cumsum(sizes))]), texts)
+            return list_array(ids.take(pa.array(place)), np.diff(at[bounds]), texts)
 
         for texts, flags, keys in batches:
             parts = [some(*(c.slice(a, b - a) for c in (texts, flags, keys))) for a, b in stretches(texts)]
