@@ -70,3 +70,18 @@ def test_encoding_a_batch_merges_no_short_piece_alone(spark, monkeypatch, dropou
 
     monkeypatch.setattr(en, "merge_piece", alone)
     assert pa.concat_arrays(list(encode(iter([(texts, flags, keys)])))).to_pylist() == want
+
+
+def test_decoding_what_dropout_left_whole(spark):
+    """Every character comes back whatever was skipped, also from pieces that are merged beside others and alone."""
+    merges = [("a", "b", 0, "ab"), ("ab", "ab", 1, "abab"), ("abab", "c", 2, "ababc")]
+    merges = spark.createDataFrame(merges, "left string, right string, rank int, token string")
+    tokens = [(t, i, "merge" if len(t) > 1 else "alphabet") for i, t in enumerate(["a", "b", "c", "Ġ", "ab", "abab", "ababc"])]
+    vocab = en.Vocabulary(spark.createDataFrame(tokens, "token string, id int, kind string"), merges)
+    docs = spark.createDataFrame([(n, "ababc " * n + "ab" * 50 * n) for n in range(8)], "doc_id long, text string")
+    encoded = en.encode(docs, vocab, dropout=0.3, seed=7)
+    back = en.decode(encoded, vocab)
+    assert back.where("decoded <> text or decoded is null").count() == 0
+    longest = back.where("doc_id = 7").selectExpr("size(ids)").first()[0]
+    whole = en.encode(docs, vocab).where("doc_id = 7").selectExpr("size(ids)").first()[0]
+    assert longest > whole
