@@ -255,30 +255,75 @@ def _table(key, context, columns: dict, lost=None) -> pa.Table:
 
 
 _PACKED = (
-    "target long, key array<long>, context array<int>, " + ", ".join(f"{h} array<int>" for h in _PARTS)
-    + ", seen array<double>, unseen array<double>, known array<long>, base array<double>, lost array<int>, lost_sizes array<int>"
-    + ", far array<double>, far_sizes array<int>"
+    "target long, key array<long>, counts array<long>, value array<double>, base array<double>, lost array<int>, far array<double>, "
+    "context array<int>, " + ", ".join(f"{h} array<int>" for h in _PARTS) + ", seen array<double>, unseen array<double>"
 )
 
+# Small counts of an entry in one number: of seen pairs by their counts, known words, and weights of common and of rare contexts.
+_COUNTED = [*_PARTS, "known", "lost", "far"]
+_BITS = 7
+_MOST = (1 << _BITS) - 1
+# Numbers that make the weight of a rare context.
+_SHAPE = len(_PARTS) + 3
 
-def _packed(table: pa.Table, target: np.ndarray) -> pa.Table:
-    """One row of arrays for each target: far fewer rows than there are pairs of partitions and documents."""
-    order = np.argsort(target, kind="stable")
-    table, target = table.take(pa.array(order)).combine_chunks(), target[order]
+
+def _counts_of(packed: np.ndarray) -> dict[str, np.ndarray]:
+    """The small counts of each entry."""
+    return {name: packed >> np.int64(k * _BITS) & np.int64(_MOST) for k, name in enumerate(_COUNTED)}
+
+
+def _packed(target: np.ndarray, key: np.ndarray, counts: dict, value: np.ndarray, base: np.ndarray, lost: np.ndarray, far: np.ndarray) -> pa.Table:
+    """One row of arrays for each target, from entries in the order of their targets.
+
+    With many partitions most entries stand for one occurrence: few columns, far fewer rows than pairs of partitions and
+    documents. An entry whose counts do not fit is several of one key; ``lost`` and ``far`` are in the order of the entries.
+    """
+    fields = [np.asarray(counts[name], np.int64) for name in _COUNTED]
+    times = np.maximum(1, -(-np.max(fields, axis=0) // _MOST)) if len(key) else np.zeros(0, np.int64)
+    if times.max(initial=1) > 1:
+        at = np.repeat(np.arange(len(key)), times)
+        taken = (np.arange(len(at)) - np.repeat(np.cumsum(times) - times, times)) * _MOST
+        fields = [np.clip(f[at] - taken, 0, _MOST) for f in fields]
+        target, key, value, base = target[at], key[at], np.where(taken, 0, value[at]), np.where(taken, 0, base[at])
+    packed = np.zeros(len(key), np.int64)
+    for k, f in enumerate(fields):
+        packed |= f << np.int64(k * _BITS)
     names, starts = np.unique(target, return_index=True)
-    ends = pa.array(np.append(starts, len(target)).astype(np.int32))
+    edges = np.append(starts, len(target))
     data = {"target": pa.array(names, pa.int64())}
-    for c in ["key", "context", *_SUMS]:
-        data[c] = pa.ListArray.from_arrays(ends, table[c].chunk(0))
-    for name in ("lost", "far"):
-        lost = table[name].chunk(0).fill_null([])
-        sizes = lost.value_lengths()
-        before = np.append(0, np.cumsum(sizes.to_numpy()))
-        data[name] = pa.ListArray.from_arrays(pa.array(before[ends.to_numpy()].astype(np.int32)), lost.flatten())
-        data[f"{name}_sizes"] = pa.ListArray.from_arrays(ends, sizes)
+    # A sum of nothing is made of whole numbers.
+    for name, column in (("key", key), ("counts", packed), ("value", value.astype(float)), ("base", base.astype(float))):
+        data[name] = pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(column))
+    for name, column, width in (("lost", lost.astype(np.int32), 1), ("far", far.astype(float), _SHAPE)):
+        before = np.append(0, np.cumsum(fields[_COUNTED.index(name)]))[edges] * width
+        data[name] = pa.ListArray.from_arrays(pa.array(before.astype(np.int32)), pa.array(column))
     return pa.table(data)
 
 
+def _packed_contexts(context: np.ndarray, columns: dict) -> pa.Table:
+    """The parts of all contexts of a partition in one row."""
+    data = {"target": pa.array([-1], pa.int64())}
+    kinds = {"context": pa.int32(), **dict.fromkeys(_PARTS, pa.int32()), "seen": pa.float64(), "unseen": pa.float64()}
+    ends = pa.array([0, len(context)], pa.int32())
+    for name, kind in kinds.items():
+        data[name] = pa.ListArray.from_arrays(ends, pa.array(context if name == "context" else columns[name]).cast(kind))
+    return pa.table(data)
+
+
+def _together(each: pa.Table, by_context: pa.Table) -> pa.Table:
+    """Both kinds of rows, with empty lists where the other kind has something (null lists are very slow to read)."""
+    names = [*each.column_names, *by_context.column_names[1:]]
+
+    def filled(table: pa.Table, other: pa.Table) -> pa.Table:
+        for name in names:
+            if name not in table.column_names:
+                kind = other.schema.field(name).type
+                table = table.append_column(name, pa.array([[]] * table.num_rows, kind))
+        return table.select(names)
+
+    return pa.concat_tables([filled(each, by_context), filled(by_context, each)])
+
+
 def _summed(parts: list[tuple[np.ndarray, ...]], buckets: int) -> pa.RecordBatch:
     """Parts ``(key, known, base, total)`` of many buckets added up by key: one row of arrays for each target."""
     key, *values = (np.concatenate(c) for c in zip(*parts))
@@ -318,14 +363,15 @@ def score(docs: DataFrame, learns: Column, id: str = "doc_id", text: str = "text
     training = rows.where("learns").select("text")
     lexicon, others = build_lexicon(training)
     square = _hot_pairs(training, lexicon)
-    sent = spark.sparkContext.broadcast((fields_of(lexicon), square))
+    # Made once: every chunk and every bucket reads it, and it is as large as the table of words.
+    sent = spark.sparkContext.broadcast((fields_of(lexicon), square, lexicon.log_p()))
 
     kind = docs.schema[id].dataType.simpleString()
     asking = others is not None
 
     def own(part: pa.RecordBatch) -> pa.RecordBatch:
         """What a row's text and the common tables settle."""
-        fields, square = sent.value
+        fields, square, log_p = sent.value
         lexicon = Lexicon(*fields)
         found = words_of(part.column("text"))
         symbols = _symbols(found, lexicon)
@@ -334,7 +380,7 @@ def score(docs: DataFrame, learns: Column, id: str = "doc_id", text: str = "text
         x, y = lexicon.hot[context], lexicon.hot[after]
         keep = (x >= 0) & (y >= 0)
         sums, lost, sizes = _evaluate(
-            context[keep], after[keep], square[x[keep], y[keep]] if square.size else np.zeros(0, np.int64), owner[keep], owners, lexicon.counts, lexicon.log_p()
+            context[keep], after[keep], square[x[keep], y[keep]] if square.size else np.zeros(0, np.int64), owner[keep], owners, lexicon.counts, log_p
         )
         common = after != lexicon.rare
         counts = lexicon.counts[after[common]]
@@ -404,8 +450,12 @@ def score(docs: DataFrame, learns: Column, id: str = "doc_id", text: str = "text
         lengths = np.concatenate([c.fill_null([]).value_lengths().to_numpy() for c in table["key"].chunks])
         learns = np.repeat(table["learns"].to_numpy(), lengths)
         names, owner = np.unique(_flat(table, "key"), return_inverse=True)
-        owner = owner.astype(np.int32)
         target = (mix(names.view(np.uint64)) % np.uint64(lexicon.buckets)).astype(np.int64)
+        # Owners in the order of their targets.
+        order = np.argsort(target, kind="stable")
+        place = np.empty(len(names), np.int32)
+        place[order] = np.arange(len(names), dtype=np.int32)
+        owner, names, target = place[owner], names[order], target[order]
         # Rare words get numbers beyond all symbols, good for this bucket.
         symbols = len(lexicon.counts)
         context, after = _flat(table, "context").copy(), _flat(table, "after").copy()
@@ -418,7 +468,7 @@ def score(docs: DataFrame, learns: Column, id: str = "doc_id", text: str = "text
         word, n = _flat(table, "word"), _flat(table, "n")
         if len(word):
             single[np.searchsorted(words, word)] = n
-        log_p = np.concatenate([lexicon.log_p(), lexicon.log_p_of(single)])
+        log_p = np.concatenate([sent.value[2], lexicon.log_p_of(single)])
         # All occurrences of a rare context are here.
         own = context[learns]
         counts = np.concatenate([lexicon.counts, np.bincount(own[own >= symbols] - symbols, minlength=len(words))])
@@ -439,7 +489,7 @@ def score(docs: DataFrame, learns: Column, id: str = "doc_id", text: str = "text
         own = _context_rows(context[kept], after[kept], count[kept], log_p)
         rare = own["context"] >= symbols
         # What the weight of a rare context is made of, once the discounts are known; one never seen has weight one.
-        shape = np.zeros((len(words), len(_PARTS) + 3))
+        shape = np.zeros((len(words), _SHAPE))
         at = own["context"][rare] - symbols
         for k, c in enumerate((*_PARTS, "seen", "unseen")):
             shape[at, k] = own[c][rare]
@@ -448,14 +498,14 @@ def score(docs: DataFrame, learns: Column, id: str = "doc_id", text: str = "text
         common = lost < symbols
         far = ~common
         far[far] = counts[lost[far]] > 0
-        each = _table(names, None, sums, _list(lost[common], np.bincount(holder[common], minlength=len(names))))
-        wide = np.bincount(holder[far], minlength=len(names)) * shape.shape[1]
-        each = each.append_column("far", pa.ListArray.from_arrays(_ends_of(wide), pa.array(shape[lost[far] - symbols].ravel())))
+        sums["lost"] = np.bincount(holder[common], minlength=len(names))
+        sums["far"] = np.bincount(holder[far], minlength=len(names))
+        value = sums["seen"] + sums["unseen"]
+        each = _packed(target, names, sums, value, sums["base"], lost[common], shape[lost[far] - symbols].ravel())
         # Rare contexts count together in the counts of counts.
         told = {c: np.append(own[c][~rare], own[c][rare].sum()) for c in (*_PARTS, "seen", "unseen")}
-        by_context = _table(None, pa.array(np.append(own["context"][~rare], lexicon.rare).astype(np.int32)), told)
-        by_context = by_context.append_column("far", pa.nulls(by_context.num_rows, pa.list_(pa.float64())))
-        return pa.concat_tables([_packed(each, target), _packed(by_context, np.full(by_context.num_rows, -1))])
+        by_context = _packed_contexts(np.append(own["context"][~rare], lexicon.rare), told)
+        return _together(each, by_context)
 
     def settle(table: pa.Table) -> pa.Table:
         return freed(evaluated(table))
@@ -515,11 +565,11 @@ def _combined(settled: DataFrame, found: DataFrame, lexicon: Lexicon, square: np
     def weights(far: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Sums of log10 backoff weights of rare contexts, whose parts stand in ``far``."""
         _, log_d = sent.value
-        shape = far.reshape(-1, len(_PARTS) + 3)
+        shape = far.reshape(-1, _SHAPE)
         kept = shape[:, len(_PARTS)] + shape[:, : len(_PARTS)] @ (told * 10.0**log_d)
         left = np.maximum(1 - kept / (shape[:, -1] + 0.5), 1e-300)
         value = np.log10(left / np.maximum(1 - shape[:, -2], 1e-12))
-        return np.bincount(np.repeat(np.arange(len(sizes)), sizes // shape.shape[1]), value, len(sizes))
+        return np.bincount(np.repeat(np.arange(len(sizes)), sizes), value, len(sizes))
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -537,11 +587,11 @@ def _combined(settled: DataFrame, found: DataFrame, lexicon: Lexicon, square: np
         for batch in batches:
             for start in range(0, batch.num_rows, _ROWS):
                 rows = batch.slice(start, _ROWS)
-                columns = {c: rows.column(c).flatten().to_numpy() for c in _SUMS}
-                total = whole(columns, rows.column("lost").flatten().to_numpy(), rows.column("lost_sizes").flatten().to_numpy())
-                total = total + weights(rows.column("far").flatten().to_numpy(), rows.column("far_sizes").flatten().to_numpy())
+                value, lost, far = (rows.column(c).flatten().to_numpy() for c in ("value", "lost", "far"))
+                counts = _counts_of(rows.column("counts").flatten().to_numpy())
+                total = whole({**counts, "seen": value, "unseen": 0.0}, lost, counts["lost"]) + weights(far, counts["far"])
                 # Copies: a view would hold the whole batch until the sums are made.
-                held.append((rows.column("key").flatten().to_numpy().copy(), columns["known"].copy(), columns["base"].copy(), total))
+                held.append((rows.column("key").flatten().to_numpy().copy(), counts["known"], rows.column("base").flatten().to_numpy().copy(), total))
                 size += len(total)
                 if size > _HELD:
                     yield _summed(held, buckets)
