@@ -78,3 +78,39 @@ def test_decoding_by_join_sends_a_pack_its_different_ids_once(spark, monkeypatch
         got = rows(en.decode(docs, vocab, max_broadcast_rows=bound).select("doc_id", "decoded"))
         assert got == sorted(want, key=repr)
     assert joined == [5]
+
+
+def test_places_of_a_pack_are_compressed(spark):
+    """Lists of places come back as they were, nulls and empty ones too, and take a fraction of four bytes a place."""
+    lists = pa.array([[0, 1, 2], None, [], [2] * 5000], pa.list_(pa.int32()))
+    raw = pk.shut(lists)
+    assert isinstance(raw, bytes) and len(raw) < 500
+    assert pk.places(pa.array([raw, pk.shut(lists.slice(0, 1))], pa.binary())).to_pylist() == [lists.to_pylist(), [[0, 1, 2]]]
+    assert pk.places(pa.array([], pa.binary())).to_pylist() == []
+    df = spark.range(3).selectExpr("id as _row", "array(string(id), 'x') words")
+    assert dict(pk.packed(df, F.col("words")).table.dtypes)["codes"] == "binary"
+
+
+def test_rows_are_written_compressed(spark):
+    """Rows get numbers and are stored once, as columns of which a join reads what it needs; odd tables are checkpointed."""
+    df = spark.range(4).selectExpr("id", "repeat('text ', 1000) text")
+    made = en._with_row(df)
+    assert "FileScan parquet" in made.select("id")._jdf.queryExecution().toString()
+    assert sorted(r.id for r in made.collect()) == [0, 1, 2, 3] and made.select("_row").distinct().count() == 4
+    odd = en._with_row(df.selectExpr("id", "null nothing"))
+    assert odd.count() == 4 and odd.columns == ["id", "nothing", "_row"]
+
+
+def test_a_pack_reaches_over_batches(spark):
+    """Small batches of one task share a pack, so that an element of all of them is joined once."""
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 5)
+    try:
+        df = spark.range(60, numPartitions=1).selectExpr("id as _row", "array('x', string(id % 3)) words")
+        packs = pk.packed(df, F.col("words"))
+        assert packs.table.count() == 1 and packs.keys().count() == 4
+        table = spark.createDataFrame([(k, k * 2) for k in "x012"], "key string, twice string")
+        got = {r._row: r.twice for r in pk.unpacked(packs, table, "twice", lambda c: F.array_join(c, "-")).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert got == {n: f"xx-{n % 3}{n % 3}" for n in range(60)}

@@ -30,7 +30,7 @@ from vocabspark.operators.lattice import best_path, skew_join, substrings, windo
 from vocabspark.operators.matching import segments
 from vocabspark.operators.packs import dictionary, flat_numbers, gathered, list_array, packed, sizes_of, stretches, unpacked
 from vocabspark.operators.pretokenize import SplitSpec, count_pieces
-from vocabspark.session import checkpoint, fits_broadcast
+from vocabspark.session import checkpoint, fits_broadcast, written
 
 PIECES_REMEMBERED = 200_000
 # Different pieces that are joined together with their tokens, and their substrings in one row.
@@ -258,7 +258,7 @@ def _row_key(ids: Sequence[str], seed: int) -> Column:
 
 def _with_row(df: DataFrame) -> DataFrame:
     """Adds ``_row``, a number of its own for each row, written out before it is used twice."""
-    return checkpoint(df.withColumn("_row", F.monotonically_increasing_id()))
+    return written(df.withColumn("_row", F.monotonically_increasing_id()))
 
 
 def _broadcast_encoder(vocab: Vocabulary, dropout: float):

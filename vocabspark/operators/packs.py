@@ -20,7 +20,9 @@ from vocabspark.session import checkpoint
 
 # Elements of the rows that are handled together; a longer row is alone.
 MOST_ELEMENTS = 1 << 18
-_PACK = "rows array<bigint>, codes array<array<int>>, different array<string>"
+# Elements of a pack: the more, the fewer of them are different ones.
+PACK_ELEMENTS = 1 << 20
+_PACK = "rows array<bigint>, codes binary, different array<string>"
 
 
 # --- inside tasks -------------------------------------------------------------------------------------
@@ -71,7 +73,10 @@ def list_array(values: pa.Array, sizes: np.ndarray, like: pa.Array) -> pa.Array:
 
 @dataclass(frozen=True)
 class Packs:
-    """``table(_pack, rows, codes, different)``: written out, since the packs' borders are those of batches."""
+    """``table(_pack, rows, codes, different)``: written out, since the packs' borders are those of batches.
+
+    ``codes`` are compressed (:func:`places`): they are as many as the elements, and are written and shuffled.
+    """
 
     table: DataFrame
 
@@ -80,6 +85,30 @@ class Packs:
         return self.table.select("_pack", F.posexplode("different").alias("place", "key"))
 
 
+def shut(codes: pa.ListArray) -> bytes:
+    """Lists of places as compressed bytes."""
+    sizes = pc.fill_null(pc.list_value_length(codes), -1).to_numpy(zero_copy_only=False).astype(np.int32)
+    whole = np.concatenate([np.array([len(sizes)], np.int32), sizes, codes.flatten().to_numpy().astype(np.int32)]).tobytes()
+    return len(whole).to_bytes(8, "little") + pa.compress(whole, codec="zstd", asbytes=True)
+
+
+def opened(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Size of each list (-1: null) and all places from :func:`shut`."""
+    whole = np.frombuffer(pa.decompress(raw[8:], int.from_bytes(raw[:8], "little"), codec="zstd", asbytes=True), np.int32)
+    rows = int(whole[0])
+    return whole[1 : rows + 1], whole[rows + 1 :]
+
+
+def places(codes: pa.Array) -> pa.Array:
+    """The lists of places of each pack."""
+    sizes, flat = zip(*map(opened, codes.to_pylist())) if len(codes) else ([], [])
+    rows = np.append(0, np.cumsum([len(s) for s in sizes])).astype(np.int32)
+    sizes, flat = (np.concatenate([np.zeros(0, np.int32), *parts]) for parts in (sizes, flat))
+    ends = np.append(0, np.cumsum(np.maximum(sizes, 0))).astype(np.int32)
+    lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat), mask=pa.array(sizes < 0))
+    return pa.ListArray.from_arrays(pa.array(rows), lists)
+
+
 def packed(df: DataFrame, elements: Column) -> Packs:
     """Packs of an array of strings without nulls, for a table that has a number ``_row`` of its own for each row."""
 
@@ -87,14 +116,25 @@ def packed(df: DataFrame, elements: Column) -> Packs:
         def whole(values: pa.Array) -> pa.Array:
             return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
+        def pack_of(held: list[tuple[pa.Array, pa.Array]]) -> pa.RecordBatch:
+            own = pa.concat_arrays([lists for lists, _ in held])
+            coded = own.flatten().dictionary_encode()
+            codes = pa.array([shut(list_array(coded.indices.cast(pa.int32()), sizes_of(own), own))], pa.binary())
+            columns = [whole(pa.concat_arrays([rows for _, rows in held])), codes, whole(coded.dictionary)]
+            return pa.RecordBatch.from_arrays(columns, names=["rows", "codes", "different"])
+
+        held, size = [], 0
         for batch in batches:
             lists, rows = batch.column("elements"), batch.column("_row")
             for a, b in stretches(lists):
-                own = lists.slice(a, b - a)
-                coded = own.flatten().dictionary_encode()
-                codes = list_array(coded.indices.cast(pa.int32()), sizes_of(own), own)
-                columns = [whole(x) for x in (rows.slice(a, b - a), codes, coded.dictionary)]
-                yield pa.RecordBatch.from_arrays(columns, names=["rows", "codes", "different"])
+                amount = int(sizes_of(lists.slice(a, b - a)).sum())
+                if held and size + amount > PACK_ELEMENTS:
+                    yield pack_of(held)
+                    held, size = [], 0
+                held.append((lists.slice(a, b - a), rows.slice(a, b - a)))
+                size += amount
+        if held:
+            yield pack_of(held)
 
     made = df.select("_row", elements.alias("elements")).mapInArrow(pack, _PACK)
     return Packs(checkpoint(made.withColumn("_pack", F.monotonically_increasing_id())))
@@ -110,6 +150,7 @@ def unpacked(packs: Packs, table: DataFrame, value: str, combine: Callable[[Colu
     found = joined.groupBy("_pack").agg(F.transform(in_order, lambda p: p[value]).alias("_values"))
     filled = packs.table.join(found.hint("merge"), "_pack", "left")
     values = F.coalesce("_values", F.array().cast(found.schema["_values"].dataType))
-    each = F.transform("codes", lambda c: combine(F.transform(c, lambda i: F.get(values, i))))
+    lists = F.arrow_udf(places, "array<array<int>>")
+    each = F.transform(lists("codes"), lambda c: combine(F.transform(c, lambda i: F.get(values, i))))
     made = F.arrays_zip(F.col("rows").alias("_row"), each.alias(value))
     return filled.select(F.inline(made)).toDF("_row", value)
